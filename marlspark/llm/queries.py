@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from .langid import op1_identify_language
 from .mixing import op10_mix_sources
+from .secrets import op5_find_secrets
+from .tokens import op9_count_tokens
+from .toxicity import op7_score_toxicity
 
 QUERIES = {
+    "op1_identify_language": op1_identify_language,
+    "op5_find_secrets": op5_find_secrets,
+    "op7_score_toxicity": op7_score_toxicity,
+    "op9_count_tokens": op9_count_tokens,
     "op10_mix_sources": op10_mix_sources,
 }
 
