@@ -4,8 +4,8 @@ A text is a vector of its hashed byte 2- and 3-grams over letters (all other
 ASCII is a space), weighted log(1 + tf) * idf and normalised. Document frequencies
 come from all labelled rows; the centroids of a language are a spherical k-means of
 a bounded sample of its rows. A text goes to the language of the nearest centroid
-by cosine; it is rejected where its distance exceeds that of every fitted text of
-that language by a margin, or where it has no letter.
+by cosine; it is rejected where it has no letter or its cosine is under a fixed
+fraction of the least that any fitted text of that language has.
 
 Cases: null texts, empty ones and those without letters are ``und``, score 0,
 rejected; rows without a language are predicted but never learned from; without
@@ -74,7 +74,7 @@ class Model:
     idf: np.ndarray
 
 
-def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = 600, clusters: int = 3, margin: float = 0.05) -> Model:
+def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = 600, clusters: int = 3, fraction: float = 0.15) -> Model:
     """Learn from rows where ``known`` holds and the language is not null.
 
     About ``sample`` rows of each language, those of least hash, make its centroids;
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
         return pd.DataFrame({"lang": key[0], "centroid": [x.astype(np.float32) for x in c], "farthest": far})
 
     found = sorted(drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>, farthest double").collect(), key=lambda r: r["lang"])
-    return Model([r["lang"] for r in found], np.array([r["centroid"] for r in found], np.float32).reshape(-1, D), np.array([r["farthest"] for r in found]) + margin, idf)
+    return Model([r["lang"] for r in found], np.array([r["centroid"] for r in found], np.float32).reshape(-1, D), 1 - fraction * (1 - np.array([r["farthest"] for r in found])), idf)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

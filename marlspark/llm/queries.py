@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .langid import op1_identify_language
 from .mixing import op10_mix_sources
+from .neardup import op2_near_duplicates
 from .secrets import op5_find_secrets
 from .tokens import op9_count_tokens
 from .toxicity import op7_score_toxicity
 
 QUERIES = {
     "op1_identify_language": op1_identify_language,
+    "op2_near_duplicates": op2_near_duplicates,
     "op5_find_secrets": op5_find_secrets,
     "op7_score_toxicity": op7_score_toxicity,
     "op9_count_tokens": op9_count_tokens,

@@ -82,11 +82,11 @@ def label_model(votes: np.ndarray, balance: float, start: tuple[np.ndarray, np.n
         centred = v - np.outer(posterior, toxic) - np.outer(1 - posterior, clean)
         scale = np.sqrt((centred**2).mean(axis=0)) + 1e-9
         correlation = np.clip((centred.T @ centred) / len(v) / np.outer(scale, scale), 0, 1)
-        own = 1 / np.maximum(1.0, (correlation * (correlation > 0.1)).sum(axis=1))
+        own = 1 / np.maximum(1.0, (correlation * (correlation > 0.3)).sum(axis=1))
     return posterior, toxic, clean, own
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 400, rate: float = 0.5) -> tuple[np.ndarray, float]:
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 600, rate: float = 0.5) -> tuple[np.ndarray, float]:
     """Weights of a logistic regression on soft labels: full-batch Adam."""
     w, m, v = (np.zeros(x.shape[1] + 1) for _ in range(3))
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", d
     if not lexicon:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(n1 / n0)), {}, np.zeros(0))
     fired = x[:, lexicon].sum(axis=1)
-    votes = np.hstack([x[:, lexicon], np.stack([fired >= 1, fired >= 3, fired == 0], axis=1)]).astype(np.float32)
+    votes = np.hstack([x[:, lexicon], np.stack([fired >= 2, fired >= 5, fired == 0], axis=1)]).astype(np.float32)
     rate = {place[r["code"]]: (r["pos"] / n1, r["neg"] / n0) for r in top}
     start = (np.array([rate[i][0] for i in lexicon] + [0.9, 0.8, 0.05]), np.array([rate[i][1] for i in lexicon] + [0.1, 0.02, 0.9]))
     posterior, toxic, clean, own = label_model(votes, n1 / n, start)
