@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from . import linededup
 from .langid import op1_identify_language
+from .linededup import op3_drop_recurring_lines
 from .mixing import op10_mix_sources
 from .neardup import op2_near_duplicates
 from .secrets import op5_find_secrets
@@ -12,10 +14,13 @@ from .toxicity import op7_score_toxicity
 QUERIES = {
     "op1_identify_language": op1_identify_language,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_drop_recurring_lines": op3_drop_recurring_lines,
     "op5_find_secrets": op5_find_secrets,
     "op7_score_toxicity": op7_score_toxicity,
     "op9_count_tokens": op9_count_tokens,
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_drop_recurring_lines": linededup.ORACLE,
+}
