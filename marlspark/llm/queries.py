@@ -10,6 +10,7 @@ from .neardup import op2_near_duplicates
 from .secrets import op5_find_secrets
 from .tokens import op9_count_tokens
 from .toxicity import op7_score_toxicity
+from .vectors import op8_nearest_vectors
 
 QUERIES = {
     "op1_identify_language": op1_identify_language,
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_drop_recurring_lines": op3_drop_recurring_lines,
     "op5_find_secrets": op5_find_secrets,
     "op7_score_toxicity": op7_score_toxicity,
+    "op8_nearest_vectors": op8_nearest_vectors,
     "op9_count_tokens": op9_count_tokens,
     "op10_mix_sources": op10_mix_sources,
 }
