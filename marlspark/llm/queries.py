@@ -10,6 +10,7 @@ from .neardup import op2_near_duplicates
 from .secrets import op5_find_secrets
 from .tokens import op9_count_tokens
 from .toxicity import op7_score_toxicity
+from .urls import op6_judge_urls
 from .vectors import op8_nearest_vectors
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_drop_recurring_lines": op3_drop_recurring_lines,
     "op5_find_secrets": op5_find_secrets,
+    "op6_judge_urls": op6_judge_urls,
     "op7_score_toxicity": op7_score_toxicity,
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_count_tokens": op9_count_tokens,
