@@ -255,3 +255,8 @@ def op10_mix_sources(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     return Mix(table(spark, sf_dir, "documents")).taken()
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of what the earlier stages kept: pieces of documents by shard and position."""
+    return Mix(docs).rows()

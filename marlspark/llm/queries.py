@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import linededup
 from .langid import op1_identify_language
+from .leaks import op4_find_leaks
 from .linededup import op3_drop_recurring_lines
 from .mixing import op10_mix_sources
 from .neardup import op2_near_duplicates
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_identify_language": op1_identify_language,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_drop_recurring_lines": op3_drop_recurring_lines,
+    "op4_find_leaks": op4_find_leaks,
     "op5_find_secrets": op5_find_secrets,
     "op6_judge_urls": op6_judge_urls,
     "op7_score_toxicity": op7_score_toxicity,
