@@ -8,12 +8,12 @@ value is its earliest point, so two documents agree in a component with
 probability equal to their weighted Jaccard similarity. Points are generated
 lazily, in order of time, only up to the time by which all components are filled.
 
-Documents with equal multisets are one node. Nodes that share a band are
-candidates: each is compared with the least and the greatest node of its bucket,
-exactly, on the multisets. Links are then joined to components. What remains are
-pairs of a bucket between different components: the metric 1 - J and the known
-distances to the bucket's two leaders rule most out, all others are compared too,
-so no candidate link between components is lost and no group's pairs are listed.
+Documents with equal multisets are one node. Nodes that share a band are in one
+bucket, and each is compared, exactly, on the multisets, with the bucket's leader,
+its most central node. Links are joined to components. Pairs of different
+components that the comparison leaves open are put in smaller buckets by rules that
+lose none (see open_buckets), which go through the same round, until none is left:
+no candidate link between components is lost, and no group's pairs are listed.
 
 Cases: null and empty texts, and texts without words, have the empty multiset and
 are one class; a text of fewer than five words is one shingle; rows with equal id
@@ -38,6 +38,7 @@ WORDS = 5
 SIMILARITY = 0.8
 COMPONENTS = 96
 ROWS = 4  # of a band
+FEW = 32  # nodes of a bucket whose open pairs are compared without a leader
 _GAMMA = U(0x9E3779B97F4A7C15)
 
 
@@ -121,20 +122,26 @@ def signed(docs: DataFrame, text: str) -> DataFrame:
     return map_texts(docs, sign, "node binary, bands array<long>", text)
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets."""
-    total = float(a[1].sum() + b[1].sum())
-    at = np.searchsorted(a[0], b[0])
-    at[at == len(a[0])] = 0
-    same = a[0][at] == b[0] if len(a[0]) else np.zeros(len(b[0]), bool)
-    shared = float(np.minimum(a[1][at[same]], b[1][same]).sum())
-    return shared / (total - shared) if total else 1.0
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, int, int, np.ndarray]:
+    """Weighted Jaccard similarity of two multisets, the first's size, their overlap, and what the first has more of."""
+    size, total = int(a[1].sum()), int(a[1].sum() + b[1].sum())
+    theirs = np.zeros(len(a[0]), dtype=np.int64)
+    if len(b[0]):
+        at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+        same = b[0][at] == a[0]
+        theirs[same] = b[1][at[same]]
+    shared = int(np.minimum(a[1], theirs).sum())
+    return (shared / (total - shared) if total else 1.0), size, shared, a[0][a[1] > theirs]
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and the similarity of ``pairs``; ``texts`` has node and text. Both joins may be split where a node is in many pairs."""
-    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    both = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+    """Measures of ``pairs`` of node and leader; ``texts`` has node and text. Both joins may be split where a leader is in many pairs.
+
+    similarity; size of the node's multiset; shared, the overlap; added, shingles of which the node has more than the leader.
+    """
+    one = pairs.join(texts.select("node", F.col("text").alias("x")), "node")
+    both = one.join(texts.select(F.col("node").alias("leader"), F.col("text").alias("y")), "leader").select("node", "leader", "x", "y", *([c for c in pairs.columns if c == "small"]))
+    extra = both.columns[4:]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, tuple] = {}
@@ -147,66 +154,103 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return kept[node]
 
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            node, leader = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             x, y = batch.column(2), batch.column(3)
-            found = [overlap(of(a[i], x[i].as_py()), of(b[i], y[i].as_py())) for i in range(len(a))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+            found = [overlap(of(node[i], x[i].as_py()), of(leader[i], y[i].as_py())) for i in range(len(node))]
+            columns = [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), pa.array([f[3].view(np.int64) for f in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, *batch.columns[4:]], names=["node", "leader", "similarity", "size", "shared", "added", *extra])
 
-    return both.mapInArrow(compare, "a binary, b binary, similarity double")
+    return both.mapInArrow(compare, "node binary, leader binary, similarity double, size long, shared long, added array<long>" + ", small boolean" * len(extra))
 
 
 def components(links: DataFrame) -> DataFrame:
     """node and component (its least node) of all nodes in ``links`` (a, b): alternating large and small stars."""
+    digest = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    state = None
-    while True:
+    state, now = None, digest(edges)
+    while state != now:
         # Large star: all greater neighbours of a node go to the least of its neighbours and itself.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
+        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
-        # Small star: smaller neighbours and the node itself go to the least of them.
-        small = cut(large.groupBy("u").agg(F.min("v").alias("m")))
-        edges = cut(large.join(small, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+        # Small star: a node's smaller neighbours and the node itself go to the least of them.
+        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
+        edges = cut(large.join(small, "u").select(ends).select("e.u", "e.v").where("u != v").distinct())
+        state, now = now, digest(edges)
     roots = edges.select(F.col("v").alias("node")).distinct()
-    return cut(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component"))).groupBy("node").agg(F.min("component").alias("component")))
+    named = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    return cut(named.groupBy("node").agg(F.min("component").alias("component")))
+
+
+def open_buckets(measured: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """bucket, its size n, node and component c: smaller buckets that hold every pair which comparing a bucket with its leader leaves open.
+
+    Take nodes x and y of a bucket with leader c. If no shingle is added to both, as
+    against c, their overlap is at most that of either with c. So a pair at or above the
+    similarity either has such a shingle in common, or is small enough for its sizes to
+    fit within both overlaps. Buckets are by leader and added shingle, and by leader
+    and size; those within one component need no look. The leader is in neither, so
+    buckets shrink and the rounds end.
+    """
+    share = similarity / (1 + similarity)
+    mine, theirs = found.select("node", F.col("component").alias("c")), found.select(F.col("node").alias("leader"), F.col("component").alias("lc"))
+    m = measured.join(mine, "node", "left").join(theirs, "leader", "left").withColumns({"c": F.coalesce("c", "node"), "lc": F.coalesce("lc", "leader")})
+    open_ = m.groupBy("leader").agg(F.max(F.col("c") != F.col("lc")).alias("open"), F.count("*").alias("n")).where("open and n > 1").select("leader")
+    m = cut(m.join(cut(open_), "leader"))
+    added = m.select("node", "c", F.explode("added").alias("s"), "leader").select(F.xxhash64("leader", "s").alias("bucket"), "node", "c")
+    m = m.select("leader", "node", "c", "lc", "size", (F.col("shared") / share - F.col("size") + 1e-6).alias("reach"))
+    cell = lambda x: F.floor(F.log(F.greatest(x, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
+    size = F.col("size").cast("double")
+    asks = m.where((F.col("c") != F.col("lc")) & (F.col("reach") >= size * similarity)).withColumn("cell", F.explode(F.sequence(cell(size * similarity), cell(F.least(F.col("reach"), size / similarity)))))
+    ends = cut(asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least")))
+    sits = m.withColumn("cell", cell(size)).join(ends, ["leader", "cell"]).where("size <= most and reach >= least")
+    sits = cut(sits.select("leader", "cell", "node", "c"))
+    asks = asks.join(cut(sits.select("leader", "cell").distinct()), ["leader", "cell"]).select("leader", "cell", "node", "c")
+    sized = sits.unionByName(asks).select(F.xxhash64("leader", "cell", F.lit("size")).alias("bucket"), "node", "c")
+    both = added.unionByName(sized).distinct()
+    live = both.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("c0 < c1")
+    # Buckets of the same nodes, as of several shingles that come together, are one.
+    live = live.groupBy("n", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    return both.join(cut(live), "bucket").select("bucket", "node", "c", "n")
+
+
+def led(members: DataFrame, weight: DataFrame) -> DataFrame:
+    """node and leader, once each, of all buckets of ``members``."""
+    leaders = cut(members.join(weight, "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader")))
+    return members.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, row key, node, class_key and class_id (the least doc_id of the class) of every row of ``docs``."""
-    reach = 1 - similarity + 1e-9
     rows = cut(signed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text, doc_id).alias("rk"), F.col(text).alias("text")), "text"))
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rk").alias("rk"), F.first("bands").alias("bands")))
-    listed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = cut(listed.groupBy("band", "key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low < high"))
-    members = cut(listed.join(buckets, ["band", "key"]))
-    pairs = members.select("node", F.explode(F.array("low", "high")).alias("leader")).where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    listed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    sizes = cut(listed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    members = cut(listed.join(sizes, "bucket"))
+    # How often a node meets others: the most central of a group of copies leads it.
+    weight = cut(members.groupBy("node").agg(F.sum("n").alias("weight")))
     # Texts of the nodes that are in a bucket, one for each.
-    wanted = members.select("node").distinct().join(nodes.select("node", "rk"), "node")
+    wanted = weight.select("node").join(nodes.select("node", "rk"), "node")
     texts = docs.select(row_key(text, doc_id).alias("rk"), F.col(text).alias("text")).join(wanted, "rk").dropDuplicates(["rk"]).select("node", "text")
     texts = cut(texts)
-    measured = cut(compared(pairs, texts))
-    links = measured.where(F.col("similarity") >= similarity).select("a", "b")
-    found = components(links)
-
-    # Buckets that still hold several components: their pairs that the leaders' distances leave open.
-    placed = members.where("size > 3").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = placed.groupBy("band", "key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("band", "key")
-    known = measured.select("a", "b", F.lit(1.0).alias("one"), "similarity")
-    both = known.select(F.col("a").alias("node"), F.col("b").alias("leader"), "similarity").unionByName(known.select(F.col("b").alias("node"), F.col("a").alias("leader"), "similarity"))
-    left = placed.join(cut(open_), ["band", "key"]).where("node != low and node != high")
-    left = left.join(both.select("node", F.col("leader").alias("low"), F.col("similarity").alias("s0")), ["node", "low"]).join(both.select("node", F.col("leader").alias("high"), F.col("similarity").alias("s1")), ["node", "high"])
-    left = cut(left.select("band", "key", "node", "component", "s0", "s1"))
-    x, y = left.alias("x"), left.alias("y")
-    more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & (F.abs(F.col("x.s0") - F.col("y.s0")) <= reach) & (F.abs(F.col("x.s1") - F.col("y.s1")) <= reach))
-    more = cut(more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(measured, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.unionByName(compared(more, texts).where(F.col("similarity") >= similarity).select("a", "b"))
+    pairs, links = led(members, weight), None
+    while True:
+        measured = cut(compared(pairs, texts))
+        new = measured.where(F.col("similarity") >= similarity).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        links = new if links is None else links.unionByName(new)
         found = components(links)
+        if "small" in measured.columns:
+            measured = measured.where("not small")
+        buckets = cut(open_buckets(measured, found, similarity))
+        if buckets.isEmpty():
+            break
+        # Buckets of bounded size have their few open pairs compared; larger ones get a leader again.
+        few = buckets.where(F.col("n") <= FEW)
+        x, y = few.alias("x"), few.alias("y")
+        direct = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")))
+        direct = direct.select(F.col("x.node").alias("node"), F.col("y.node").alias("leader")).distinct().withColumn("small", F.lit(True))
+        pairs = direct.unionByName(led(buckets.where(F.col("n") > FEW), weight).withColumn("small", F.lit(False)))
     named = nodes.select("node", "doc_id").join(found, "node", "left").withColumn("class_key", F.coalesce("component", "node"))
     classes = cut(named.groupBy("class_key").agg(F.min("doc_id").alias("class_id")))
     named = cut(named.select("node", "class_key").join(classes, "class_key"))
