@@ -80,7 +80,6 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
     About ``sample`` rows of each language, those of least hash, make its centroids;
     idf counts all learned rows.
     """
-    spark = docs.sparkSession
     rows = docs.where(known & F.col(lang).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
     if not sizes:
@@ -101,9 +100,10 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
         df[r["term"]] = r["n"]
     idf = (np.log((1 + df[D]) / (1 + df[:D])) + 0.1).astype(np.float32)
 
-    share = spark.createDataFrame([(k, min(1.0, sample / n)) for k, n in sizes.items()], "name string, share double")
+    # One number for each language goes into the plan, so that texts aren't dealt out for a join.
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))]), F.col("lang"))
     drawn = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), (F.pmod(F.xxhash64(F.lit(5), doc_id), F.lit(1 << 20)) / float(1 << 20)).alias("at"))
-    drawn = drawn.join(share, F.col("lang") == F.col("name")).where("at < share").select("lang", "text")
+    drawn = drawn.where(F.col("at") < share).select("lang", "text")
 
     def cluster(key: tuple[str], rows: pd.DataFrame) -> pd.DataFrame:
         v = np.concatenate([vectors([t or "" for t in rows["text"].iloc[i : i + 50]], idf) for i in range(0, len(rows), 50)])
