@@ -1,4 +1,9 @@
 """All queries of the library by name, and the SQL that each must agree with."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from .plans import corpus, dedup, enrich, extra, html, preflight, runs, scoring, text
+
+_ALL = (scoring, dedup, text, html, enrich, corpus, preflight, runs, extra)
+QUERIES = {name: q for m in _ALL for name, q in m.CATALOG.queries.items()}
+ORACLES = {name: q for m in _ALL for name, q in m.CATALOG.oracles.items()}
