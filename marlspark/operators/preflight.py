@@ -7,7 +7,7 @@ quotes that are not verbatim runs Python (Arrow batches).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import pyarrow as pa
@@ -65,6 +65,11 @@ def issue(when: Column, severity: str, field: Column | str, category: str, messa
     return F.when(when, F.struct(F.lit(severity).alias("severity"), c(field).alias("field"), F.lit(category).alias("category"), c(message).alias("message")))
 
 
+def _two(f: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Column]:
+    """A function of exactly an item and its place, as higher-order functions want it."""
+    return lambda x, i: f(x, i)
+
+
 def schema_issues(v: Column) -> Column:
     """All schema, taxonomy and format issues of an analysis, in the order of the rules."""
     single = []
@@ -87,7 +92,7 @@ def schema_issues(v: Column) -> Column:
             cjk = issue(X.contains_cjk(F.try_variant_get(x, "$.evidence", "string")), "major", F.concat(name, F.lit(".evidence")), "format", "quote holds Chinese characters")
             return F.array(whole, *parts, cjk)
 
-        each.append(F.flatten(F.transform(items, lambda x, i, g=partial(item_issues, f, names): g(x, i))))
+        each.append(F.flatten(F.transform(items, _two(partial(item_issues, f, names)))))
     for p in PARTS:
         single.append(issue((kind_of(get(v, "proposal_evidence")) == "dict") & (kind_of(get(v, p)) != "str"), "critical", p, "schema", "expected a string"))
     for f in ("theme_primary", "theme_secondary"):
@@ -103,7 +108,8 @@ def quotes(v: Column) -> Column:
     out = []
     for f in LISTS:
         items = F.coalesce(F.try_variant_get(v, f"$.{f}", "array<variant>"), F.array().cast("array<variant>"))
-        out.append(F.transform(items, lambda x, i, f=f: F.struct(F.concat(F.lit(f + "["), i.cast("string"), F.lit("].evidence")).alias("field"), F.coalesce(F.try_variant_get(x, "$.evidence", "string"), F.lit("")).alias("quote"))))
+        name = partial(lambda f, x, i: F.struct(F.concat(F.lit(f + "["), i.cast("string"), F.lit("].evidence")).alias("field"), F.coalesce(F.try_variant_get(x, "$.evidence", "string"), F.lit("")).alias("quote")), f)
+        out.append(F.transform(items, _two(name)))
     return F.concat(*out)
 
 
