@@ -14,6 +14,7 @@ its most central node. Links are joined to components. Pairs of different
 components that the comparison leaves open are put in smaller buckets by rules that
 lose none (see open_buckets), which go through the same round, until none is left:
 no candidate link between components is lost, and no group's pairs are listed.
+Joins are merges throughout: no side has a proven bound, so none is broadcast.
 
 Cases: null and empty texts, and texts without words, have the empty multiset and
 are one class; a text of fewer than five words is one shingle; rows with equal id
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codes import U, mix, shingles, uniform, words
-from .common import cut, map_texts, row_key, table
+from .common import cut, map_texts, packed, row_key, table
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -139,8 +140,8 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     similarity; size of the node's multiset; shared, the overlap; added, shingles of which the node has more than the leader.
     """
-    one = pairs.join(texts.select("node", F.col("text").alias("x")), "node")
-    both = one.join(texts.select(F.col("node").alias("leader"), F.col("text").alias("y")), "leader").select("node", "leader", "x", "y", *([c for c in pairs.columns if c == "small"]))
+    one = pairs.join(texts.select("node", F.col("text").alias("x")).hint("merge"), "node")
+    both = one.join(texts.select(F.col("node").alias("leader"), F.col("text").alias("y")).hint("merge"), "leader").select("node", "leader", "x", "y", *([c for c in pairs.columns if c == "small"]))
     extra = both.columns[4:]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,11 +173,11 @@ def components(links: DataFrame) -> DataFrame:
         # Large star: all greater neighbours of a node go to the least of its neighbours and itself.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: a node's smaller neighbours and the node itself go to the least of them.
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
-        edges = cut(large.join(small, "u").select(ends).select("e.u", "e.v").where("u != v").distinct())
+        edges = cut(large.join(small.hint("merge"), "u").select(ends).select("e.u", "e.v").where("u != v").distinct())
         state, now = now, digest(edges)
     roots = edges.select(F.col("v").alias("node")).distinct()
     named = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
@@ -195,30 +196,30 @@ def open_buckets(measured: DataFrame, found: DataFrame, similarity: float) -> Da
     """
     share = similarity / (1 + similarity)
     mine, theirs = found.select("node", F.col("component").alias("c")), found.select(F.col("node").alias("leader"), F.col("component").alias("lc"))
-    m = measured.join(mine, "node", "left").join(theirs, "leader", "left").withColumns({"c": F.coalesce("c", "node"), "lc": F.coalesce("lc", "leader")})
+    m = measured.join(mine.hint("merge"), "node", "left").join(theirs.hint("merge"), "leader", "left").withColumns({"c": F.coalesce("c", "node"), "lc": F.coalesce("lc", "leader")})
     open_ = m.groupBy("leader").agg(F.max(F.col("c") != F.col("lc")).alias("open"), F.count("*").alias("n")).where("open and n > 1").select("leader")
-    m = cut(m.join(cut(open_), "leader"))
+    m = cut(m.join(cut(open_).hint("merge"), "leader"))
     added = m.select("node", "c", F.explode("added").alias("s"), "leader").select(F.xxhash64("leader", "s").alias("bucket"), "node", "c")
     m = m.select("leader", "node", "c", "lc", "size", (F.col("shared") / share - F.col("size") + 1e-6).alias("reach"))
     cell = lambda x: F.floor(F.log(F.greatest(x, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
     size = F.col("size").cast("double")
     asks = m.where((F.col("c") != F.col("lc")) & (F.col("reach") >= size * similarity)).withColumn("cell", F.explode(F.sequence(cell(size * similarity), cell(F.least(F.col("reach"), size / similarity)))))
     ends = cut(asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least")))
-    sits = m.withColumn("cell", cell(size)).join(ends, ["leader", "cell"]).where("size <= most and reach >= least")
+    sits = m.withColumn("cell", cell(size)).join(ends.hint("merge"), ["leader", "cell"]).where("size <= most and reach >= least")
     sits = cut(sits.select("leader", "cell", "node", "c"))
-    asks = asks.join(cut(sits.select("leader", "cell").distinct()), ["leader", "cell"]).select("leader", "cell", "node", "c")
+    asks = asks.join(cut(sits.select("leader", "cell").distinct()).hint("merge"), ["leader", "cell"]).select("leader", "cell", "node", "c")
     sized = sits.unionByName(asks).select(F.xxhash64("leader", "cell", F.lit("size")).alias("bucket"), "node", "c")
     both = added.unionByName(sized).distinct()
     live = both.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("c0 < c1")
     # Buckets of the same nodes, as of several shingles that come together, are one.
     live = live.groupBy("n", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    return both.join(cut(live), "bucket").select("bucket", "node", "c", "n")
+    return both.join(cut(live).hint("merge"), "bucket").select("bucket", "node", "c", "n")
 
 
 def led(members: DataFrame, weight: DataFrame) -> DataFrame:
     """node and leader, once each, of all buckets of ``members``."""
-    leaders = cut(members.join(weight, "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader")))
-    return members.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct()
+    leaders = cut(members.join(weight.hint("merge"), "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader")))
+    return members.join(leaders.hint("merge"), "bucket").where("node != leader").select("node", "leader").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -227,7 +228,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rk").alias("rk"), F.first("bands").alias("bands")))
     listed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
     sizes = cut(listed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    members = cut(listed.join(sizes, "bucket"))
+    members = cut(listed.join(sizes.hint("merge"), "bucket"))
     # How often a node meets others: the most central of a group of copies leads it.
     weight = cut(members.groupBy("node").agg(F.sum("n").alias("weight")))
     # Texts of the nodes that are in a bucket, one for each.
@@ -251,10 +252,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         direct = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")))
         direct = direct.select(F.col("x.node").alias("node"), F.col("y.node").alias("leader")).distinct().withColumn("small", F.lit(True))
         pairs = direct.unionByName(led(buckets.where(F.col("n") > FEW), weight).withColumn("small", F.lit(False)))
-    named = nodes.select("node", "doc_id").join(found, "node", "left").withColumn("class_key", F.coalesce("component", "node"))
+    named = nodes.select("node", "doc_id").join(found.hint("merge"), "node", "left").withColumn("class_key", F.coalesce("component", "node"))
     classes = cut(named.groupBy("class_key").agg(F.min("doc_id").alias("class_id")))
-    named = cut(named.select("node", "class_key").join(classes, "class_key"))
-    return rows.select("doc_id", "rk", "node").join(named, "node")
+    named = cut(named.select("node", "class_key").join(classes.hint("merge"), "class_key"))
+    return rows.select("doc_id", "rk", "node").join(named.hint("merge"), "node")
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
@@ -265,5 +266,5 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays: that of the least id (a null one last), ties by text."""
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "rk")
     kept = near_duplicates(docs).groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.rk").alias("__rk"))
-    columns = docs.columns
-    return docs.withColumn("__rk", row_key()).join(kept, "__rk", "left_semi").dropDuplicates(["__rk"]).select(*columns)
+    rows = packed(docs, row_key().alias("__rk"))
+    return rows.join(kept, "__rk", "left_semi").dropDuplicates(["__rk"]).select("__row.*")
