@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier.
 
 Voters. From a bounded sample of labelled rows, words (lexicon voters) and words'
-first four or five bytes (pattern voters) that occur far more often in toxic
-documents, by a G-test, vote toxic where they occur; three further voters vote on
+first four or five bytes (pattern voters) that occur nearly only in toxic documents,
+by a G-test and by share, vote toxic where they occur; three further voters vote on
 how many lexicon and pattern voters fire, and clean where none does.
 
 Label model. Expectation maximisation estimates each voter's rates of firing in
@@ -98,12 +98,12 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int =
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", doc_id: str = "doc_id", sample: int = 12_000, voters: int = 200, kept: int = 800, least: float = 20.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", doc_id: str = "doc_id", sample: int = 12_000, voters: int = 200, kept: int = 800, least: float = 20.0, precise: float = 0.7) -> Model:
     """Learn from labelled rows of ``docs`` where ``known`` (over doc_id) holds.
 
     At most about ``sample`` labelled documents are used, those of least hash;
     ``voters`` and ``kept`` bound the voters and the classifier's features, and
-    ``least`` is the G statistic that a voter needs.
+    ``least`` and ``precise`` are the G statistic and the share of toxic documents that a voter needs.
     """
     marks = labels.where(known & F.col("toxic").isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("__id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     total = marks.count()
@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", d
     x = np.zeros((len(hits), len(codes)), dtype=np.float32)
     for i, r in enumerate(hits):
         x[i, [place[c] for c in r["codes"]]] = 1
-    lexicon = [place[r["code"]] for r in sorted(top, key=lambda r: -r["g"]) if r["g"] >= least and r["pos"] / n1 > 3 * r["neg"] / n0][:voters]
+    lexicon = [place[r["code"]] for r in sorted(top, key=lambda r: -r["g"]) if r["g"] >= least and (r["pos"] + 0.5) / (r["pos"] + r["neg"] + 1) >= precise][:voters]
     if not lexicon:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(n1 / n0)), {}, np.zeros(0))
     fired = x[:, lexicon].sum(axis=1)
