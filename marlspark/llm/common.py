@@ -44,6 +44,11 @@ def fold(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` as one struct ``__row``, beside copies of the named columns: no other column can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *columns)
+
+
 def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive runs of ``texts`` of about ``most`` characters each."""
     start = size = 0
@@ -57,18 +62,18 @@ def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int
 
 
 def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema: str, text: str = "text") -> DataFrame:
-    """Add what ``fn`` makes of each row's text; the text itself is dropped, other columns stay.
+    """Add what ``fn`` makes of each row's text; the text itself is dropped, other columns stay but for those of the new names.
 
     ``fn`` gets whole texts (null as "") in chunks and returns Arrow arrays or
     lists by column. No shuffle; memory is bounded by a batch.
     """
-    kept = [c for c in df.columns if c != text]
-    full = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [schema])
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    arrow = to_arrow_schema(StructType.fromDDL(full))
-    made = arrow.names[len(kept) :]
+    made = StructType.fromDDL(schema).fieldNames()
+    kept = [c for c in df.columns if c != text and c not in made]
+    full = StructType([df.schema[c] for c in kept] + StructType.fromDDL(schema).fields)
+    arrow = to_arrow_schema(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

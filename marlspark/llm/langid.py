@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .codes import IS_LETTER, encode
-from .common import chunks, fold, map_texts, table
+from .common import chunks, fold, map_texts, packed, table
 
 BITS = 12
 D = 1 << BITS
@@ -146,9 +146,7 @@ def op1_identify_language(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those that the classifier rejects go.
 
-    The decision is joined by row, so rejected rows are told by id and text.
+    Each row carries its own decision, so nothing is joined.
     """
     model = fit(docs, fold("doc_id", 3) != 1)
-    columns = docs.columns
-    marked = predict(docs.withColumns({"__text": F.col("text")}).select(*columns, "__text"), model, "__text")
-    return marked.where("not rejected").select(*columns)
+    return predict(packed(docs, "text"), model).where("not rejected").select("__row.*")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, doc_key, row_key, table
+from .common import cut, doc_key, packed, row_key, table
 
 #: Leading tokens that are levels of the tree; fewest tokens of a line; fewest for a generalised third.
 DEPTH, LEAST, LONG = 3, 3, 12
@@ -55,9 +55,9 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc
     keyed = keyed_lines(docs, text, doc_id, depth, least, long)
     # Least and greatest document combine before the shuffle, so a line of a third of all documents is as cheap as any.
     recurring = cut(keyed.groupBy("key").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).where("first < last").select("key", "first"))
-    drops = keyed.join(recurring, "key").where("dk > first").groupBy("rk").agg(F.collect_set("pos").alias("__drop"))
+    drops = keyed.join(recurring, "key").where("dk > first").groupBy(F.col("rk").alias("__drop_rk")).agg(F.collect_set("pos").alias("__drop"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    body = docs.select(*columns, row_key(text, doc_id).alias("__rk")).join(drops, F.col("__rk") == F.col("rk"), "left")
+    body = docs.select(*columns, row_key(text, doc_id).alias("__drop_key")).join(drops, F.col("__drop_key") == F.col("__drop_rk"), "left")
     lines = F.split(F.col(text), "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
     changed = body.withColumns({
@@ -101,7 +101,6 @@ FROM l LEFT JOIN d ON l.doc_id = d.doc_id AND l.pos = d.pos GROUP BY l.doc_id
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without recurring lines; n_chars is that of the text left."""
-    kept = drop_recurring_lines(docs)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    kept = drop_recurring_lines(packed(docs, "doc_id", "text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text")}
+    return kept.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])

@@ -215,22 +215,23 @@ class Mix:
         plan, text, seed = self.plan, self.text, self.seed
         added = ["shard", "position", "turn", "start", "end"]
         kept = [c for c in self.docs.columns if c not in (*added, text)]
-        body = self.docs.select(*kept, text, row_key(text, self.doc_id).alias("__rk"))
-        where = self.placed.groupBy("rk", "sid", "size").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
-        body = body.join(where, body["__rk"] == where["rk"]).withColumn("__n", F.row_number().over(Window.partitionBy("__rk").orderBy(F.lit(0))))
-        body = body.select(*kept, F.col(text), F.col("sid").alias("__sid"), F.col("size").alias("__size"), F.element_at("offsets", F.col("__n")).alias("__offset"), F.col("__rk"))
-        kinds = {c: self.docs.schema[c].dataType.simpleString() for c in kept}
-        schema = ", ".join([*(f"`{c}` {k}" for c, k in kinds.items()), f"`{text}` string", *(f"{c} long" for c in added)])
+        # Other columns travel as one struct, so that none can clash.
+        rest = F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(None).alias("none")]).alias("__kept")
+        body = self.docs.select(rest, F.col(text).alias("__text"), row_key(text, self.doc_id).alias("__rk"))
+        where = self.placed.groupBy(F.col("rk").alias("__rk"), "sid", "size").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
+        body = body.join(where, "__rk").withColumn("__n", F.row_number().over(Window.partitionBy("__rk").orderBy(F.lit(0))))
+        body = body.select("__kept", "__text", "sid", "size", F.element_at("offsets", F.col("__n")).alias("offset"))
+        fields = f"__kept {body.schema['__kept'].dataType.simpleString()}, __text string, " + ", ".join(f"`{c}` long" for c in added)
 
         def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = re.compile(WORD)
             for b in batches:
                 get = lambda name: b.column(b.schema.get_field_index(name)).to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
-                texts = b.column(b.schema.get_field_index(text))
-                p = pieces(plan, get("__sid"), get("__offset"), get("__size"))
+                texts = b.column(1)
+                p = pieces(plan, get("sid"), get("offset"), get("size"))
                 order = np.argsort(p["row"], kind="stable")
                 p = {k: v[order] for k, v in p.items()}
-                size, cut_text, last, at = get("__size"), [], -1, []
+                size, cut_text, last, at = get("size"), [], -1, []
                 for r, a, z in zip(p["row"].tolist(), p["start"].tolist(), p["end"].tolist(), strict=True):
                     if a == 0 and z == size[r]:
                         cut_text.append(texts[r].as_py())
@@ -241,13 +242,12 @@ class Mix:
                     cut_text.append(whole[at[a][0] : at[z - 1][1]])
                 from .codes import mix
 
-                slot = mix(p["slot"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(get("__sid")[p["row"]].astype(np.uint64) + np.uint64(seed))) >> np.uint64(1)
+                slot = mix(p["slot"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(get("sid")[p["row"]].astype(np.uint64) + np.uint64(seed))) >> np.uint64(1)
                 p["position"] = slot.astype(np.int64)
-                rest = b.select(kept).take(pa.array(p["row"])) if kept else None
-                columns = [rest.column(i) for i in range(len(kept))] + [pa.array(cut_text, pa.string())] + [pa.array(p[c]) for c in added]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, text, *added])
+                columns = [b.column(0).take(pa.array(p["row"])), pa.array(cut_text, pa.string())] + [pa.array(p[c]) for c in added]
+                yield pa.RecordBatch.from_arrays(columns, names=["__kept", "__text", *added])
 
-        mixed = body.mapInArrow(slices, schema)
+        mixed = body.mapInArrow(slices, fields).select(*[F.col(f"__kept.`{c}`").alias(c) for c in kept], F.col("__text").alias(text), *added)
         return mixed.repartition("shard").sortWithinPartitions("shard", "position", "start")
 
 

@@ -100,7 +100,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
     rule, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
     added = ("host", "path", "rule", "verdict", "score", "host_words", html)
     columns = [c for c in pages.columns if c not in added]
-    parsed = pages.select(*columns, *([] if url in columns else [F.col(url)]), host.alias("__host"), path.alias("__path")).withColumns({"__rule": rule, "__verdict": verdict})
+    row = F.struct(*[F.col(f"`{c}`") for c in columns] or [F.lit(None).alias("none")]).alias("__row")  # nothing in it can clash
+    parsed = pages.select(row, host.alias("__host"), path.alias("__path")).withColumns({"__rule": rule, "__verdict": verdict})
     hosts = cut(segmented_hosts(parsed.select(F.col("__host").alias("host")).distinct(), word_counts(F.col(html), pages)))
     joined = parsed.join(hosts, F.col("__host") == F.col("host"), "left").drop("host")
     parts = F.array_remove(F.split(F.regexp_replace(F.lower("__path"), "[0-9]+", "#"), r"[/._=&-]+"), "")
@@ -128,7 +129,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
             yield pa.RecordBatch.from_arrays([*b.select(list(kept)).columns, pa.array(1 / (1 + np.exp(-np.clip(odds, -40, 40))))], names=[*kept, "__score"])
 
     judged = ready.mapInArrow(score, ", ".join(f"`{c}` {k}" for c, k in kept.items()) + ", __score double")
-    return judged.select(*columns, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), F.coalesce("__verdict", F.when(F.col("__score") > 0.5, "block").otherwise("allow")).alias("verdict"), F.col("__score").alias("score"), F.col("words").alias("host_words"))
+    return judged.select(*[F.col(f"__row.`{c}`").alias(c) for c in columns], F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), F.coalesce("__verdict", F.when(F.col("__score") > 0.5, "block").otherwise("allow")).alias("verdict"), F.col("__score").alias("score"), F.col("words").alias("host_words"))
 
 
 def op6_judge_urls(spark, sf_dir: str) -> DataFrame:
