@@ -257,10 +257,13 @@ def test_secrets_keep_base_spans_and_add_formats(spark):
     rng = np.random.default_rng(1)
     key = lambda p: p + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16))
     rows = [(i, f"note the key {key('AKIA')} in these transcontinental words misunderstanding") for i in range(200)]
+    word = lambda: "".join(rng.choice(list("aeiounrtslm"), rng.integers(12, 18)))
+    rows += [(2000 + i, " ".join(word() for _ in range(5))) for i in range(100)]
     rows += [(1000, f"an unlisted {key('ASIA')} key"), (1001, "incomprehensibilities-and-understandings"), (1002, None)]
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1000] == [("format", 12, 32)] and got[1001] == [] and got[1002] == []
     assert all(v == [("access", 13, 33)] for k, v in got.items() if k < 1000)
+    assert all(v == [] for k, v in got.items() if k >= 2000)
 
 
 def test_secret_cases(spark):
