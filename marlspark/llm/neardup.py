@@ -166,10 +166,9 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """node and component (its least node) of all nodes in ``links`` (a, b): alternating large and small stars."""
-    digest = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    state, now = None, digest(edges)
-    while state != now:
+    # Done when all are stars: no node that others point to points on, or to two.
+    while not (edges.join(edges.select(F.col("u").alias("v")).hint("merge"), "v", "left_semi").isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty()):
         # Large star: all greater neighbours of a node go to the least of its neighbours and itself.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
@@ -178,7 +177,6 @@ def components(links: DataFrame) -> DataFrame:
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
         edges = cut(large.join(small.hint("merge"), "u").select(ends).select("e.u", "e.v").where("u != v").distinct())
-        state, now = now, digest(edges)
     roots = edges.select(F.col("v").alias("node")).distinct()
     named = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
     return cut(named.groupBy("node").agg(F.min("component").alias("component")))
@@ -198,22 +196,22 @@ def open_buckets(measured: DataFrame, found: DataFrame, similarity: float) -> Da
     mine, theirs = found.select("node", F.col("component").alias("c")), found.select(F.col("node").alias("leader"), F.col("component").alias("lc"))
     m = measured.join(mine.hint("merge"), "node", "left").join(theirs.hint("merge"), "leader", "left").withColumns({"c": F.coalesce("c", "node"), "lc": F.coalesce("lc", "leader")})
     open_ = m.groupBy("leader").agg(F.max(F.col("c") != F.col("lc")).alias("open"), F.count("*").alias("n")).where("open and n > 1").select("leader")
-    m = cut(m.join(cut(open_).hint("merge"), "leader"))
+    m = cut(m.join(open_.hint("merge"), "leader"))
     added = m.select("node", "c", F.explode("added").alias("s"), "leader").select(F.xxhash64("leader", "s").alias("bucket"), "node", "c")
     m = m.select("leader", "node", "c", "lc", "size", (F.col("shared") / share - F.col("size") + 1e-6).alias("reach"))
     cell = lambda x: F.floor(F.log(F.greatest(x, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
     size = F.col("size").cast("double")
     asks = m.where((F.col("c") != F.col("lc")) & (F.col("reach") >= size * similarity)).withColumn("cell", F.explode(F.sequence(cell(size * similarity), cell(F.least(F.col("reach"), size / similarity)))))
-    ends = cut(asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least")))
+    ends = asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least"))
     sits = m.withColumn("cell", cell(size)).join(ends.hint("merge"), ["leader", "cell"]).where("size <= most and reach >= least")
     sits = cut(sits.select("leader", "cell", "node", "c"))
-    asks = asks.join(cut(sits.select("leader", "cell").distinct()).hint("merge"), ["leader", "cell"]).select("leader", "cell", "node", "c")
+    asks = asks.join(sits.select("leader", "cell").distinct().hint("merge"), ["leader", "cell"]).select("leader", "cell", "node", "c")
     sized = sits.unionByName(asks).select(F.xxhash64("leader", "cell", F.lit("size")).alias("bucket"), "node", "c")
     both = added.unionByName(sized).distinct()
     live = both.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("c0 < c1")
     # Buckets of the same nodes, as of several shingles that come together, are one.
     live = live.groupBy("n", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    return both.join(cut(live).hint("merge"), "bucket").select("bucket", "node", "c", "n")
+    return both.join(live.hint("merge"), "bucket").select("bucket", "node", "c", "n")
 
 
 def led(members: DataFrame, weight: DataFrame) -> DataFrame:
@@ -235,12 +233,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     wanted = weight.select("node").join(nodes.select("node", "rk"), "node")
     texts = docs.select(row_key(text, doc_id).alias("rk"), F.col(text).alias("text")).join(wanted, "rk").dropDuplicates(["rk"]).select("node", "text")
     texts = cut(texts)
-    pairs, links = led(members, weight), None
+    pairs, links, found, large = led(members, weight), None, None, True
     while True:
         measured = cut(compared(pairs, texts))
         new = measured.where(F.col("similarity") >= similarity).select(F.col("node").alias("a"), F.col("leader").alias("b"))
-        links = new if links is None else links.unionByName(new)
-        found = components(links)
+        if found is None or not new.isEmpty():
+            # Earlier links count by their components, so that each round's work is its own.
+            links = new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            found = components(links)
+        if not large:
+            break
         if "small" in measured.columns:
             measured = measured.where("not small")
         buckets = cut(open_buckets(measured, found, similarity))
@@ -251,7 +253,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         x, y = few.alias("x"), few.alias("y")
         direct = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")))
         direct = direct.select(F.col("x.node").alias("node"), F.col("y.node").alias("leader")).distinct().withColumn("small", F.lit(True))
-        pairs = direct.unionByName(led(buckets.where(F.col("n") > FEW), weight).withColumn("small", F.lit(False)))
+        large = not buckets.where(F.col("n") > FEW).isEmpty()
+        pairs = direct
+        if large:
+            pairs = direct.unionByName(led(buckets.where(F.col("n") > FEW), weight).withColumn("small", F.lit(False)))
     named = nodes.select("node", "doc_id").join(found.hint("merge"), "node", "left").withColumn("class_key", F.coalesce("component", "node"))
     classes = cut(named.groupBy("class_key").agg(F.min("doc_id").alias("class_id")))
     named = cut(named.select("node", "class_key").join(classes.hint("merge"), "class_key"))
