@@ -26,6 +26,7 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +165,18 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(compare, "node binary, leader binary, similarity double, size long, shared long, added array<long>" + ", small boolean" * len(extra))
 
 
+@contextmanager
+def planned_once(df: DataFrame) -> Iterator[None]:
+    """Without adaptive re-planning: for rounds of many small steps, whose plans and events would fill the driver."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and component (its least node) of all nodes in ``links`` (a, b): alternating large and small stars."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
@@ -196,18 +209,18 @@ def open_buckets(measured: DataFrame, found: DataFrame, similarity: float) -> Da
     mine, theirs = found.select("node", F.col("component").alias("c")), found.select(F.col("node").alias("leader"), F.col("component").alias("lc"))
     m = measured.join(mine.hint("merge"), "node", "left").join(theirs.hint("merge"), "leader", "left").withColumns({"c": F.coalesce("c", "node"), "lc": F.coalesce("lc", "leader")})
     open_ = m.groupBy("leader").agg(F.max(F.col("c") != F.col("lc")).alias("open"), F.count("*").alias("n")).where("open and n > 1").select("leader")
-    m = cut(m.join(open_.hint("merge"), "leader"))
+    m = cut(m.join(cut(open_).hint("merge"), "leader"))
     added = m.select("node", "c", F.explode("added").alias("s"), "leader").select(F.xxhash64("leader", "s").alias("bucket"), "node", "c")
     m = m.select("leader", "node", "c", "lc", "size", (F.col("shared") / share - F.col("size") + 1e-6).alias("reach"))
     cell = lambda x: F.floor(F.log(F.greatest(x, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
     size = F.col("size").cast("double")
     asks = m.where((F.col("c") != F.col("lc")) & (F.col("reach") >= size * similarity)).withColumn("cell", F.explode(F.sequence(cell(size * similarity), cell(F.least(F.col("reach"), size / similarity)))))
-    ends = asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least"))
+    ends = cut(asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least")))
     sits = m.withColumn("cell", cell(size)).join(ends.hint("merge"), ["leader", "cell"]).where("size <= most and reach >= least")
     sits = cut(sits.select("leader", "cell", "node", "c"))
     asks = asks.join(sits.select("leader", "cell").distinct().hint("merge"), ["leader", "cell"]).select("leader", "cell", "node", "c")
     sized = sits.unionByName(asks).select(F.xxhash64("leader", "cell", F.lit("size")).alias("bucket"), "node", "c")
-    both = added.unionByName(sized).distinct()
+    both = cut(added.unionByName(sized).distinct())
     live = both.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("c0 < c1")
     # Buckets of the same nodes, as of several shingles that come together, are one.
     live = live.groupBy("n", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
@@ -240,14 +253,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         if found is None or not new.isEmpty():
             # Earlier links count by their components, so that each round's work is its own.
             links = new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            found = components(links)
+            with planned_once(docs):
+                found = components(links)
         if not large:
             break
         if "small" in measured.columns:
             measured = measured.where("not small")
-        buckets = cut(open_buckets(measured, found, similarity))
-        if buckets.isEmpty():
-            break
+        with planned_once(docs):
+            buckets = cut(open_buckets(measured, found, similarity))
+            if buckets.isEmpty():
+                break
         # Buckets of bounded size have their few open pairs compared; larger ones get a leader again.
         few = buckets.where(F.col("n") <= FEW)
         x, y = few.alias("x"), few.alias("y")
