@@ -8,6 +8,7 @@ quotes that are not verbatim runs Python (Arrow batches).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from difflib import SequenceMatcher
 from functools import partial
 
 import pyarrow as pa
@@ -113,34 +114,58 @@ def quotes(v: Column) -> Column:
     return F.concat(*out)
 
 
+def common_length(where: dict[str, int], n: int, y: str) -> int:
+    """Length of the longest common subsequence of ``y`` and a text of n characters, whose places by character are bits of ``where``."""
+    full = (1 << n) - 1
+    v = full
+    for c in y:
+        if m := where.get(c):
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
+
+
+def best_match(x: str, options: list[str]) -> tuple[float, int | None]:
+    """difflib's largest ratio of ``x`` and an option, and the first option that has it.
+
+    Characters in common, and then the longest common subsequence, bound what
+    difflib can match; an option whose bound can't win is not compared.
+    """
+    where: dict[str, int] = {}
+    for i, c in enumerate(x):
+        where[c] = where.get(c, 0) | 1 << i
+    n = {c: m.bit_count() for c, m in where.items()}
+    of = lambda matched, y: 2.0 * matched / (len(x) + len(y)) if x or y else 1.0
+    bounds = [of(sum(min(k, y.count(c)) for c, k in n.items()), y) for y in options]
+    best, which = 0.0, None
+    wins = lambda r, i: which is None or r > best or (r == best and i < which)
+    for i in sorted(range(len(options)), key=lambda i: -bounds[i]):
+        if which is not None and bounds[i] < best:
+            break
+        y = options[i]
+        if wins(bounds[i], i) and wins(of(common_length(where, len(x), y), y), i):
+            r = SequenceMatcher(None, x, y).ratio()
+            if wins(r, i):
+                best, which = r, i
+    return best, which
+
+
 def best_sentences(pairs: DataFrame, quote: str, sentences: str) -> DataFrame:
     """Add ratio (rounded to three places) and sentence: the first sentence most like the quote, by difflib's ratio.
 
     ``pairs`` should hold only quotes that are not verbatim. Upper bounds of the
-    ratio skip sentences that can't beat the best so far, which changes nothing.
+    ratio skip sentences that can't be the best, which changes nothing.
     """
     schema = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in pairs.columns) + ", ratio double, sentence string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from difflib import SequenceMatcher
-
         for b in batches:
             q, s = (b.column(b.schema.get_field_index(c)).to_pylist() for c in (quote, sentences))
             ratio, found = [], []
             for x, options in zip(q, s, strict=True):
-                best, which = 0.0, None
-                m = SequenceMatcher(None, (x or "").lower())
-                for o in options or ():
-                    y = o.lower()
-                    m.set_seq2(y)
-                    # difflib caches the second sequence, so the quote goes there for the true ratio.
-                    if which is not None and m.real_quick_ratio() <= best:
-                        continue
-                    r = SequenceMatcher(None, (x or "").lower(), y).ratio()
-                    if which is None or r > best:
-                        best, which = r, o
+                best, which = best_match((x or "").lower(), [o.lower() for o in options or ()])
                 ratio.append(round(best, 3))
-                found.append(which)
+                found.append(None if which is None else options[which])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ratio, pa.float64()), pa.array(found, pa.string())], names=[*b.schema.names, "ratio", "sentence"])
 
     return pairs.mapInArrow(run, schema)
@@ -161,9 +186,8 @@ def check_quotes(pairs: DataFrame, quote: str = "quote", body: str = "body") ->
     # Texts of verbatim quotes need not reach Python.
     marked = marked.withColumn("__q", X.normalized_text(F.coalesce(quote, F.lit("")))).withColumn("__s", F.when(~F.col("__verbatim") & (F.trim("__q") != ""), X.sentences(F.col(body))))
     kept = [c for c in pairs.columns if c != body]
-    exact = marked.where("__s is null").select(*kept, "__verbatim", F.when(F.col("__verbatim"), 1.0).otherwise(0.0).alias("ratio"), F.lit(None).cast("string").alias("sentence"))
-    fuzzy = best_sentences(marked.where("__s is not null").select(*kept, "__verbatim", "__q", "__s"), "__q", "__s").select(*kept, "__verbatim", "ratio", "sentence")
-    both = exact.unionByName(fuzzy)
+    # One pass: rows without sentences to compare get ratio 0 and no sentence there.
+    both = best_sentences(marked.select(*kept, "__verbatim", "__q", "__s"), "__q", "__s").withColumn("ratio", F.when(F.col("__verbatim"), 1.0).otherwise(F.col("ratio")))
     status, severity = quote_verdict(F.col(quote), F.col("__verbatim"), F.col("ratio"))
     return both.select(*kept, status.alias("status"), severity.alias("severity"), "ratio", "sentence")
 

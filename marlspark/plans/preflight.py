@@ -82,10 +82,13 @@ def evidence_exact(spark, sf_dir):
 
 @CATALOG.query()
 def evidence_fuzzy(spark, sf_dir):
-    """Quotes made from each page's first words against its document; difflib has no SQL."""
-    docs = table(spark, sf_dir, "documents").where("n_chars < 2000")
-    quote = F.concat(F.substring(F.regexp_replace("text", "e", "e "), 1, 60), F.lit("."))
-    pairs = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 50)).when(F.col("doc_id") % 3 == 1, quote).otherwise("").alias("quote"), F.col("text").alias("body"))
+    """Quotes drawn from anywhere in each document against the whole of it; difflib has no SQL."""
+    docs = table(spark, sf_dir, "documents")
+    room = F.greatest(F.length("text") - 60, F.lit(0)) + 1  # places where a quote of 60 characters can start
+    at = (F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % room + 1).cast("int")
+    drawn = lambda n: F.substring("text", at, F.lit(n))
+    changed = F.concat(F.regexp_replace(drawn(60), "e", "e "), F.lit("."))
+    pairs = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, drawn(50)).when(F.col("doc_id") % 3 == 1, changed).otherwise("").alias("quote"), F.col("text").alias("body"))
     return P.check_quotes(pairs).select("doc_id", "status", "severity", "ratio")
 
 

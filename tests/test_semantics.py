@@ -2,12 +2,16 @@
 
 import difflib
 import json
+import random
+import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from marlspark.functions import text as X
 from marlspark.operators import corpus, dedup, enrich, preflight, runs, scoring
+from marlspark.plans.preflight import evidence_fuzzy
 from marlspark.schemas import DB, UNAVAILABLE
 from marlspark.sources import sinks, tables
 
@@ -158,6 +162,39 @@ def test_quotes_use_the_rounded_ratio(spark):
     assert [tuple(r) for r in v.select(s, sev).collect()] == [("partial", "minor"), ("fail", "major"), ("fail", "major"), ("fail", "critical")]
 
 
+def test_quotes_of_whole_long_texts_equal_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdeeeilmnorst", k=rng.randint(2, 9)))
+    text = lambda n: " ".join(" ".join(word() for _ in range(rng.randint(3, 25))) + rng.choice(".!?") for _ in range(n))
+    rows = [(i, text(rng.choice([1, 4, 60, 150]))) for i in range(45)] + [(45, "short"), (46, "eel"), (48, None), (49, ""), (None, text(3))]
+    rows = [(i, t, None if i == 4 else len(t or "")) for i, t in rows]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    want, late = {}, 0
+    for i, t, _ in rows:
+        t = t or ""
+        at = zlib.crc32(str(i).encode()) % (max(len(t) - 60, 0) + 1) if i is not None else 0
+        late += at > 2000
+        quote = t[at : at + 50] if i is not None and i % 3 == 0 else t[at : at + 60].replace("e", "e ") + "." if i is not None and i % 3 == 1 else ""
+        q, whole = (" ".join(x.split()) for x in (quote, t))
+        if not q or t == "" and i == 48:
+            want[i] = ("fail", "critical", 0.0)
+        elif q in whole:
+            want[i] = ("pass", None, 1.0)
+        else:
+            r = max((round(difflib.SequenceMatcher(None, q, s).ratio(), 3) for s in re.split(r"(?<=[.!?])\s+", whole) if s), default=0.0)
+            want[i] = ("partial", "minor", r) if r >= 0.85 else ("fail", "major" if r >= 0.6 else "critical", r)
+    got = {r.doc_id: (r.status, r.severity, r.ratio) for r in evidence_fuzzy(spark, str(tmp_path)).collect()}
+    assert late > 10 and len(got) == len(rows) and got == want
+
+
+def test_best_match_is_the_first_best_of_difflib():
+    rng = random.Random(4)
+    for _ in range(300):
+        x, *options = ("".join(rng.choices("ab c", k=rng.randint(1, 12))) for _ in range(rng.randint(1, 9)))
+        ratios = [difflib.SequenceMatcher(None, x, y).ratio() for y in options]
+        assert preflight.best_match(x, options) == ((max(ratios), ratios.index(max(ratios))) if options else (0.0, None))
+
+
 def test_csv_round_trip_keeps_blanks(spark, tmp_path):
     rows = [("doi:1", 'say "hi"\nthere', "", "2024", "OSDI", "", "u", "")]
     df = spark.createDataFrame(rows, DB)
