@@ -2,8 +2,8 @@
 
 Documents are cut into passages: windows of 64 words, 32 words apart. Passages and
 benchmark items are TF-IDF vectors over the words of the items, whose document
-frequencies count all documents; words of a fiftieth of all documents or more (and
-of twenty) carry no weight. A distributed randomised SVD (one pass: every task sums
+frequencies count all documents; common words weigh little, but none weighs nothing,
+since a leak in many documents makes its own words common. A distributed randomised SVD (one pass: every task sums
 A'(A W) over its passages, W Gaussian; the driver takes the Nystroem
 factorisation of that sum and the items' own share) gives a latent space. Passages
 whose cosine to an item is high enough there are candidates. A candidate is
@@ -14,8 +14,8 @@ nearly whole needs no answer, so paraphrases and exact copies are both found.
 Items are handled in blocks of bounded size, each over all documents, so what the
 driver and the tasks hold (words of a block by rank) is bounded.
 
-Cases: null and empty texts match nothing; items of fewer than five words, or of
-common words alone, are not searched; items with equal id and text count once; a null item_id is kept as such;
+Cases: null and empty texts match nothing; items of fewer than five words are not
+searched; items with equal id and text count once; a null item_id is kept as such;
 rows are judged alone, so repeated rows repeat; either table may be empty.
 """
 
@@ -37,8 +37,6 @@ HALF = 32
 BLOCK, RANK = 512, 160
 #: Least cosine of a candidate, share of the item that the common subsequence needs with and without the answer, share of the answer.
 COSINE, PART, WHOLE, ANSWER = 0.5, 0.6, 0.85, 0.5
-#: A word in this share of all documents or more, and in FEW at least, carries no weight.
-COMMON, FEW = 0.02, 20
 LEAST_WORDS = 5
 
 
@@ -181,9 +179,7 @@ def sketch(docs: DataFrame, text: str, vocabulary: np.ndarray, scaled: np.ndarra
 def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK, seed: int = 1) -> Latent:
     vocabulary = np.unique(np.array([c for it in items for c in it.codes], dtype=np.uint64))
     df, n = frequencies(docs, text, vocabulary)
-    rare = df < max(COMMON * n, FEW)
-    # Words without weight are left out of the vocabulary, so that no pass gathers them.
-    vocabulary, idf = vocabulary[rare], np.log((n + 1) / (df[rare] + 1)) + 1
+    idf = np.log((n + 1) / (df + 1)) + 1
     v = len(vocabulary)
     if not v:
         return Latent(vocabulary, np.zeros((0, 1), np.float32), np.zeros((len(items), 1), np.float32))

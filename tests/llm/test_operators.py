@@ -223,6 +223,26 @@ def test_paraphrases_are_found_and_others_are_not(spark):
     assert got == want
 
 
+def test_leaks_in_a_third_of_all_documents_are_found(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmno"), 6))
+    common = [word() for _ in range(60)]
+    filler = lambda n: [common[rng.integers(60)] if rng.random() < 0.5 else word() for _ in range(n)]
+    items = [[word() for _ in range(30)] for _ in range(6)] + [[common[i] for i in rng.permutation(60)[:30]]]
+    rows, want = [], set()
+    for i in range(300):
+        body = filler(int(rng.integers(60, 200)))
+        k = 0 if i % 3 == 0 else 1 + i % 5 if i % 50 == 1 else 6 if i % 50 == 2 else None
+        if k is not None:
+            at = int(rng.integers(len(body)))
+            body[at:at] = items[k]
+            want.add((i, k))
+        rows.append((i, " ".join(body)))
+    b = spark.createDataFrame([(k, " ".join(it)) for k, it in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, x.item_id) for r in leaks.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), b).collect() for x in r.leaks}
+    assert got == want
+
+
 def test_leak_cases(spark):
     m = messy(spark)
     b = spark.createDataFrame([(1, None), (2, ""), (None, "a text without an id, but words"), (3, "too short"), (4, "same row twice, same row twice")], "item_id long, text string")
