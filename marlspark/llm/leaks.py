@@ -1,17 +1,18 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Documents are cut into passages: windows of 64 words, 32 words apart. Passages and
-benchmark items are TF-IDF vectors over the words of the items, whose document
+pieces of benchmark items (cut in the same way) are TF-IDF vectors over the words of the items, whose document
 frequencies count all documents; common words weigh little, but none weighs nothing,
 since a leak in many documents makes its own words common. A distributed randomised SVD (one pass: every task sums
 A'(A W) over its passages, W Gaussian; the driver takes the Nystroem
 factorisation of that sum and the items' own share) gives a latent space. Passages
-whose cosine to an item is high enough there are candidates. A candidate is
-confirmed on words: the longest common subsequence of item and passage, and
-whether the item's answer, its last quarter, is in the passage too. An item that is
+whose cosine to a piece is high enough there are candidates. A candidate is
+confirmed on words: the longest common subsequence of the whole item and
+the passage with what is around it (as much as the item is long, if that is more than
+a passage), and whether the item's answer, its last quarter, is there too. An item that is
 nearly whole needs no answer, so paraphrases and exact copies are both found.
 
-Items are handled in blocks of bounded size, each over all documents, so what the
+Items are handled in blocks of a bounded number of pieces, each over all documents, so what the
 driver and the tasks hold (words of a block by rank) is bounded.
 
 Cases: null and empty texts match nothing; items of fewer than five words are not
@@ -33,7 +34,7 @@ from .codes import U, word_codes, words
 from .common import chunks, map_texts, packed, table
 
 HALF = 32
-#: Items of a block and dimensions of its latent space.
+#: Pieces of a block's items and dimensions of its latent space.
 BLOCK, RANK = 512, 160
 #: Least cosine of a candidate, share of the item that the common subsequence needs with and without the answer, share of the answer.
 COSINE, PART, WHOLE, ANSWER = 0.5, 0.6, 0.85, 0.5
@@ -108,12 +109,17 @@ class Item:
     item_id: int | None
     codes: list[int]
 
+    def pieces(self) -> list[list[int]]:
+        """The item cut into passages like a document; a short one is one piece."""
+        return [self.codes[x : x + 2 * HALF] for x in range(0, max(len(self.codes) - HALF, 1), HALF)]
+
 
 @dataclass
 class Latent:
     vocabulary: np.ndarray  # sorted codes
     basis: np.ndarray  # words by rank, idf included
-    items: np.ndarray  # unit vectors by item
+    pieces: np.ndarray  # unit vectors by piece
+    owner: np.ndarray  # item of each piece
 
 
 def frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
@@ -181,11 +187,13 @@ def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK
     df, n = frequencies(docs, text, vocabulary)
     idf = np.log((n + 1) / (df + 1)) + 1
     v = len(vocabulary)
+    pieces = [p for it in items for p in it.pieces()]
+    owner = np.repeat(np.arange(len(items)), [len(it.pieces()) for it in items])
     if not v:
-        return Latent(vocabulary, np.zeros((0, 1), np.float32), np.zeros((len(items), 1), np.float32))
-    a = np.zeros((len(items), v))  # bounded by a block's items and words
-    for i, it in enumerate(items):
-        own_codes = np.array(it.codes, np.uint64)
+        return Latent(vocabulary, np.zeros((0, 1), np.float32), np.zeros((len(pieces), 1), np.float32), owner)
+    a = np.zeros((len(pieces), v))  # bounded by a block's pieces and words
+    for i, p in enumerate(pieces):
+        own_codes = np.array(p, np.uint64)
         at = np.minimum(np.searchsorted(vocabulary, own_codes), v - 1)
         np.add.at(a[i], at[vocabulary[at] == own_codes], 1)
     a *= idf
@@ -204,7 +212,7 @@ def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK
     u = np.linalg.svd(half, full_matrices=False)[0]
     q = a @ u
     q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-    return Latent(vocabulary, (idf[:, None] * u).astype(np.float32), q.astype(np.float32))
+    return Latent(vocabulary, (idf[:, None] * u).astype(np.float32), q.astype(np.float32), owner)
 
 
 def matches(texts: list[str], items: list[Item], latent: Latent, near: np.ndarray, answers: list[list[int]], cosine: float = COSINE) -> list[dict[int, tuple[float, float, float]]]:
@@ -218,18 +226,22 @@ def matches(texts: list[str], items: list[Item], latent: Latent, near: np.ndarra
         p = rows[a[x : x + (1 << 13)]] + np.where((z > a)[x : x + (1 << 13), None], rows[z[x : x + (1 << 13)]], 0)
         norm = np.sqrt((p * p).sum(axis=1))
         some = np.flatnonzero(norm > 1e-6)
-        c = (p[some] / norm[some, None]) @ latent.items.T
-        who, item = np.nonzero(c >= cosine)
-        for w, i, s in zip(some[who] + x, item.tolist(), c[who, item].tolist(), strict=True):
+        c = (p[some] / norm[some, None]) @ latent.pieces.T
+        who, piece = np.nonzero(c >= cosine)
+        near_by: dict[tuple[int, int], float] = {}  # passage and item: best cosine of the item's pieces
+        for w, i, s in zip((some[who] + x).tolist(), latent.owner[piece].tolist(), c[who, piece].tolist(), strict=True):
+            near_by[w, i] = max(s, near_by.get((w, i), s))
+        for (w, i), s in near_by.items():
             t = int(text[w])
             best = out[t].get(i)
             if best and best[0] >= 1.0:
                 continue
-            # The passage and half of one more on either side, in words.
-            lo = max(0, (int(a[w]) - int(base[t])) * HALF - HALF // 2)
-            hi = min(int(h.count[t]), (int(z[w]) - int(base[t]) + 1) * HALF + HALF // 2)
-            codes = h.code[h.first[t] + lo : h.first[t] + hi].tolist()
             it = items[i].codes
+            # The passage and, on either side, a quarter of one more or as many words as a longer item has.
+            reach = len(it) if len(it) > 2 * HALF else HALF // 2
+            lo = max(0, (int(a[w]) - int(base[t])) * HALF - reach)
+            hi = min(int(h.count[t]), (int(z[w]) - int(base[t]) + 1) * HALF + reach)
+            codes = h.code[h.first[t] + lo : h.first[t] + hi].tolist()
             share = subsequence(it, codes) / len(it)
             if share < PART:
                 continue
@@ -244,13 +256,15 @@ def benchmark_blocks(benchmark: DataFrame, text: str, item_id: str, block: int)
     rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull()).distinct()
     rows = rows.orderBy("i", "t")
     part: list[Item] = []
+    size = 0
     for r in rows.toLocalIterator():
         codes = word_codes(r["t"]).tolist()
         if len(codes) >= LEAST_WORDS:
             part.append(Item(r["i"], codes))
-        if len(part) == block:
+            size += len(part[-1].pieces())
+        if size >= block:  # a longer item may end beyond it
             yield part
-            part = []
+            part, size = [], 0
     if part:
         yield part
 

@@ -243,6 +243,19 @@ def test_leaks_in_a_third_of_all_documents_are_found(spark):
     assert got == want
 
 
+def test_long_items_are_found_whole(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmno"), 6))
+    filler = lambda n: [word() for _ in range(n)]
+    items = [filler(n) for n in (400, 161, 130, 700, 65, 40)]
+    rows = [(k, " ".join(filler(37 * k + 11) + it + filler(90))) for k, it in enumerate(items)]
+    rows += [(10 + k, " ".join(filler(50) + it[: len(it) // 3] + filler(50))) for k, it in enumerate(items)]
+    rows.append((20, " ".join(filler(75) + [w if rng.random() > 0.15 else word() for w in items[0]] + filler(30))))
+    b = spark.createDataFrame([(k, " ".join(it)) for k, it in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, x.item_id) for r in leaks.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), b, block=9).collect() for x in r.leaks}
+    assert got == {(k, k) for k in range(6)} | {(20, 0)}
+
+
 def test_leak_cases(spark):
     m = messy(spark)
     b = spark.createDataFrame([(1, None), (2, ""), (None, "a text without an id, but words"), (3, "too short"), (4, "same row twice, same row twice")], "item_id long, text string")
