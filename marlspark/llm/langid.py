@@ -5,7 +5,8 @@ ASCII is a space), weighted log(1 + tf) * idf and normalised. Document frequenci
 come from all labelled rows; the centroids of a language are a spherical k-means of
 a bounded sample of its rows. A text goes to the language of the nearest centroid
 by cosine; it is rejected where it has no letter or its cosine is under a fixed
-fraction of the least that any fitted text of that language has.
+fraction of the lowest 1% of that language's sampled texts; for a text of less than
+64 letters that falls with the root of their number, as cosines of few grams do.
 
 Cases: null texts, empty ones and those without letters are ``und``, score 0,
 rejected; rows without a language are predicted but never learned from; without
@@ -30,6 +31,10 @@ from .common import chunks, fold, map_texts, packed, table
 BITS = 12
 D = 1 << BITS
 UNDETERMINED = "und"
+#: Quantile of the sampled texts' cosines that the bound of a language starts from.
+LOW = 0.01
+#: A text with fewer letters has a lower bound.
+LETTERS = 64
 _LETTERS = np.where(IS_LETTER, np.arange(256), 32).astype(np.uint8)
 
 
@@ -74,7 +79,7 @@ class Model:
     idf: np.ndarray
 
 
-def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = 600, clusters: int = 3, fraction: float = 0.15) -> Model:
+def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = 600, clusters: int = 3, fraction: float = 0.6) -> Model:
     """Learn from rows where ``known`` holds and the language is not null.
 
     About ``sample`` rows of each language, those of least hash, make its centroids;
@@ -111,7 +116,8 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
         if not len(v):
             return pd.DataFrame({"lang": [], "centroid": [], "farthest": []})
         c = spherical_kmeans(v, clusters)
-        far = 1 - float((v @ c.T).max(axis=1).min())
+        # A low quantile, for a few outliers among the sampled texts must not set the bound.
+        far = 1 - float(np.quantile((v @ c.T).max(axis=1), LOW))
         return pd.DataFrame({"lang": key[0], "centroid": [x.astype(np.float32) for x in c], "farthest": far})
 
     found = sorted(drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>, farthest double").collect(), key=lambda r: r["lang"])
@@ -131,7 +137,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return {
             "lang_pred": [model.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letters, strict=True)],
             "score": [float(s) if ok else 0.0 for s, ok in zip(score, letters, strict=True)],
-            "rejected": [not ok or bool(1 - s > model.farthest[b]) for s, b, ok in zip(score, best, letters, strict=True)],
+            "rejected": [not ok or bool(s < (least := 1 - model.farthest[b]) and s < least * min(1.0, sum(map(str.isalpha, t)) / LETTERS) ** 0.5) for t, s, b, ok in zip(texts, score, best, letters, strict=True)],
         }
 
     return map_texts(docs, nearest, "lang_pred string, score double, rejected boolean", text)

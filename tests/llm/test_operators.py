@@ -57,6 +57,17 @@ def test_language_is_learned_and_held_out(spark):
     assert (found.lang == found.lang_pred).mean() > 0.97 and found.score.between(0, 1).all()
 
 
+def test_unlearned_languages_and_random_letters_are_rejected(spark):
+    rng = np.random.default_rng(8)
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(d, F.lit(True))
+    junk = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(rng.integers(5, 200))) for _ in range(200)]
+    junk += ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.", "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.", "Все люди рождаются свободными и равными в своем достоинстве и правах."]
+    assert langid.predict(spark.createDataFrame([(t,) for t in junk], "text string"), model).where("not rejected").count() == 0
+    kept = langid.predict(d.where("n_chars > 100").select("text"), model)
+    assert kept.where("not rejected").count() >= 0.999 * kept.count()
+
+
 def test_language_cases(spark):
     m = messy(spark)
     model = langid.fit(m, F.lit(True))
