@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,18 +18,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    The folder is what ``spark.checkpoint.dir`` names; a temporary one is set
-    only in sessions that name none (tests, one machine).
+    A temporary one is made only in a local session that names none (tests, one
+    machine); on a cluster without the setting this raises.
     """
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = tempfile.mkdtemp("-checkpoints")
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it from there."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp("-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+class Store:
+    """Tables of one run, written as Parquet below the shared folder and read again; those no longer needed are deleted.
+
+    ``steady`` is a session beside the caller's, without adaptive re-planning: for
+    loops of small steps, whose many plans would fill the driver. The caller's
+    settings are not touched.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.kept: dict[int, tuple[DataFrame, str]] = {}
+        self.steady = spark.newSession()
+        self.steady.conf.set("spark.sql.adaptive.enabled", "false")
+
+    def keep(self, df: DataFrame, steady: bool = False) -> DataFrame:
+        path, self.made = f"{self.base}/{self.made}", self.made + 1
+        df.write.parquet(path)
+        read = (self.steady if steady else self.spark).read.schema(df.schema).parquet(path)
+        self.kept[id(read)] = read, path
+        return read
+
+    def path(self, table: DataFrame) -> str:
+        return self.kept[id(table)][1]
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.kept.pop(id(t))[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def doc_key(text: str = "text", doc_id: str = "doc_id") -> Column:
     """A document's identity: its id or, where that is null, a hash of its text."""
     return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.lit(17), F.col(text)))

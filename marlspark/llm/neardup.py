@@ -9,12 +9,20 @@ probability equal to their weighted Jaccard similarity. Points are generated
 lazily, in order of time, only up to the time by which all components are filled.
 
 Documents with equal multisets are one node. Nodes that share a band are in one
-bucket, and each is compared, exactly, on the multisets, with the bucket's leader,
-its most central node. Links are joined to components. Pairs of different
-components that the comparison leaves open are put in smaller buckets by rules that
-lose none (see open_buckets), which go through the same round, until none is left:
-no candidate link between components is lost, and no group's pairs are listed.
-Joins are merges throughout: no side has a proven bound, so none is broadcast.
+bucket. Three steps verify them, always exactly, on the multisets, and their number does not
+depend on the data:
+
+1. Each node is compared with its buckets' leaders (the most central node of each).
+   Links are joined to components; a bucket all of one component is done.
+2. Nodes of buckets that are still open are searched further by their prefixes: shingles are
+   ordered from rare to common, and of two nodes at or above the similarity, the larger has
+   one of the other's first 11% among its own first 20%. Nodes of different components that
+   meet so, with sizes and places that allow the similarity, are compared;
+   where more than ``FEW`` nodes share a shingle, each is compared with their leader.
+3. What step 2 left open in the groups larger than that is compared in the same way, pair by pair.
+
+No link between components is lost to a bound, and the pairs of a group are not listed: links
+within a component need no look. Groups and leaders that hold many rows are split.
 
 Cases: null and empty texts, and texts without words, have the empty multiset and
 are one class; a text of fewer than five words is one shingle; rows with equal id
@@ -26,21 +34,24 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .codes import U, mix, shingles, uniform, words
-from .common import cut, map_texts, packed, row_key, table
+from .common import Store, chunks, map_texts, packed, row_key, table
 
 WORDS = 5
 SIMILARITY = 0.8
 COMPONENTS = 96
 ROWS = 4  # of a band
-FEW = 32  # nodes of a bucket whose open pairs are compared without a leader
+FEW = 64  # nodes that share a shingle of their prefixes and are compared without a leader
+GROUP = 1024  # nodes of one leader, or of one shingle, that a task takes together
+CELLS = 1 << 18  # counters that tell rare shingles from common ones
+STEPS = 100_000  # edges of a partition in the loop that joins components
 _GAMMA = U(0x9E3779B97F4A7C15)
 
 
@@ -124,162 +135,224 @@ def signed(docs: DataFrame, text: str) -> DataFrame:
     return map_texts(docs, sign, "node binary, bands array<long>", text)
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, int, int, np.ndarray]:
-    """Weighted Jaccard similarity of two multisets, the first's size, their overlap, and what the first has more of."""
-    size, total = int(a[1].sum()), int(a[1].sum() + b[1].sum())
-    theirs = np.zeros(len(a[0]), dtype=np.int64)
-    if len(b[0]):
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, int]:
+    """Weighted Jaccard similarity of two multisets and their overlap."""
+    total = int(a[1].sum() + b[1].sum())
+    shared = 0
+    if len(a[0]) and len(b[0]):
         at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
         same = b[0][at] == a[0]
-        theirs[same] = b[1][at[same]]
-    shared = int(np.minimum(a[1], theirs).sum())
-    return (shared / (total - shared) if total else 1.0), size, shared, a[0][a[1] > theirs]
+        shared = int(np.minimum(a[1][same], b[1][at[same]]).sum())
+    return (shared / (total - shared) if total else 1.0), shared
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Measures of ``pairs`` of node and leader; ``texts`` has node and text. Both joins may be split where a leader is in many pairs.
+def compared(pairs: DataFrame, texts: DataFrame, store: Store, similarity: float) -> DataFrame:
+    """``pairs`` (node, leader) at or above the similarity; ``texts`` has node and text.
 
-    similarity; size of the node's multiset; shared, the overlap; added, shingles of which the node has more than the leader.
+    A leader's text travels once for each ``GROUP`` of its nodes, ahead of theirs.
     """
-    one = pairs.join(texts.select("node", F.col("text").alias("x")).hint("merge"), "node")
-    both = one.join(texts.select(F.col("node").alias("leader"), F.col("text").alias("y")).hint("merge"), "leader").select("node", "leader", "x", "y", *([c for c in pairs.columns if c == "small"]))
-    extra = both.columns[4:]
+    hot = pairs.groupBy("leader").agg(F.count("*").alias("c")).where(F.col("c") > GROUP)
+    part = F.coalesce(F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / GROUP).cast("long")), F.lit(0).cast("long"))
+    placed = store.keep(pairs.join(hot, "leader", "left").select("node", "leader", part.alias("part")))
+    led = placed.select("leader", "part").distinct().join(texts.select(F.col("node").alias("leader"), "text"), "leader")
+    both = led.select("leader", "part", F.lit(None).cast("binary").alias("node"), "text").unionByName(placed.join(texts, "node").select("leader", "part", "node", "text"))
+    both = both.repartition("leader", "part").sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[bytes, tuple] = {}
-
-        def of(node: bytes, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-            if node not in kept:
-                if len(kept) >= 256:
-                    kept.clear()
-                kept[node] = multiset([text or ""])[:2]
-            return kept[node]
-
+        leader = None
         for batch in batches:
-            node, leader = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            x, y = batch.column(2), batch.column(3)
-            found = [overlap(of(node[i], x[i].as_py()), of(leader[i], y[i].as_py())) for i in range(len(node))]
-            columns = [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), pa.array([f[3].view(np.int64) for f in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, *batch.columns[4:]], names=["node", "leader", "similarity", "size", "shared", "added", *extra])
-
-    return both.mapInArrow(compare, "node binary, leader binary, similarity double, size long, shared long, added array<long>" + ", small boolean" * len(extra))
-
-
-@contextmanager
-def planned_once(df: DataFrame) -> Iterator[None]:
-    """Without adaptive re-planning: for rounds of many small steps, whose plans and events would fill the driver."""
-    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
-    before = conf.get(key)
-    conf.set(key, "false")
-    try:
-        yield
-    finally:
-        conf.set(key, before)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """node and component (its least node) of all nodes in ``links`` (a, b): alternating large and small stars."""
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    # Done when all are stars: no node that others point to points on, or to two.
-    while not (edges.join(edges.select(F.col("u").alias("v")).hint("merge"), "v", "left_semi").isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty()):
+            who, node, text = batch.column(0).to_pylist(), batch.column(2).to_pylist(), [t or "" for t in batch.column(3).to_pylist()]
+            kept, found = [], []
+            for i, j in chunks(text):
+                code, weight, doc = multiset(text[i:j])
+                edge = np.searchsorted(doc, np.arange(j - i + 1))
+                for k in range(i, j):
+                    x = code[edge[k - i] : edge[k - i + 1]], weight[edge[k - i] : edge[k - i + 1]]
+                    if node[k] is None:
+                        leader = x
+                    elif (s := overlap(x, leader)[0]) >= similarity:
+                        kept.append(k)
+                        found.append(s)
+                if leader is not None and leader[0].base is not None:
+                    leader = leader[0].copy(), leader[1].copy()
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array([node[k] for k in kept], pa.binary()), pa.array([who[k] for k in kept], pa.binary()), pa.array(found, pa.float64())], names=["node", "leader", "similarity"])
+
+    links = store.keep(both.mapInArrow(compare, "node binary, leader binary, similarity double"))
+    store.drop(placed)
+    return links
+
+
+def components(links: DataFrame, store: Store) -> DataFrame:
+    """node and component (one of its nodes) of all nodes in ``links`` (a, b).
+
+    Nodes that no link points to hang on one of those that they point to. The loop,
+    of alternating large and small stars, only sees the rest.
+    """
+    links = store.keep(links.where("a != b").distinct())
+    first = links.groupBy("a").agg(F.min("b").alias("m"))
+    hubs = store.keep(links.select(F.col("b").alias("node")).distinct())
+    core = links.join(first, "a").select(F.col("b").alias("u"), F.col("m").alias("v"))
+    core = core.unionByName(first.join(hubs, first["a"] == hubs["node"], "left_semi").select(F.col("a").alias("u"), F.col("m").alias("v")))
+    edges = store.keep(core.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), steady=True)
+    state = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = state()
+    store.steady.conf.set("spark.sql.shuffle.partitions", str(max(8, before[0] // STEPS)))
+    while before[0]:
         # Large star: all greater neighbours of a node go to the least of its neighbours and itself.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(spread(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))), on_spread(both, "v")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: a node's smaller neighbours and the node itself go to the least of them.
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = spread(large.groupBy("u").agg(F.min("v").alias("m")))
         ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
-        edges = cut(large.join(small.hint("merge"), "u").select(ends).select("e.u", "e.v").where("u != v").distinct())
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    named = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
-    return cut(named.groupBy("node").agg(F.min("component").alias("component")))
+        old, edges = edges, store.keep(large.join(small, on_spread(large, "v")).select(ends).select("e.u", "e.v").where("u != v").distinct(), steady=True)
+        store.drop(old)
+        after = state()
+        if after == before:
+            break
+        before = after
+    stars = store.spark.read.schema(edges.schema).parquet(store.path(edges))
+    named = hubs.join(stars, hubs["node"] == stars["u"], "left").select("node", F.coalesce("v", "node").alias("component"))
+    rest = first.join(hubs, first["a"] == hubs["node"], "left_anti").join(named.withColumnRenamed("node", "m"), "m").select(F.col("a").alias("node"), "component")
+    found = store.keep(named.unionByName(rest))
+    store.drop(links, hubs, edges)
+    return found
+
+
+def spread(df: DataFrame, parts: int = 8) -> DataFrame:
+    """Copies of rows by u and part, to meet a node's many edges in several tasks."""
+    return df.select(F.col("u").alias("u2"), "m", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+
+
+def on_spread(df: DataFrame, other: str, parts: int = 8) -> list[Column]:
+    return [df["u"] == F.col("u2"), F.pmod(F.xxhash64(df[other]), F.lit(parts)).cast("int") == F.col("part")]
+
 
+def rarity(texts: DataFrame) -> np.ndarray:
+    """By cell of shingles, how common they are in ``texts``, in steps of half a power of two."""
 
-def open_buckets(measured: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """bucket, its size n, node and component c: smaller buckets that hold every pair which comparing a bucket with its leader leaves open.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for b in batches:
+            text = [t or "" for t in b.column(0).to_pylist()]
+            for i, j in chunks(text):
+                total += np.bincount((multiset(text[i:j])[0] & U(CELLS - 1)).astype(np.int64), minlength=CELLS)
+        some = np.flatnonzero(total)
+        for x in range(0, len(some), 1 << 14):
+            part = some[x : x + (1 << 14)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["cell", "n"])
 
-    Take nodes x and y of a bucket with leader c. If no shingle is added to both, as
-    against c, their overlap is at most that of either with c. So a pair at or above the
-    similarity either has such a shingle in common, or is small enough for its sizes to
-    fit within both overlaps. Buckets are by leader and added shingle, and by leader
-    and size; those within one component need no look. The leader is in neither, so
-    buckets shrink and the rounds end.
+    counts = texts.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.floor(2 * F.log2(F.sum("n"))).cast("byte").alias("level")).where("level > 0").toArrow()
+    out = np.zeros(CELLS, np.uint8)
+    out[counts["cell"].to_numpy()] = counts["level"].to_numpy()
+    return out
+
+
+def prefixes(texts: list[str], level: np.ndarray, similarity: float) -> dict[str, list]:
+    """Of each text: size of its multiset; its first shingles, from rare to common, with repeats as shingles of their own; how many of them are indexed.
+
+    For two multisets at or above the similarity, the larger has one of the other's
+    indexed shingles in its own prefix.
     """
+    code, weight, doc = multiset(texts)
+    item = np.repeat(np.arange(len(code)), weight)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(weight) - weight, weight)
+    token = np.where(nth > 0, mix(code[item] + nth.astype(np.uint64) * _GAMMA), code[item])
+    order = np.lexsort((token, level[(code[item] & U(CELLS - 1)).astype(np.int64)], doc[item]))
+    token, size = token[order].view(np.int64), np.bincount(doc[item], minlength=len(texts))
+    start = np.cumsum(size) - size
+    most = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+    indexed = np.where(size > 0, size - np.ceil(2 * similarity / (1 + similarity) * size - 1e-9).astype(np.int64) + 1, 0)
+    return {"size": size, "indexed": indexed, "shingles": [token[a : a + m] for a, m in zip(start, most, strict=True)]}
+
+
+def meeting(sits: DataFrame, similarity: float) -> DataFrame:
+    """node and leader, once each, of different components that share a shingle of their prefixes and may reach the similarity."""
+    parts = F.ceil(F.col("n") / GROUP).cast("int")
+    x = sits.where("at < indexed").withColumn("part", F.explode(F.sequence(F.lit(1), parts))).alias("x")
+    y = sits.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int") + 1).alias("y")
+    smaller = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.node") < F.col("y.node")))
     share = similarity / (1 + similarity)
-    mine, theirs = found.select("node", F.col("component").alias("c")), found.select(F.col("node").alias("leader"), F.col("component").alias("lc"))
-    m = measured.join(mine.hint("merge"), "node", "left").join(theirs.hint("merge"), "leader", "left").withColumns({"c": F.coalesce("c", "node"), "lc": F.coalesce("lc", "leader")})
-    open_ = m.groupBy("leader").agg(F.max(F.col("c") != F.col("lc")).alias("open"), F.count("*").alias("n")).where("open and n > 1").select("leader")
-    m = cut(m.join(cut(open_).hint("merge"), "leader"))
-    added = m.select("node", "c", F.explode("added").alias("s"), "leader").select(F.xxhash64("leader", "s").alias("bucket"), "node", "c")
-    m = m.select("leader", "node", "c", "lc", "size", (F.col("shared") / share - F.col("size") + 1e-6).alias("reach"))
-    cell = lambda x: F.floor(F.log(F.greatest(x, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
-    size = F.col("size").cast("double")
-    asks = m.where((F.col("c") != F.col("lc")) & (F.col("reach") >= size * similarity)).withColumn("cell", F.explode(F.sequence(cell(size * similarity), cell(F.least(F.col("reach"), size / similarity)))))
-    ends = cut(asks.groupBy("leader", "cell").agg(F.max("reach").alias("most"), F.min("size").alias("least")))
-    sits = m.withColumn("cell", cell(size)).join(ends.hint("merge"), ["leader", "cell"]).where("size <= most and reach >= least")
-    sits = cut(sits.select("leader", "cell", "node", "c"))
-    asks = asks.join(sits.select("leader", "cell").distinct().hint("merge"), ["leader", "cell"]).select("leader", "cell", "node", "c")
-    sized = sits.unionByName(asks).select(F.xxhash64("leader", "cell", F.lit("size")).alias("bucket"), "node", "c")
-    both = cut(added.unionByName(sized).distinct())
-    live = both.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("c0 < c1")
-    # Buckets of the same nodes, as of several shingles that come together, are one.
-    live = live.groupBy("n", "h").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    return both.join(live.hint("merge"), "bucket").select("bucket", "node", "c", "n")
-
-
-def led(members: DataFrame, weight: DataFrame) -> DataFrame:
-    """node and leader, once each, of all buckets of ``members``."""
-    leaders = cut(members.join(weight.hint("merge"), "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader")))
-    return members.join(leaders.hint("merge"), "bucket").where("node != leader").select("node", "leader").distinct()
+    most = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))  # shingles from here on
+    fits = (F.col("x.size") >= similarity * F.col("y.size") - 1e-6) & (most >= share * (F.col("x.size") + F.col("y.size")) - 1e-6)
+    met = x.join(y, [F.col("x.shingle") == F.col("y.shingle"), F.col("x.part") == F.col("y.part"), F.col("x.c") != F.col("y.c"), smaller, fits])
+    return met.select(F.col("x.node").alias("node"), F.col("y.node").alias("leader")).distinct()
+
+
+def open_groups(sits: DataFrame) -> DataFrame:
+    """shingle and size n of the groups of ``sits`` that hold more than one component and an indexed node."""
+    mark = F.xxhash64("c")
+    groups = sits.groupBy("shingle").agg(F.min(mark).alias("c0"), F.max(mark).alias("c1"), F.count("*").alias("n"), F.max(F.col("at") < F.col("indexed")).alias("any"))
+    return groups.where("c0 < c1 and any").select("shingle", "n")
+
+
+def joined(links: DataFrame, open_: DataFrame) -> DataFrame:
+    """Links of nodes as links of their components, a and b."""
+    c = open_.select("node", "c")
+    return links.select("node", "leader").join(c.withColumnRenamed("c", "a"), "node").join(c.select(F.col("node").alias("leader"), F.col("c").alias("b")), "leader").select("a", "b")
+
+
+def renamed(df: DataFrame, column: str, found: DataFrame | None) -> DataFrame:
+    """``column`` (a component) by what it has become in ``found``."""
+    if found is None:
+        return df
+    return df.join(found.select(F.col("node").alias(column), "component"), column, "left").withColumn(column, F.coalesce("component", column)).drop("component")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, row key, node, class_key and class_id (the least doc_id of the class) of every row of ``docs``."""
-    rows = cut(signed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text, doc_id).alias("rk"), F.col(text).alias("text")), "text"))
-    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rk").alias("rk"), F.first("bands").alias("bands")))
+    """doc_id, row key, node, class_key, class_id (the least doc_id of the class) and n_links (verified links of the node) of every row of ``docs``."""
+    store = Store(docs.sparkSession, "neardup")
+    rows = store.keep(signed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text, doc_id).alias("rk"), F.col(text).alias("text")), "text"))
+    nodes = store.keep(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rk").alias("rk"), F.first("bands").alias("bands")))
     listed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
-    sizes = cut(listed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    members = cut(listed.join(sizes.hint("merge"), "bucket"))
+    members = store.keep(listed.join(listed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"))
     # How often a node meets others: the most central of a group of copies leads it.
-    weight = cut(members.groupBy("node").agg(F.sum("n").alias("weight")))
+    weight = store.keep(members.groupBy("node").agg(F.sum("n").alias("weight")))
+    leaders = members.join(weight, "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
+    pairs = store.keep(members.join(leaders, "bucket").where("node != leader").select("node", "leader").distinct())
     # Texts of the nodes that are in a bucket, one for each.
     wanted = weight.select("node").join(nodes.select("node", "rk"), "node")
-    texts = docs.select(row_key(text, doc_id).alias("rk"), F.col(text).alias("text")).join(wanted, "rk").dropDuplicates(["rk"]).select("node", "text")
-    texts = cut(texts)
-    pairs, links, found, large = led(members, weight), None, None, True
-    while True:
-        measured = cut(compared(pairs, texts))
-        new = measured.where(F.col("similarity") >= similarity).select(F.col("node").alias("a"), F.col("leader").alias("b"))
-        if found is None or not new.isEmpty():
-            # Earlier links count by their components, so that each round's work is its own.
-            links = new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            with planned_once(docs):
-                found = components(links)
-        if not large:
-            break
-        if "small" in measured.columns:
-            measured = measured.where("not small")
-        with planned_once(docs):
-            buckets = cut(open_buckets(measured, found, similarity))
-            if buckets.isEmpty():
-                break
-        # Buckets of bounded size have their few open pairs compared; larger ones get a leader again.
-        few = buckets.where(F.col("n") <= FEW)
-        x, y = few.alias("x"), few.alias("y")
-        direct = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")))
-        direct = direct.select(F.col("x.node").alias("node"), F.col("y.node").alias("leader")).distinct().withColumn("small", F.lit(True))
-        large = not buckets.where(F.col("n") > FEW).isEmpty()
-        pairs = direct
-        if large:
-            pairs = direct.unionByName(led(buckets.where(F.col("n") > FEW), weight).withColumn("small", F.lit(False)))
-    named = nodes.select("node", "doc_id").join(found.hint("merge"), "node", "left").withColumn("class_key", F.coalesce("component", "node"))
-    classes = cut(named.groupBy("class_key").agg(F.min("doc_id").alias("class_id")))
-    named = cut(named.select("node", "class_key").join(classes.hint("merge"), "class_key"))
-    return rows.select("doc_id", "rk", "node").join(named.hint("merge"), "node")
+    texts = store.keep(docs.select(row_key(text, doc_id).alias("rk"), F.col(text).alias("text")).join(wanted, "rk").dropDuplicates(["rk"]).select("node", "text"))
+    links = [compared(pairs, texts, store, similarity)]
+    found = [components(links[0].select(F.col("node").alias("a"), F.col("leader").alias("b")), store)]
+    # Nodes of buckets with more than one component, and all that can link them.
+    c = F.coalesce("component", "node").alias("c")
+    placed = store.keep(members.join(found[0], "node", "left").select("bucket", "node", c))
+    mixed = placed.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("bucket")
+    open_ = store.keep(placed.join(mixed, "bucket").select("node", "c").distinct().join(weight, "node"))
+    store.drop(members, pairs, placed, weight)
+    if not open_.isEmpty():
+        own = store.keep(texts.join(open_, "node"))
+        level = rarity(own)
+        prefix = store.keep(map_texts(own, lambda t: prefixes(t, level, similarity), "size long, indexed long, shingles array<long>"))
+        sits = prefix.select("node", "c", "weight", "size", "indexed", F.posexplode("shingles").alias("at", "shingle"))
+        sits = store.keep(sits.join(open_groups(sits), "shingle"))
+        large = sits.where(F.col("n") > FEW)
+        lead = large.groupBy("shingle").agg(F.max_by(F.struct(F.col("node").alias("leader"), F.col("c").alias("lc"), F.col("size").alias("ls")), F.struct("weight", "node")).alias("l")).select("shingle", "l.*")
+        fits = F.least("size", "ls") >= similarity * F.greatest("size", "ls") - 1e-6
+        led = large.join(lead, "shingle").where(F.col("c") != F.col("lc")).where(fits).select("node", "leader").distinct()
+        pairs = store.keep(meeting(sits.where(F.col("n") <= FEW), similarity).unionByName(led).distinct())
+        links.append(compared(pairs, texts, store, similarity))
+        found.append(components(joined(links[1], open_), store))
+        left = store.keep(renamed(large.drop("n", "weight"), "c", found[1]))
+        pairs = store.keep(meeting(left.join(open_groups(left), "shingle"), similarity))
+        links.append(compared(pairs, texts, store, similarity))
+        found.append(components(joined(links[2], renamed(open_, "c", found[1])), store))
+        store.drop(own, prefix, sits, left)
+    named = nodes.select("node", "doc_id", F.col("node").alias("class_key"))
+    for f in found:
+        named = renamed(named, "class_key", f)
+    ends = [x.select(F.col(e).alias("node")) for x in links for e in ("node", "leader")]
+    counts = reduce(DataFrame.unionByName, ends).groupBy("node").agg(F.count("*").alias("n_links"))
+    named = store.keep(named.join(counts, "node", "left"))
+    classes = named.groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
+    named = store.keep(named.join(classes, "class_key").select("node", "class_key", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    store.drop(texts, nodes, *found, *links)
+    return rows.select("doc_id", "rk", "node").join(named, "node")
 
 
 def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", F.lower(F.hex("class_key")).alias("class_key"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", F.lower(F.hex("class_key")).alias("class_key"), "n_links")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
