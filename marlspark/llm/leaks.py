@@ -41,18 +41,29 @@ COSINE, PART, WHOLE, ANSWER = 0.5, 0.6, 0.85, 0.5
 LEAST_WORDS = 5
 
 
-def subsequence(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
+def places(a: list[int]) -> dict[int, int]:
+    """Where each word of ``a`` stands, as bits."""
     where: dict[int, int] = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    v = full
-    for x in b:
-        if m := where.get(x):
-            u = v & m
-            v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+    return where
+
+
+def subsequence(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence."""
+    return common(places(a), len(a), b)
+
+
+def common(where: dict[int, int], n: int, b: list[int], least: float = 0) -> int:
+    """Length of the longest common subsequence of n words at ``where`` and ``b``, by bit-parallel rows; 0 if too few words of ``b`` are there for ``least``."""
+    rows = [m for m in map(where.get, b) if m]
+    if len(rows) < least:
+        return 0
+    v = full = (1 << n) - 1
+    for m in rows:
+        u = v & m
+        v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
 
 
 @dataclass
@@ -109,6 +120,11 @@ class Item:
     item_id: int | None
     codes: list[int]
 
+    def __post_init__(self):
+        self.where = places(self.codes)
+        answer = self.codes[-max(3, len(self.codes) // 4) :]
+        self.answer, self.answer_length = places(answer), len(answer)
+
     def pieces(self) -> list[list[int]]:
         """The item cut into passages like a document; a short one is one piece."""
         return [self.codes[x : x + 2 * HALF] for x in range(0, max(len(self.codes) - HALF, 1), HALF)]
@@ -215,7 +231,7 @@ def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK
     return Latent(vocabulary, (idf[:, None] * u).astype(np.float32), q.astype(np.float32), owner)
 
 
-def matches(texts: list[str], items: list[Item], latent: Latent, near: np.ndarray, answers: list[list[int]], cosine: float = COSINE) -> list[dict[int, tuple[float, float, float]]]:
+def matches(texts: list[str], items: list[Item], latent: Latent, near: np.ndarray, cosine: float = COSINE) -> list[dict[int, tuple[float, float, float]]]:
     """Of each text: best (subsequence, answer, cosine) by item confirmed."""
     out: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
     h = find(texts, latent.vocabulary, near)
@@ -236,16 +252,17 @@ def matches(texts: list[str], items: list[Item], latent: Latent, near: np.ndarra
             best = out[t].get(i)
             if best and best[0] >= 1.0:
                 continue
-            it = items[i].codes
+            it = items[i]
+            length = len(it.codes)
             # The passage and, on either side, a quarter of one more or as many words as a longer item has.
-            reach = len(it) if len(it) > 2 * HALF else HALF // 2
+            reach = length if length > 2 * HALF else HALF // 2
             lo = max(0, (int(a[w]) - int(base[t])) * HALF - reach)
             hi = min(int(h.count[t]), (int(z[w]) - int(base[t]) + 1) * HALF + reach)
             codes = h.code[h.first[t] + lo : h.first[t] + hi].tolist()
-            share = subsequence(it, codes) / len(it)
+            share = common(it.where, length, codes, PART * length) / length
             if share < PART:
                 continue
-            answer = subsequence(answers[i], codes) / len(answers[i])
+            answer = common(it.answer, it.answer_length, codes) / it.answer_length
             if (share >= WHOLE or answer >= ANSWER) and (not best or share > best[0]):
                 out[t][i] = (share, answer, s)
     return out
@@ -283,10 +300,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
         if not len(latent.vocabulary):
             continue
         near = near_table(latent.vocabulary)
-        answers = [it.codes[-max(3, len(it.codes) // 4) :] for it in items]
 
-        def look(texts: list[str], items=items, latent=latent, near=near, answers=answers) -> dict[str, list]:
-            rows = matches(texts, items, latent, near, answers)
+        def look(texts: list[str], items=items, latent=latent, near=near) -> dict[str, list]:
+            rows = matches(texts, items, latent, near)
             return {"__more": [[{"item_id": items[i].item_id, "share": s, "answer": b, "cosine": c} for i, (s, b, c) in sorted(r.items())] for r in rows]}
 
         found = map_texts(found.withColumn("__look", F.col(text)), look, f"__more {kind}", "__look")

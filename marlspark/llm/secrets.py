@@ -5,8 +5,10 @@ is the labelled set: for each kind a prefix tree of its strings (over classes of
 characters) is built and statistically compatible states are merged (ALERGIA,
 red-blue order, Hoeffding bounds), which leaves a probabilistic automaton. All
 other long tokens of every text are candidates: one is reported, as kind
-``format``, where an automaton gives it a likelihood far above that of an order-1
-model of ordinary long tokens. A base span is never dropped or changed.
+``format``, where an automaton gives it, length included, a likelihood far above that of an order-3
+model of ordinary long tokens. The model is fitted without the tokens that look like
+credentials themselves, and the least ratio a symbol comes from labelled strings that
+were held back from the automata. A base span is never dropped or changed.
 
 Cases: a null text is empty and has no spans; candidates that overlap a base
 span are not reported again; a kind with too few examples has no automaton, and
@@ -19,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -79,6 +81,11 @@ class Automaton:
                     self.count.append(defaultdict(int))
                 q = self.next[q][c]
             self.count[q][END] += 1
+        # Length and the classes used, as shares of the strings; "None" is for those not seen.
+        self.shares = []
+        for seen in (Counter(map(len, strings)), Counter(map(frozenset, strings))):
+            whole = len(strings) + 0.5 * (len(seen) + 1)
+            self.shares.append({x: math.log((k + 0.5) / whole) for x, k in seen.items()} | {None: math.log(0.5 / whole)})
         self.width, self.least = math.sqrt(0.5 * math.log(2 / alpha)), least
         self._merge_all()
         keep = self._reached()
@@ -89,6 +96,7 @@ class Automaton:
         for counts in self.count:
             total = sum(counts.values()) + 0.5 * (len(SYMBOLS) + 1)
             self.logs.append({c: math.log((counts.get(c, 0) + 0.5) / total) for c in (*SYMBOLS, END)})
+        self.on = [math.log(1 - math.exp(x[END])) for x in self.logs]
 
     def _reached(self) -> list[int]:
         seen, todo = [0], [0]
@@ -140,59 +148,88 @@ class Automaton:
                 red.append(t)
 
     def log_likelihood(self, s: str) -> float:
-        q, total = 0, 0.0
+        """Of the symbols, given that the string goes on, of its length and of the classes it uses; far less for a turn that the automaton lacks."""
+        q, total = 0, sum(x.get(k, x[None]) for x, k in zip(self.shares, (len(s), frozenset(s)), strict=True))
         for c in s:
-            total += self.logs[q].get(c, -12.0)
+            total += self.logs[q].get(c, -12.0) - self.on[q]
             if (t := self.next[q].get(c)) is None:
-                return total - 12.0 * (len(s) + 1)  # a format with no such turn
+                return total - 12.0 * (len(s) + 1)
             q = t
-        return total + self.logs[q][END]
+        return total
 
 
 class Ordinary:
-    """An order-1 model of ordinary long tokens by class of character."""
+    """A model of ordinary long tokens by class of character, of the given order; a context with few examples leans on shorter ones."""
 
-    def __init__(self, strings: list[str]):
-        counts: dict[tuple[str, str], int] = defaultdict(int)
-        total: dict[str, int] = defaultdict(int)
+    def __init__(self, strings: list[str], order: int = 3):
+        self.order, self.known = order, {}
+        self.counts: dict[str, Counter[str]] = defaultdict(Counter)
         for s in strings:
-            last = "^"
-            for c in s + END:
-                counts[last, c] += 1
-                total[last] += 1
-                last = c
-        n = len(SYMBOLS) + 1
-        self.logs = {(a, c): math.log((counts.get((a, c), 0) + 0.1) / (total.get(a, 0) + 0.1 * n)) for a in "^" + SYMBOLS for c in SYMBOLS + END}
+            whole = "^" * order + s + END
+            for i in range(order, len(whole)):
+                for k in range(order + 1):
+                    self.counts[whole[i - k : i]][whole[i]] += 1
+
+    def log(self, context: str, c: str) -> float:
+        if (found := self.known.get((context, c))) is None:
+            p = 1 / (len(SYMBOLS) + 1)
+            for k in range(len(context) + 1):
+                counts = self.counts.get(context[len(context) - k :])
+                if counts:
+                    p = (counts[c] + p) / (counts.total() + 1)
+            found = self.known[context, c] = math.log(p)
+        return found
 
     def log_likelihood(self, s: str) -> float:
-        last, total = "^", 0.0
-        for c in s + END:
-            total += self.logs.get((last, c), -12.0)
-            last = c
-        return total
+        whole = "^" * self.order + s + END
+        return sum(self.log(whole[i - self.order : i], whole[i]) for i in range(self.order, len(whole)))
 
 
 class Formats:
-    """Automata by kind, the ordinary model and the threshold: above nearly all sampled ordinary tokens by a margin."""
+    """Automata by kind, the ordinary model, and the least log ratio of a candidate.
+
+    Every fifth labelled string is held back from the automata. The ordinary model is
+    fitted ``rounds`` times, each time without the sampled tokens that an automaton
+    explains better and whose classes are those of labelled strings (not words in capitals): credentials of unlisted formats in the sample then do not pass for
+    ordinary, however many they are. A candidate must be ``odds`` times likelier as
+    a credential, and its ratio a symbol at least half of what all but a
+    twentieth of the format's held-back strings reach.
+    """
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], least: int = 20, margin: float = 8.0, least_ratio: float = 20.0):
-        self.automata = [Automaton([s.translate(_CLASS) for s in v]) for _, v in sorted(labelled.items()) if len(v) >= least]
+    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], least: int = 20, odds: float = 1000.0, rounds: int = 4):
+        kinds = [[s.translate(_CLASS) for s in v] for _, v in sorted(labelled.items()) if len(v) >= least]
+        self.automata = [Automaton([s for i, s in enumerate(v) if i % 5]) for v in kinds]
         plain = [s.translate(_CLASS) for s in ordinary]
+        self.known: dict[str, tuple[float, float]] = {}
+        self.odds, self.least = math.inf, []
         self.ordinary = Ordinary(plain)
-        self.known: dict[str, float] = {}
-        # The sample may hold credentials of no listed kind, so its upper end counts without the topmost.
-        ratios = sorted(self.ratio(c) for c in set(plain))
-        self.threshold = max(least_ratio, margin + (ratios[int(0.995 * (len(ratios) - 1))] if ratios else 0.0))
-
-    def ratio(self, classes: str) -> float:
-        """Log ratio of the best format's likelihood to the ordinary model's."""
+        for _ in range(rounds - 1):
+            kept = [s for s in plain if self.ratio(s) <= 0 or not any(frozenset(s) in a.shares[1] for a in self.automata)]
+            self.ordinary = Ordinary(kept or plain)
+            self.known.clear()
+        self.odds = math.log(odds)
+        self.least = []  # ratio a symbol, by automaton
+        for a, v in zip(self.automata, kinds, strict=True):
+            held = sorted((a.log_likelihood(s) - self.ordinary.log_likelihood(s)) / (len(s) + 1) for s in v[::5])
+            self.least.append(max(0.0, held[len(held) // 20] / 2))
+
+    def ratios(self, classes: str) -> tuple[float, float]:
+        """Log ratio of the best format's likelihood to the ordinary model's, and how far it is above the least."""
         if (r := self.known.get(classes)) is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            r = max((a.log_likelihood(classes) for a in self.automata), default=-math.inf) - self.ordinary.log_likelihood(classes)
-            self.known[classes] = r
+            plain = self.ordinary.log_likelihood(classes)
+            found = [a.log_likelihood(classes) - plain for a in self.automata]
+            room = [x - max(self.odds, least * (len(classes) + 1)) for x, least in zip(found, self.least, strict=False)]
+            r = self.known[classes] = max(found, default=-math.inf), max(room, default=-math.inf)
         return r
 
+    def ratio(self, classes: str) -> float:
+        return self.ratios(classes)[0]
+
+    def fits(self, token: str) -> bool:
+        return self.ratios(token.translate(_CLASS))[1] >= 0
+
 
 def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple[dict[str, list[str]], list[str]]:
     """A bounded sample of distinct credentials of each base kind and of other long tokens: those of least hash, from all texts."""
@@ -212,17 +249,20 @@ def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["kind", "value"])
 
-    found = docs.select(F.col(text)).mapInArrow(gather, "kind string, value string").distinct()
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.md5("value"), "value"))
-    found = found.withColumn("n", rank).where(F.col("n") <= F.when(F.col("kind") == "format", ordinary_most).otherwise(most))
+    found = docs.select(F.col(text)).mapInArrow(gather, "kind string, value string").distinct().withColumn("hash", F.md5("value"))
+    # First of each kind's parts by hash, then of the kind: what all tasks found does not go through one.
+    for by in ([F.col("kind"), F.substring("hash", -2, 2)], [F.col("kind")]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "value"))
+        found = found.withColumn("n", rank).where(F.col("n") <= max(most, ordinary_most))
+    found = found.where(F.col("n") <= F.when(F.col("kind") == "format", ordinary_most).otherwise(most))
     labelled: dict[str, list[str]] = defaultdict(list)
-    for r in found.where(F.col("n") <= max(most, ordinary_most)).orderBy("kind", "n").collect():
+    for r in found.orderBy("kind", "n").collect():
         labelled[r["kind"]].append(r["value"])
     return labelled, labelled.pop("format", [])
 
 
 def find_secrets(docs: DataFrame, text: str = "text", most: int = 400, ordinary_most: int = 2000) -> DataFrame:
-    """Replace ``text`` by its secret spans: arrays kind, start, end (code points) and score of each, by start.
+    """Replace ``text`` by its secret spans: kind, start and end (code points) of each, by start.
 
     ``most`` bounds the labelled credentials of a kind and ``ordinary_most`` the
     ordinary tokens that the automata and their threshold are fitted on.
@@ -236,8 +276,7 @@ def find_secrets(docs: DataFrame, text: str = "text", most: int = 400, ordinary_
             if formats.automata:
                 extra = []
                 for a, z in tokens:
-                    r = formats.ratio(t[a:z].translate(_CLASS))
-                    if r > formats.threshold and not any(x < z and a < y for x, _, y in found):
+                    if formats.fits(t[a:z]) and not any(x < z and a < y for x, _, y in found):
                         extra.append((a, 3, z))
                 found = sorted(found + extra)
             out["spans"].append([{"kind": KINDS[k], "start": a, "end": z} for a, k, z in found])

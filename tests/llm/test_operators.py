@@ -267,6 +267,37 @@ def test_long_items_are_found_whole(spark):
     assert got == {(k, k) for k in range(6)} | {(20, 0)}
 
 
+def test_paraphrase_recall_against_exhaustive_subsequences(spark):
+    rng = np.random.default_rng(12)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmno"), 5)) for _ in range(900)]
+    word = lambda: vocabulary[int(900 * rng.random() ** 2)]
+    items = [[word() for _ in range(int(n))] for n in rng.integers(12, 60, 40)]
+    rows = []
+    for i in range(400):
+        body = [word() for _ in range(int(rng.integers(30, 200)))]
+        if i % 2:
+            it = items[i // 2 % 40]
+            changed = [w for w in (x if rng.random() > 0.05 else word() for x in it) if rng.random() > 0.05]
+            at = int(rng.integers(len(body)))
+            body[at:at] = changed
+        rows.append((i, " ".join(body)))
+    b = spark.createDataFrame([(k, " ".join(it)) for k, it in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, x.item_id) for r in leaks.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), b).collect() for x in r.leaks}
+    want = set()
+    for i, t in rows:
+        codes = words([t])[0].tolist()
+        for k, it in enumerate(items):
+            own = words([" ".join(it)])[0].tolist()
+            for a in range(0, max(1, len(codes) - len(own) // 2), 8):  # every stretch as long as the item and a quarter more
+                near = codes[a : a + len(own) * 5 // 4]
+                if leaks.subsequence(own, near) >= leaks.WHOLE * len(own):
+                    want.add((i, k))
+                    break
+    recall = len(want & got) / len(want)
+    print("recall of paraphrases", recall, "of", len(want))
+    assert len(want) > 80 and recall >= 0.9
+
+
 def test_leak_cases(spark):
     m = messy(spark)
     b = spark.createDataFrame([(1, None), (2, ""), (None, "a text without an id, but words"), (3, "too short"), (4, "same row twice, same row twice")], "item_id long, text string")
@@ -297,6 +328,33 @@ def test_base_spans(text):
     assert secrets.base_spans(text)[0] == brute_spans(text)
 
 
+def test_automata_give_the_likelihood_of_their_counts():
+    rng = np.random.default_rng(3)
+    strings = ["AA" + "".join(rng.choice(list("A0"), 5)) for _ in range(200)]
+    a = secrets.Automaton(strings)
+    q, total = 0, 0.0
+    for c in strings[0]:
+        n = sum(a.count[q].values()) + 0.5 * (len(secrets.SYMBOLS) + 1)
+        total += math.log((a.count[q].get(c, 0) + 0.5) / n / (1 - (a.count[q].get("$", 0) + 0.5) / n))
+        q = a.next[q][c]
+    shapes = collections.Counter(map(frozenset, strings))
+    total += math.log(200.5 / 201) + math.log((shapes[frozenset(strings[0])] + 0.5) / (200 + 0.5 * (len(shapes) + 1)))
+    assert abs(a.log_likelihood(strings[0]) - total) < 1e-9
+    assert a.log_likelihood(strings[0]) > a.log_likelihood("A0" * 6) and a.log_likelihood("aaaaaaa") < -50
+
+
+def test_many_unlisted_credentials_do_not_pass_for_ordinary(spark):
+    rng = np.random.default_rng(4)
+    key = lambda p: p + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16))
+    word = lambda: "".join(rng.choice(list("aeiounrtslm"), rng.integers(12, 18)))
+    rows = [(i, f"key {key('AKIA')} {word()}") for i in range(150)]
+    rows += [(1000 + i, f"{word()} {word().upper()} {word().title()} {word()} {int(rng.integers(2020))}") for i in range(300)]
+    rows += [(2000 + i, f"{word()} {key('ASIA')}") for i in range(80)]  # 6% of the distinct long tokens
+    got = {r.doc_id: [s.kind for s in r.spans] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2000 + i] == ["format"] for i in range(80)) >= 76
+    assert not any(got[1000 + i] for i in range(300))
+
+
 def test_secrets_keep_base_spans_and_add_formats(spark):
     rng = np.random.default_rng(1)
     key = lambda p: p + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16))
