@@ -192,7 +192,7 @@ class Formats:
     fitted ``rounds`` times, each time without the sampled tokens that an automaton
     explains better and whose classes are those of labelled strings (not words in capitals): credentials of unlisted formats in the sample then do not pass for
     ordinary, however many they are. A candidate must be ``odds`` times likelier as
-    a credential, and its ratio a symbol at least half of what all but a
+    a credential, and its ratio a symbol at least a third of what all but a
     twentieth of the format's held-back strings reach.
     """
 
@@ -211,7 +211,7 @@ class Formats:
         self.least = []  # ratio a symbol, by automaton
         for a, v in zip(self.automata, kinds, strict=True):
             held = sorted((a.log_likelihood(s) - self.ordinary.log_likelihood(s)) / (len(s) + 1) for s in v[::5])
-            self.least.append(max(0.0, held[len(held) // 20] / 2))
+            self.least.append(max(0.0, held[len(held) // 20] / 3))
 
     def ratios(self, classes: str) -> tuple[float, float]:
         """Log ratio of the best format's likelihood to the ordinary model's, and how far it is above the least."""
