@@ -115,6 +115,46 @@ def summed(rows: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Frequent:
+    """Sums of rows by word, the most frequent words through one dense matrix of counts and the others one by one."""
+
+    def __init__(self, df: np.ndarray, most: int = 256, block: int = 4096):
+        self.words = np.sort(np.argsort(-df, kind="stable")[:most])
+        self.column = np.full(len(df), -1, np.int64)
+        self.column[self.words] = np.arange(len(self.words))
+        self.block = block
+
+    def parts(self, word: np.ndarray, group: np.ndarray, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """By block of groups (ascending): first and end, counts of the frequent words, words and groups of the others."""
+        edge = np.searchsorted(group, np.arange(0, n + self.block, self.block))
+        k = len(self.words)
+        for b, (x, z) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+            a, e = b * self.block, min(n, (b + 1) * self.block)
+            w, g = word[x:z], group[x:z] - a
+            column = self.column[w]
+            often = column >= 0
+            counts = np.bincount(g[often] * k + column[often], minlength=(e - a) * k).reshape(e - a, k).astype(np.float32)
+            yield a, e, counts, w[~often], g[~often]
+
+    def project(self, rows: np.ndarray, word: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+        """Sums of ``rows`` of the words of each group."""
+        out = np.zeros((n, rows.shape[1]), np.float32)
+        own = rows[self.words]
+        for a, e, counts, w, g in self.parts(word, group, n):
+            out[a:e] = counts @ own + summed(rows[w], g, e - a)
+        return out
+
+    def back(self, total: np.ndarray, rows: np.ndarray, word: np.ndarray, group: np.ndarray, n: int) -> None:
+        """Add to ``total``, for each word, the product of its groups' sums of ``rows``: A'(A rows)."""
+        own = rows[self.words]
+        for _, _, counts, w, g in self.parts(word, group, n):
+            y = counts @ own + summed(rows[w], g, len(counts))
+            total[self.words] += counts.T @ y
+            order = np.argsort(w, kind="stable")
+            some, at = np.unique(w, return_inverse=True)
+            total[some] += summed(y[g[order]], at[order], len(some))
+
+
 @dataclass
 class Item:
     item_id: int | None
@@ -134,6 +174,7 @@ class Item:
 class Latent:
     vocabulary: np.ndarray  # sorted codes
     basis: np.ndarray  # words by rank, idf included
+    frequent: Frequent
     pieces: np.ndarray  # unit vectors by piece
     owner: np.ndarray  # item of each piece
 
@@ -161,7 +202,7 @@ def frequencies(docs: DataFrame, text: str, vocabulary: np.ndarray) -> tuple[np.
     return out[:v], int(out[v])
 
 
-def sketch(docs: DataFrame, text: str, vocabulary: np.ndarray, scaled: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def sketch(docs: DataFrame, text: str, vocabulary: np.ndarray, scaled: np.ndarray, idf: np.ndarray, frequent: Frequent) -> np.ndarray:
     """A'(A W) over all passages (neighbouring halves apart), A being TF-IDF and ``scaled`` idf * W."""
     near, (v, r) = near_table(vocabulary), scaled.shape
     size = 256  # words of a piece of the sum
@@ -172,13 +213,8 @@ def sketch(docs: DataFrame, text: str, vocabulary: np.ndarray, scaled: np.ndarra
             texts = [t or "" for t in b.column(0).to_pylist()]
             for i, j in chunks(texts):
                 h = find(texts[i:j], vocabulary, near)
-                for x in range(0, len(h.word), 1 << 15):
-                    word, passage = h.word[x : x + (1 << 15)], h.half[x : x + (1 << 15)] // 2
-                    passage = passage - (passage[0] if len(passage) else 0)
-                    y = summed(scaled[word], passage, int(passage[-1]) + 1 if len(passage) else 0)
-                    order = np.argsort(word, kind="stable")
-                    some = np.unique(word)
-                    total[some] += summed(y[passage[order]], np.searchsorted(some, word[order]), len(some)) * idf[some, None]
+                frequent.back(total, scaled, h.word, h.half // 2, (int(h.halves.sum()) + 1) // 2)
+        total *= idf[:, None]
         pieces = range(0, v, size)
         yield pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int64()), pa.array([total[p : p + size].tobytes() for p in pieces], pa.binary())], names=["piece", "data"])
 
@@ -202,11 +238,11 @@ def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK
     vocabulary = np.unique(np.array([c for it in items for c in it.codes], dtype=np.uint64))
     df, n = frequencies(docs, text, vocabulary)
     idf = np.log((n + 1) / (df + 1)) + 1
-    v = len(vocabulary)
+    v, frequent = len(vocabulary), Frequent(df)
     pieces = [p for it in items for p in it.pieces()]
     owner = np.repeat(np.arange(len(items)), [len(it.pieces()) for it in items])
     if not v:
-        return Latent(vocabulary, np.zeros((0, 1), np.float32), np.zeros((len(pieces), 1), np.float32), owner)
+        return Latent(vocabulary, np.zeros((0, 1), np.float32), frequent, np.zeros((len(pieces), 1), np.float32), owner)
     a = np.zeros((len(pieces), v))  # bounded by a block's pieces and words
     for i, p in enumerate(pieces):
         own_codes = np.array(p, np.uint64)
@@ -215,7 +251,7 @@ def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK
     a *= idf
     r = min(rank, v)
     w = np.random.default_rng(seed).normal(size=(v, r))
-    corpus = sketch(docs, text, vocabulary, (idf[:, None] * w).astype(np.float32), idf.astype(np.float32))
+    corpus = sketch(docs, text, vocabulary, (idf[:, None] * w).astype(np.float32), idf.astype(np.float32), frequent)
     own = a.T @ (a @ w)
     # Items count as much as the corpus, so that their own words are in the space.
     balance = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12)
@@ -228,14 +264,14 @@ def fit(docs: DataFrame, items: list[Item], text: str = "text", rank: int = RANK
     u = np.linalg.svd(half, full_matrices=False)[0]
     q = a @ u
     q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-    return Latent(vocabulary, (idf[:, None] * u).astype(np.float32), q.astype(np.float32), owner)
+    return Latent(vocabulary, (idf[:, None] * u).astype(np.float32), frequent, q.astype(np.float32), owner)
 
 
 def matches(texts: list[str], items: list[Item], latent: Latent, near: np.ndarray, cosine: float = COSINE) -> list[dict[int, tuple[float, float, float]]]:
     """Of each text: best (subsequence, answer, cosine) by item confirmed."""
     out: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
     h = find(texts, latent.vocabulary, near)
-    rows = summed(latent.basis[h.word], h.half, int(h.halves.sum()))
+    rows = latent.frequent.project(latent.basis, h.word, h.half, int(h.halves.sum()))
     text, a, z = windows(h.halves)
     base = np.cumsum(h.halves) - h.halves
     for x in range(0, len(text), 1 << 13):
