@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Entries and volumes of listing pages.
 ENTRY = r'<li\s[^>]*class="entry (?:inproceedings|article)"[^>]*id="([^"]+)"'
-VOLUME = r'(?i)<a[^>]*href="([^"]+)"[^>]*>[^<]*Volume\s+\d+[^<]*?((?:19|20)\d{2})'
+VOLUME = r'(?i)<a[^>]*href="([^"]+)"[^>]*>.*?(?:Volume|Vol\.?)\s*\d+.*?(\d{4})'
 
 
 def unquoted(t: Column) -> Column:
-    """Percent- and plus-decoded; left as it is where an escape is invalid."""
-    return F.coalesce(F.try_url_decode(t), t)
+    """Percent- and plus-decoded; an invalid escape stays as it is, and bytes that are no UTF-8 become U+FFFD."""
+    parts = F.regexp_extract_all(F.replace(t, F.lit("+"), F.lit(" ")), F.lit(r"(?s)(?:%[0-9A-Fa-f]{2})+|[^%]+|%"), F.lit(0))
+    decoded = lambda x: F.make_valid_utf8(F.unhex(F.replace(x, F.lit("%"), F.lit(""))).cast("string"))
+    return F.array_join(F.transform(parts, lambda x: F.when(F.startswith(x, F.lit("%")) & (F.length(x) > 1), decoded(x)).otherwise(x)), "")
 
 
 def first_heading(html: Column) -> Column:
@@ -43,7 +46,7 @@ def entries(pages: DataFrame, html: str = "html") -> DataFrame:
         "pos",
         F.regexp_extract("block", ENTRY, 1).alias("key"),
         doi_link(F.col("block")).alias("doi"),
-        F.rtrim(F.trim(title), F.lit(".")).alias("title"),
+        F.rtrim(title, F.lit(".")).alias("title"),
         F.array_join(authors, "; ").alias("authors"),
     ).where("title != ''")
 
@@ -57,7 +60,18 @@ def paper_url(doi: Column, key: Column) -> Column:
 
 
 def volumes(pages: DataFrame, first: int, last: int, html: str = "html") -> DataFrame:
-    """Volume links of a journal's index with years in range, by year and place."""
-    found = F.arrays_zip(F.regexp_extract_all(html, F.lit(VOLUME), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(VOLUME), F.lit(2)).alias("year"))
-    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(found).alias("pos", "v"))
-    return rows.select(*[c for c in pages.columns if c != html], "pos", F.col("v.href").alias("href"), F.col("v.year").cast("int").alias("year")).where(F.col("year").between(first, last))
+    """Volume links of a journal's index with years in range; ``place`` numbers them by year, then as they stand."""
+    pattern = F.lit("(?d)" + VOLUME)
+    kept = [c for c in pages.columns if c != html]
+    found = F.arrays_zip(F.regexp_extract_all(html, pattern, F.lit(2)).cast("array<int>").alias("year"), F.regexp_extract_all(html, pattern, F.lit(1)).alias("href"))
+    fits = F.filter(F.transform(found, lambda v, i: F.struct(v["year"].alias("year"), i.alias("pos"), v["href"].alias("href"))), lambda v: v["year"].between(first, last))
+    return pages.select(*kept, F.posexplode(F.array_sort(fits)).alias("place", "v")).select(*kept, "place", "v.pos", "v.href", "v.year")
+
+
+def journal_entries(pages: DataFrame, journal: str, place: str = "place", html: str = "html") -> DataFrame:
+    """Entries of a journal's volumes; of those with one DOI only the first, by volume and place, stays."""
+    from ..operators.dedup import first_by
+
+    rows = entries(pages, html)
+    blank = F.coalesce("doi", F.lit("")) == ""
+    return rows.where(~blank).transform(first_by([journal, "doi"], place, "pos")).unionByName(rows.where(blank))

@@ -6,8 +6,7 @@ Word boundaries, word characters and white space are Unicode's: patterns carry
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,24 +39,46 @@ NOISE = (
     r"this work is licensed under.*$",
     r"\.$",
 )
+# Headings that end a body, and numbers with their units.
 REFERENCES = r"(?i)^(\d{0,2}\.?\s*)?(references|bibliography)\s*$"
 NUMERIC = r"\d+(?:\.\d+)?(?:\s?(?:x|X|×|%|ms|s|MB|GB|KB|MHz|GHz|cycles?|TOPS|GOPS|TFLOPS|GFLOPS|亿|万))?"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once a row, however often ``f`` uses it.
+
+    A plain column would be written out at each use; a lambda's argument is not.
+    """
+    return F.element_at(F.transform(F.array(value), lambda x: f(x)), 1)
+
+
+def quoted(term: str) -> str:
+    return r"\Q" + term.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
 def term_pattern(term: str) -> str:
     """A whole-word, case-blind pattern of a literal term."""
-    return r"(?iuU)\b\Q" + term.replace(r"\E", r"\E\\E\Q") + r"\E\b"
+    return r"(?iuU)\b" + quoted(term) + r"\b"
 
 
 def folded(text: Column) -> Column:
-    """Lower case with the two letters that fold to ASCII only in case-blind matching; computed once, it screens many terms."""
-    return F.lower(F.translate(text, "ſK", "sk"))
+    """Lower case, with the letters that equal ASCII ones only in case-blind matching."""
+    return F.lower(F.translate(text, "ſKİı", "skii"))
+
+
+def has_folded(text: Column, term: str) -> Column:
+    """Whether the ASCII term is in the folded text as a whole word.
+
+    A plain search screens it, and the pattern begins with the literal, which Java
+    seeks by its last letters; the boundary before it is looked up behind.
+    """
+    low = quoted(term.lower())
+    return text.contains(term.lower()) & text.rlike(rf"(?U){low}(?<=\b{low})\b")
 
 
 def has_term(text: Column, term: str) -> Column:
-    """Whether the term is in the text as a whole word; ASCII terms are screened by a plain search."""
-    found = text.rlike(term_pattern(term))
-    return folded(text).contains(term.lower()) & found if term.isascii() else found
+    """Whether the term is in the text as a whole word, case-blind."""
+    return has_folded(folded(text), term) if term.isascii() else text.rlike(term_pattern(term))
 
 
 def scored_text(title: Column, abstract: Column) -> Column:
@@ -96,10 +117,12 @@ def numeric_key(t: Column) -> Column:
 
 def numeric_tokens(t: Column) -> Column:
     """Numbers with their units: bare single digits are left out, the first of equal ones stays."""
-    found = F.filter(F.regexp_extract_all(t, F.lit(NUMERIC), F.lit(0)), lambda x: ~F.trim(x).rlike(r"^\d$"))
-    found = F.transform(found, lambda x: F.trim(x))
-    keys = F.transform(found, numeric_key)
-    return F.filter(found, lambda x, i: F.array_position(keys, numeric_key(x)) == i + 1)
+    found = F.transform(F.regexp_extract_all(t, F.lit(NUMERIC), F.lit(0)), lambda x: F.trim(x))
+    found = F.filter(found, lambda x: ~x.rlike(r"^\d$"))
+    # Sorted by key, the first of equal ones stands after a different key: no search for each token.
+    keyed = F.array_sort(F.transform(found, lambda x, i: F.struct(numeric_key(x).alias("k"), i.alias("i"), x.alias("x"))))
+    firsts = let(keyed, lambda s: F.filter(s, lambda x, i: (i == 0) | (x["k"] != F.get(s, i - 1)["k"])))
+    return F.transform(F.array_sort(F.transform(firsts, lambda x: F.struct(x["i"].alias("i"), x["x"].alias("x")))), lambda x: x["x"])
 
 
 def numeric_space(t: Column) -> Column:
@@ -164,21 +187,35 @@ def day(t: Column) -> Column:
 
 
 def escape_html(t: Column) -> Column:
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         t = F.replace(t, F.lit(a), F.lit(b))
     return t
 
 
+def _number(x: float) -> str:
+    return str(int(x)) if x == int(x) else repr(float(x))
+
+
+#: A boundary of ASCII words, as browsers see it.
+BOUNDARY = r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]))"
+
+
 def highlighted(t: Column, terms: Iterable[tuple[str, int]]) -> Column:
-    """Escaped text with every term marked, longer terms first; heavier ones darker."""
+    """Escaped text with every term in a span, longer terms first (equal ones in order); heavier ones brighter, up to weight 10.
+
+    A later term is also marked where it stands in an earlier one's markup, as on the review page.
+    """
     t = escape_html(t)
-    for term, weight in sorted(terms, key=lambda x: (-len(x[0]), x[0])):
-        tint = 25 + 35 * min((weight - 1) / 9, 1)
-        literal = re.escape(term).replace("\\ ", " ")
-        t = F.regexp_replace(t, rf"(?i)\b({literal})\b(?![^<]*>)", f'<mark style="background:hsl(43,80%,{tint:.0f}%)">$1</mark>')
+    for term, weight in sorted(terms, key=lambda x: -len(x[0])):
+        light = _number(25 + 35 * min((weight - 1) / 9, 1))
+        t = F.regexp_replace(t, f"(?i){BOUNDARY}({quoted(term)}){BOUNDARY}", f'<span class="kw" style="color:hsl(43, 80%, {light}%)">$1</span>')
     return t
 
 
+def url_contains(url: Column, part: str) -> Column:
+    return F.coalesce(F.contains(F.lower(url), F.lit(part.lower())), F.lit(False))
+
+
 # What makes a failed stage not worth or worth another try, in order.
 FATAL = ("invalid_api_key", "incorrect api key", "unauthorized", "missing bearer", "permission denied", "no such file or directory")
 RETRYABLE = (r"\b429\b", "rate limit", "too many requests", "insufficient_quota", "quota", "capacity", "temporarily unavailable", "503 service unavailable", "service unavailable", "currently experiencing high demand", "stream disconnected", "timeout", "timed out", "connection reset", "econnreset")

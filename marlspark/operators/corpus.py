@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -37,6 +37,18 @@ def catalog(**parts: DataFrame) -> DataFrame:
     return union.groupBy("basename").agg(*[F.min(F.when(F.col("part") == n, F.col("value"))).alias(n) for n in parts])
 
 
+def listed(parts: DataFrame, *models: str) -> DataFrame:
+    """A catalogue's rows that have any model, in order of basename."""
+    return parts.where(F.coalesce(*[F.col(m) for m in models]).isNotNull()).orderBy("basename")
+
+
+def neighbours(df: DataFrame, group: str, key: str, *order: str, page: int = 4) -> DataFrame:
+    """place (from 1), page (from 0), previous and next of every record of a group in review order; the ends have none."""
+    w = Window.partitionBy(group).orderBy(*order)
+    place = F.row_number().over(w)
+    return df.select("*", place.cast("long").alias("place"), F.floor((place - 1) / page).cast("long").alias("page"), F.lag(key).over(w).alias("previous"), F.lead(key).over(w).alias("next"))
+
+
 def prioritized(items: DataFrame, wanted: DataFrame, key: str, rules: Sequence[Column], order: str, take: Sequence[str]) -> DataFrame:
     """For each wanted row the item that fits the first of ``rules`` that any fits; ties by ``order``."""
     rank = F.lit(None).cast("int")

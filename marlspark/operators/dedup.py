@@ -16,6 +16,11 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], las
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 
+def file_order(df: DataFrame) -> list[str]:
+    """The columns of file order that ``df`` has, or all its columns where it has none."""
+    return [c for c in ("_file", "_row") if c in df.columns] or list(df.columns)
+
+
 def first_by(keys: str | Sequence[str], *order: str | Column) -> Callable[[DataFrame], DataFrame]:
     """The first row of each key in ``order``, which must tell rows apart."""
     return lambda df: _pick(df, [keys] if isinstance(keys, str) else keys, order, False)
@@ -40,14 +45,15 @@ def first_or_blank(key: str, *order: str | Column) -> Callable[[DataFrame], Data
     return apply
 
 
-def upsert_marks(rows: DataFrame, marks: DataFrame, order: Sequence[str], key: str = "paper_id") -> DataFrame:
+def upsert_marks(rows: DataFrame, marks: DataFrame, order: Sequence[str], key: str = "paper_id", row_order: Sequence[str] = ()) -> DataFrame:
     """Fold mark events into ``rows``: the last keep that is not blank, and the last notes.
 
-    Only the first row of a key takes marks; events are key, keep, notes and ``order``.
+    Only the first row of a key, by ``row_order`` (file order), takes marks; events are key, keep, notes and ``order``.
     """
-    place = F.struct(*order)
+    place, row_order = F.struct(*order), row_order or file_order(rows)
     folded = marks.groupBy(key).agg(F.max_by("keep", F.when(F.coalesce("keep", F.lit("")) != "", place)).alias("__keep"), F.max_by("notes", place).alias("__notes"))
-    joined = rows.join(folded, key, "left")
+    first = rows.groupBy(key).agg(F.min(F.struct(*row_order)).alias("__first")).join(folded, key).withColumnRenamed(key, "__key")
+    joined = rows.join(first, (rows[key] == F.col("__key")) & (F.struct(*row_order) == F.col("__first")), "left").drop("__key", "__first")
     return joined.withColumns({"keep": F.coalesce(F.nullif("__keep", F.lit("")), "keep"), "notes": F.coalesce("__notes", "notes")}).drop("__keep", "__notes")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..schemas import ENRICHED, UNAVAILABLE, blank, missing_abstract
-from .dedup import first_by
+from .dedup import file_order, first_by, last_by
 
 
 def with_defaults(df: DataFrame, crawled_date: str, columns: Sequence[str] = tuple(ENRICHED.fieldNames())) -> DataFrame:
@@ -32,8 +32,9 @@ def needs_enrichment(abstract: Column, citations: Column) -> Column:
 
 
 def by_doi(papers: DataFrame, found: DataFrame, doi: str = "doi", lookup_id: str = "id", prefix: str = "DOI:") -> DataFrame:
-    """Left join on ``DOI:{doi}``; blank DOIs match nothing."""
+    """Left join on ``DOI:{doi}``; blank DOIs match nothing. Of several answers for an id the least counts."""
     key = F.when(~blank(F.col(doi)), F.concat(F.lit(prefix), F.col(doi)))
+    found = found.transform(first_by(lookup_id, *[c for c in found.columns if c != lookup_id]))
     return papers.join(found.withColumnRenamed(lookup_id, "__id"), key == F.col("__id"), "left").drop("__id")
 
 
@@ -48,6 +49,8 @@ def by_title_in_group(papers: DataFrame, candidates: DataFrame, order: str, take
 def by_title(papers: DataFrame, candidates: DataFrame, key: str, order: str, take: Sequence[str], title: str = "title", year: str = "year") -> DataFrame:
     """Left join on normalised title where either year is blank or both agree; the first such candidate counts."""
     pool = candidates.select(X.normalized_title(F.col(title)).alias("__t"), F.col(year).cast("string").alias("__y"), F.col(order).alias("__o"), F.struct(*take).alias("__v")).where("__t != ''")
+    # One candidate for each title and year is enough, so a title that all share gives few pairs.
+    pool = pool.withColumn("__y", F.coalesce("__y", F.lit(""))).transform(first_by(["__t", "__y"], "__o"))
     own = papers.select(key, X.normalized_title(F.col(title)).alias("__t"), F.col(year).cast("string").alias("__p"))
     fits = own.join(pool, "__t").where(blank(F.col("__p")) | blank(F.col("__y")) | (F.col("__p") == F.col("__y")))
     first = fits.groupBy(key).agg(F.min_by("__v", "__o").alias("__v"))
@@ -78,9 +81,20 @@ def merge_back(rows: DataFrame, updates: DataFrame, columns: Sequence[str], key:
     return joined.withColumns({c: F.when(~blank(F.col(f"__{c}").cast("string")), F.col(f"__{c}")).otherwise(F.col(c)) for c in columns if c not in human}).drop(*[f"__{c}" for c in columns])
 
 
-def reattach(rows: DataFrame, human: DataFrame, key: str = "paper_id", columns: Sequence[str] = ("keep", "notes")) -> DataFrame:
-    """Human columns of an earlier output win over those of ``rows``."""
-    kept = human.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
+def fill_counts(cascaded: DataFrame) -> DataFrame:
+    """What a cascade did: rows by the step that filled them, "original" and "none" included."""
+    return cascaded.groupBy("filled_from").agg(F.count("*").alias("n"))
+
+
+def lookup_counts(asked: DataFrame, value: str = "abstract", hit: str = "found") -> DataFrame:
+    """asked, enriched (ids that were found) and abstracts (found with a value that is no placeholder)."""
+    good = F.col(hit) & ~blank(F.col(value)) & ~F.startswith(F.col(value), F.lit("["))
+    return asked.agg(F.count("*").alias("asked"), F.count_if(F.col(hit)).alias("enriched"), F.count_if(good).alias("abstracts"))
+
+
+def reattach(rows: DataFrame, human: DataFrame, key: str = "paper_id", columns: Sequence[str] = ("keep", "notes"), order: Sequence[str] = ()) -> DataFrame:
+    """Human columns of an earlier output win over those of ``rows``; the last row of a key there, by ``order`` (file order), counts."""
+    kept = human.where(~blank(F.col(key).cast("string"))).transform(last_by(key, *(order or file_order(human)))).select(key, *[F.col(c).alias(f"__{c}") for c in columns])
     joined = rows.join(kept, key, "left")
     return joined.withColumns({c: F.coalesce(f"__{c}", c if c in rows.columns else F.lit("")) for c in columns}).drop(*[f"__{c}" for c in columns])
 

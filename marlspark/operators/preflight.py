@@ -72,7 +72,11 @@ def _two(f: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Co
 
 
 def schema_issues(v: Column) -> Column:
-    """All schema, taxonomy and format issues of an analysis, in the order of the rules."""
+    """All schema, taxonomy and format issues of an analysis, in the order of the rules; the analysis is parsed once."""
+    return X.let(v, _issues)
+
+
+def _issues(v: Column) -> Column:
     single = []
     for f, kind in FIELDS.items():
         at = get(v, f)

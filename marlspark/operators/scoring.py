@@ -44,9 +44,14 @@ SAMPLE_TOPIC = Topic.parse("license:10, los:5, und:5, que:3, of the:2, that:1, t
 def matched(text: Column, topic: Topic) -> Column:
     """Entries of the topic found in the text, in the topic's order; an entry listed twice counts twice."""
     kind = "long" if all(isinstance(w, int) for _, w in topic.keywords) else "double"
-    hits = [F.when(X.has_term(text, t), F.struct(F.lit(t).alias("term"), F.lit(w).cast(kind).alias("weight"))) for t, w in topic.keywords]
-    empty = F.array().cast(f"array<struct<term:string,weight:{kind}>>")
-    return F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else empty
+    if not topic.keywords:
+        return F.array().cast(f"array<struct<term:string,weight:{kind}>>")
+    entry = lambda found, t, w: F.when(found, F.struct(F.lit(t).alias("term"), F.lit(w).cast(kind).alias("weight")))
+
+    def hits(low: Column) -> Column:  # of the text folded once
+        return F.filter(F.array(*[entry(X.has_folded(low, t) if t.isascii() else X.has_term(text, t), t, w) for t, w in topic.keywords]), lambda x: x.isNotNull())
+
+    return X.let(X.folded(text), hits)
 
 
 def score(topic: Topic, title: str = "title", abstract: str = "abstract") -> Callable[[DataFrame], DataFrame]:
@@ -95,8 +100,11 @@ def by_score(scored: DataFrame, *order: str | Column) -> DataFrame:
 
 
 def top(scored: DataFrame, n: int, *order: str | Column) -> DataFrame:
-    """The n best with a score above 0: a TakeOrdered, not a full sort."""
-    return by_score(scored.where("relevance_score > 0"), *order).limit(n)
+    """The n best with a score above 0: a TakeOrdered, not a full sort.
+
+    The filter stands after it, since Spark would score again in a filter below.
+    """
+    return by_score(scored, *order).limit(n).where("relevance_score > 0")
 
 
 def slice_scored(scored: DataFrame, min_score: int = 0, top_n: int = 0, order: Sequence[str | Column] = ()) -> DataFrame:

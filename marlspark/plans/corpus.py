@@ -135,6 +135,21 @@ def sync_counters(spark, sf_dir):
     return joined.agg(F.count_if(F.col("quality") == 1).alias("downloaded"), F.count_if(F.col("quality").isNull()).alias("not_found"), F.count_if(F.col("quality") == 0).alias("no_pdf"))
 
 
+@CATALOG.query("SELECT doc_id, row_number() OVER w AS place, (row_number() OVER w - 1) // 4 AS page, lag(doc_id) OVER w AS previous, lead(doc_id) OVER w AS next FROM documents WINDOW w AS (PARTITION BY source ORDER BY n_chars DESC, doc_id)")
+def review_navigation(spark, sf_dir):
+    """Place, page, and the records before and after each in review order."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", (-F.col("n_chars")).alias("less"))
+    return C.neighbours(rows, "source", "doc_id", "less", "doc_id").select("doc_id", "place", "page", "previous", "next")
+
+
+@CATALOG.query("SELECT doc_id AS basename, quality AS revised FROM documents JOIN labels USING (doc_id)")
+def catalog_listed(spark, sf_dir):
+    """Of a catalogue, what has a model."""
+    part = lambda name, value: table(spark, sf_dir, name).select(F.col("doc_id").cast("string").alias("basename"), value.alias("value"))
+    rows = C.listed(C.catalog(pdf=part("documents", F.col("source")), revised=part("labels", F.col("quality"))).where("pdf is not null"), "revised")
+    return rows.select(F.col("basename").cast("long").alias("basename"), F.col("revised").cast("long").alias("revised"))
+
+
 @CATALOG.query("SELECT conv_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id")
 def human_document_latest(spark, sf_dir):
     """A whole-document edit replaces all before it."""

@@ -39,15 +39,16 @@ def latest_per_key(spark, sf_dir):
 
 
 @CATALOG.query("""
-WITH m AS (SELECT user_id % 1000 AS doc_id, event_id, CASE event_type WHEN 'purchase' THEN 'keep' WHEN 'click' THEN 'core' ELSE '' END AS keep, event_type AS notes FROM events),
-f AS (SELECT doc_id, arg_max(keep, event_id) FILTER (keep <> '') AS keep, arg_max(notes, event_id) AS notes FROM m GROUP BY doc_id)
-SELECT d.doc_id, coalesce(f.keep, '') AS keep, coalesce(f.notes, '') AS notes FROM documents d LEFT JOIN f USING (doc_id)""")
+WITH m AS (SELECT user_id % 1000 AS k, event_id, CASE event_type WHEN 'purchase' THEN 'keep' WHEN 'click' THEN 'core' ELSE '' END AS keep, event_type AS notes FROM events),
+f AS (SELECT k, arg_max(keep, event_id) FILTER (keep <> '') AS keep, arg_max(notes, event_id) AS notes FROM m GROUP BY k),
+d AS (SELECT doc_id, doc_id // 3 AS k, row_number() OVER (PARTITION BY doc_id // 3 ORDER BY doc_id) AS n FROM documents)
+SELECT d.doc_id, coalesce(f.keep, '') AS keep, coalesce(f.notes, '') AS notes FROM d LEFT JOIN f ON d.k = f.k AND d.n = 1""")
 def marks_upsert(spark, sf_dir):
-    """Fold mark events into records: a blank keep changes nothing, notes always count."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("keep"), F.lit("").alias("notes"))
+    """Fold mark events into records: a blank keep changes nothing, notes always count, and only the first record of a key is marked."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 3).alias("k"), F.lit("").alias("keep"), F.lit("").alias("notes"))
     keep = F.when(F.col("event_type") == "purchase", "keep").when(F.col("event_type") == "click", "core").otherwise("")
-    marks = table(spark, sf_dir, "events").select((F.col("user_id") % 1000).alias("doc_id"), keep.alias("keep"), F.col("event_type").alias("notes"), "event_id")
-    return D.upsert_marks(rows, marks, ["event_id"], "doc_id")
+    marks = table(spark, sf_dir, "events").select((F.col("user_id") % 1000).alias("k"), keep.alias("keep"), F.col("event_type").alias("notes"), "event_id")
+    return D.upsert_marks(rows, marks, ["event_id"], "k", ["doc_id"]).select("doc_id", "keep", "notes")
 
 
 @CATALOG.query("SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

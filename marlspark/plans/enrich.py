@@ -12,12 +12,12 @@ from .base import Catalog, table
 
 CATALOG = Catalog()
 
-_PAPERS = "(SELECT doc_id AS paper_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN '[abstract unavailable]' WHEN 2 THEN '[error: x]' ELSE left(text, 40) END AS abstract, CASE WHEN doc_id % 7 = 0 THEN '0' WHEN doc_id % 7 = 1 THEN '' ELSE '5' END AS citation_count, CASE WHEN doc_id % 3 = 0 THEN '' ELSE '10.1/' || doc_id END AS doi FROM documents)"
+_PAPERS = "(SELECT doc_id AS paper_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN '[abstract unavailable]' WHEN 2 THEN '[error: x]' ELSE text END AS abstract, CASE WHEN doc_id % 7 = 0 THEN '0' WHEN doc_id % 7 = 1 THEN '' ELSE '5' END AS citation_count, CASE WHEN doc_id % 3 = 0 THEN '' ELSE '10.1/' || doc_id END AS doi FROM documents)"
 
 
 def _papers(spark, sf_dir):
     i = F.col("doc_id")
-    abstract = F.when(i % 5 == 0, "").when(i % 5 == 1, UNAVAILABLE).when(i % 5 == 2, "[error: x]").otherwise(F.substring("text", 1, 40))
+    abstract = F.when(i % 5 == 0, "").when(i % 5 == 1, UNAVAILABLE).when(i % 5 == 2, "[error: x]").otherwise(F.col("text"))
     cited = F.when(i % 7 == 0, "0").when(i % 7 == 1, "").otherwise("5")
     doi = F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("10.1/"), i.cast("string")))
     return table(spark, sf_dir, "documents").select(i.alias("paper_id"), abstract.alias("abstract"), cited.alias("citation_count"), doi.alias("doi"))
@@ -31,9 +31,11 @@ def needs_enrichment(spark, sf_dir):
     return _papers(spark, sf_dir).where(E.needs_enrichment(F.col("abstract"), F.col("citation_count"))).select("paper_id")
 
 
-@CATALOG.query(f"SELECT paper_id, doi, coalesce(quality, -1) AS quality FROM {_PAPERS} p LEFT JOIN labels l ON p.doi <> '' AND 'DOI:' || p.doi = 'DOI:10.1/' || l.doc_id")
+@CATALOG.query(f"SELECT paper_id, doi, coalesce(quality, -1) AS quality FROM {_PAPERS} p LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l ON p.doi <> '' AND 'DOI:' || p.doi = 'DOI:10.1/' || l.doc_id")
 def doi_left_join(spark, sf_dir):
+    """Ids may be answered more than once; the least answer counts, and records are not multiplied."""
     found = table(spark, sf_dir, "labels").select(F.concat(F.lit("DOI:10.1/"), F.col("doc_id").cast("string")).alias("id"), "quality")
+    found = found.unionByName(found.withColumn("quality", F.col("quality") + 10))
     return E.by_doi(_papers(spark, sf_dir), found).select("paper_id", "doi", F.coalesce("quality", F.lit(-1)).cast("long").alias("quality"))
 
 
@@ -68,13 +70,30 @@ def title_year_join(spark, sf_dir):
 
 @CATALOG.query(f"""
 WITH p AS (SELECT paper_id, CASE WHEN {_MISSING} THEN NULL ELSE abstract END AS a FROM {_PAPERS}),
-s AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'q' || doc_id END AS a FROM labels), c AS (SELECT c_custkey AS k, 'c' || c_custkey AS a FROM customer WHERE c_custkey % 2 = 0)
-SELECT paper_id, coalesce(p.a, s.a, c.a, '[abstract unavailable]') AS abstract, CASE WHEN p.a IS NOT NULL THEN 'original' WHEN s.a IS NOT NULL THEN 'batch' WHEN c.a IS NOT NULL THEN 'search' ELSE 'none' END AS filled_from
+s AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'q' || doc_id END AS a FROM labels), c AS (SELECT c_custkey AS k, 'c' || c_custkey AS a FROM customer)
+SELECT paper_id, md5(coalesce(p.a, s.a, c.a, '[abstract unavailable]')) AS abstract_md5, CASE WHEN p.a IS NOT NULL THEN 'original' WHEN s.a IS NOT NULL THEN 'batch' WHEN c.a IS NOT NULL THEN 'search' ELSE 'none' END AS filled_from
 FROM p LEFT JOIN s ON s.doc_id = p.paper_id LEFT JOIN c ON c.k = p.paper_id""")
 def enrich_cascade(spark, sf_dir):
     batch = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("paper_id"), F.when(F.col("quality") == 1, F.concat(F.lit("q"), F.col("doc_id").cast("string"))).alias("abstract"))
-    search = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("paper_id"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("abstract"))
-    return E.cascade(_papers(spark, sf_dir), [("batch", batch), ("search", search)]).select("paper_id", "abstract", "filled_from")
+    search = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("abstract"))
+    return E.cascade(_papers(spark, sf_dir), [("batch", batch), ("search", search)]).select("paper_id", F.md5("abstract").alias("abstract_md5"), "filled_from")
+
+
+@CATALOG.query(f"""
+WITH p AS (SELECT paper_id, CASE WHEN {_MISSING} THEN NULL ELSE abstract END AS a FROM {_PAPERS}), s AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'q' END AS a FROM labels), c AS (SELECT c_custkey AS k FROM customer)
+SELECT CASE WHEN p.a IS NOT NULL THEN 'original' WHEN s.a IS NOT NULL THEN 'batch' WHEN c.k IS NOT NULL THEN 'search' ELSE 'none' END AS filled_from, count(*) AS n FROM p LEFT JOIN s ON s.doc_id = p.paper_id LEFT JOIN c ON c.k = p.paper_id GROUP BY 1""")
+def enrichment_counters(spark, sf_dir):
+    """What each step of a cascade filled, with what had a value and what has none."""
+    batch = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("paper_id"), F.when(F.col("quality") == 1, "q").alias("abstract"))
+    search = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"), F.lit("c").alias("abstract"))
+    return E.fill_counts(E.cascade(_papers(spark, sf_dir), [("batch", batch), ("search", search)]))
+
+
+@CATALOG.query(f"SELECT count(*) AS asked, count(l.doc_id) AS enriched, count(l.doc_id) FILTER (abstract <> '' AND NOT starts_with(abstract, '[')) AS abstracts FROM {_PAPERS} p LEFT JOIN labels l ON l.doc_id = p.paper_id")
+def lookup_counters(spark, sf_dir):
+    """Of the ids asked for, how many were found, and how many of those with a text."""
+    found = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("paper_id"), F.lit(True).alias("found"))
+    return E.lookup_counts(_papers(spark, sf_dir).join(found, "paper_id", "left").withColumn("found", F.coalesce("found", F.lit(False))))
 
 
 @CATALOG.query(f"SELECT p.paper_id, CASE WHEN coalesce(u.v, '') <> '' THEN u.v ELSE p.citation_count END AS citation_count FROM {_PAPERS} p LEFT JOIN (SELECT user_id AS paper_id, arg_max(v, event_id) AS v FROM (SELECT user_id, event_id, CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS v FROM events) GROUP BY user_id) u ON p.paper_id = u.paper_id")
@@ -86,9 +105,11 @@ def merge_back(spark, sf_dir):
 
 @CATALOG.query("SELECT d.doc_id AS paper_id, CASE WHEN l.doc_id IS NULL THEN 'new' ELSE 'q' || l.quality END AS keep, CASE WHEN l.doc_id IS NULL THEN '' ELSE 't' || l.toxic END AS notes FROM documents d LEFT JOIN labels l USING (doc_id)")
 def human_reattach(spark, sf_dir):
+    """The earlier output may list a record more than once; its last row there counts."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("paper_id"), F.lit("new").alias("keep"), F.lit("").alias("notes"))
-    earlier = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("paper_id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("keep"), F.concat(F.lit("t"), F.col("toxic").cast("string")).alias("notes"))
-    return E.reattach(rows, earlier)
+    earlier = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("paper_id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("keep"), F.concat(F.lit("t"), F.col("toxic").cast("string")).alias("notes"), F.lit(2).alias("_row"))
+    before = earlier.withColumns({"keep": F.lit("z"), "notes": F.lit("z"), "_row": F.lit(1)})
+    return E.reattach(rows, earlier.unionByName(before))
 
 
 @CATALOG.query("SELECT lang, source, count(*) AS n, least(greatest(count(*) * 4, 25), 200) AS candidates FROM documents GROUP BY lang, source")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.corpus import extraction_summary
 from ..operators.enrich import project, reattach
 from ..operators.scoring import TOPS, top
+from .tables import exists
 
-CSV = {"header": "true", "quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "encoding": "UTF-8"}
+CSV = {"header": "true", "quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "encoding": "UTF-8"}
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str], files: int | None = 1) -> None:
@@ -20,7 +22,7 @@ def write_csv(df: DataFrame, path: str, columns: list[str], files: int | None =
 def write_partitioned(df: DataFrame, path: str, keys: tuple[str, ...] = ("venue", "year"), force: bool = False) -> None:
     """Parquet by key; partitions that are there stay unless ``force``, which overwrites those written anew."""
     spark = df.sparkSession
-    if not force and _exists(spark, path):
+    if not force and exists(spark, path):
         done = spark.read.parquet(path).select(*keys).distinct()
         df = df.join(done, list(keys), "left_anti")
     elif force:
@@ -29,11 +31,6 @@ def write_partitioned(df: DataFrame, path: str, keys: tuple[str, ...] = ("venue"
     df.repartition(*keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def write_tops(scored: DataFrame, folder: str, columns: list[str], *order: str) -> list[int]:
     """The 10, 50 and 100 best, from one ranking; none is written once nothing scores."""
     best = top(scored, max(TOPS), *order).collect()
@@ -46,7 +43,7 @@ def write_tops(scored: DataFrame, folder: str, columns: list[str], *order: str)
 
 
 def write_keeping_marks(df: DataFrame, earlier: DataFrame, path: str, columns: list[str]) -> None:
-    """As write_csv, with keep and notes of the earlier output."""
+    """As write_csv, with keep and notes of the earlier output, which has its order (_file, _row)."""
     write_csv(reattach(df, earlier), path, columns)
 
 
@@ -55,10 +52,17 @@ def write_lines(df: DataFrame, path: str, column: str = "value", files: int | No
     (rows.coalesce(files) if files else rows).write.mode("overwrite").text(path)
 
 
-def write_documents(df: DataFrame, folder: str, stem: str) -> None:
-    """JSON documents partitioned by their stem, one folder each, and an index of all."""
-    df.write.mode("overwrite").partitionBy(stem).json(f"{folder}/documents")
-    df.drop("body_text").coalesce(1).write.mode("overwrite").json(f"{folder}/index")
+def write_documents(df: DataFrame, folder: str) -> None:
+    """JSON documents (many in a file), an index of them without their texts, and a summary of the extraction."""
+    df.write.mode("overwrite").json(f"{folder}/documents")
+    df.drop("body_text").write.mode("overwrite").json(f"{folder}/index")
+    extraction_summary(df).write.mode("overwrite").json(f"{folder}/summary")
+
+
+def write_status(runs: DataFrame, path: str, tail: int = 4000) -> None:
+    """Status records with the last ``tail`` characters of their output and errors; records of earlier runs stay."""
+    ends = {f"{c}_tail": F.right(F.coalesce(c, F.lit("")), F.lit(tail)) for c in ("stdout", "stderr")}
+    runs.withColumns(ends).drop("stdout", "stderr").write.mode("append").json(path)
 
 
 def append_events(events: DataFrame, path: str) -> None:

@@ -20,6 +20,19 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) ->
     return rows.select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_row"))
 
 
+def read_csv_if_there(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """As read_csv, of those paths that exist; no rows where none does."""
+    there = [p for p in paths if exists(spark, p)]
+    if there:
+        return read_csv(spark, there, schema)
+    return spark.createDataFrame([], schema).select("*", F.lit("").alias("_file"), F.lit(0).cast("long").alias("_row"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_csv_folder(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.csv") -> DataFrame:
     rows = spark.read.schema(schema).options(**CSV, pathGlobFilter=pattern).csv(folder)
     return rows.select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_row"))
@@ -128,10 +141,16 @@ def until_gap(fetched: DataFrame, key: list[str]) -> DataFrame:
 
 
 def fetch_pages(urls: DataFrame, get: Callable[[str], str], url: str = "url", retries: int = 3, wait: float = 2.0) -> DataFrame:
-    """url, html, ok: pages by a caller's function, tried again with a linear wait; failures are rows, not errors."""
+    """url, html, ok: pages by a caller's function, tried again with a linear wait; failures are rows, not errors.
+
+    An error with a ``code`` is tried again for the codes of PAGE_AGAIN only; broken connections and half answers always.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import time
+        from http.client import IncompleteRead
+
+        from .services import NETWORK, page_wait
 
         import pyarrow as pa
 
@@ -143,9 +162,11 @@ def fetch_pages(urls: DataFrame, get: Callable[[str], str], url: str = "url", re
                     try:
                         page = get(u)
                         break
-                    except OSError:
-                        if attempt < retries:
-                            time.sleep(wait * (attempt + 1))
+                    except (OSError, IncompleteRead) as failed:
+                        pause = page_wait(getattr(failed, "code", None) or NETWORK, attempt, retries)
+                        if pause is None:
+                            break
+                        time.sleep(pause * wait / 2)
                 pages.append(page)
                 ok.append(page is not None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pages, pa.string()), pa.array(ok)], names=["url", "html", "ok"])
@@ -191,9 +212,9 @@ def parse_atom(feeds: DataFrame, xml: str = "xml") -> DataFrame:
     return rows.select(*[c for c in feeds.columns if c != xml], field("id"), field("title"), field("summary"), F.substring(F.expr("xpath_string(e, 'entry/published')"), 1, 10).alias("published"), F.expr("xpath(e, 'entry/author/name/text()')").alias("authors"), F.expr("xpath(e, 'entry/category/@term')").alias("categories"))
 
 
-def read_json_documents(spark: SparkSession, folder: str, schema: str | StructType, leave_out: Iterable[str] = ("index.json",)) -> DataFrame:
-    """One document a file, index files left out, with its ``file``."""
-    rows = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
+def read_json_documents(spark: SparkSession, folder: str, schema: str | StructType, leave_out: Iterable[str] = ("index.json",), lines: bool = False) -> DataFrame:
+    """One document a file, or with ``lines`` one a line; index files left out, with its ``file_name``."""
+    rows = spark.read.schema(schema).option("multiLine", not lines).option("pathGlobFilter", "*.json").json(folder)
     return rows.select("*", F.col("_metadata.file_name").alias("file_name")).where(~F.col("file_name").isin(*leave_out))
 
 

@@ -80,5 +80,48 @@ def run_with_retries(call: Callable[[dict], tuple[int, str]], job: dict, most: i
     raise AssertionError
 
 
+def run_command(command: list[str], seconds: float, grace: float = 10.0) -> tuple[int, str, str]:
+    """Exit code, output and errors of a process; after ``seconds`` its group is asked to end, then made to, and the code is 124."""
+    import os
+    import signal
+    import subprocess
+
+    p = subprocess.Popen(command, stdout=subprocess.PIPE, stderr=subprocess.PIPE, text=True, errors="replace", start_new_session=True)
+    try:
+        out, err = p.communicate(timeout=seconds)
+        return p.returncode, out, err
+    except subprocess.TimeoutExpired:
+        os.killpg(p.pid, signal.SIGTERM)
+    try:
+        out, err = p.communicate(timeout=grace)
+    except subprocess.TimeoutExpired:
+        os.killpg(p.pid, signal.SIGKILL)
+        out, err = p.communicate()
+    return 124, out, f"{err}\nprocess timed out after {seconds:g} seconds\n"
+
+
+def run_jobs(jobs: list[dict], call: Callable[[dict], tuple[int, str]], most_failures: int = 3, dry_run: bool = False, **options) -> list[dict]:
+    """Status records of jobs in order; the producer stops once ``most_failures`` in a row have failed, and the rest stay pending.
+
+    A dry run calls nothing: its records hold the command that would run.
+    """
+    records, streak = [], 0
+    for job in jobs:
+        if streak >= most_failures:
+            records.append({**job, "status": "pending"})
+        elif dry_run:
+            records.append({**job, "status": "dry_run", "preview": " ".join(job.get("command", ()))})
+        else:
+            done = run_with_retries(call, job, **options)
+            streak = streak + 1 if done["status"] == "failed" else 0
+            records.append(done)
+    return records
+
+
+def dry_run(jobs: DataFrame, command: str = "command") -> DataFrame:
+    """Records of a run that calls nothing: status and a preview of each command."""
+    return jobs.withColumns({"status": F.lit("dry_run"), "preview": F.array_join(command, " ")}).drop(command)
+
+
 def sliding(events: DataFrame, size: str, slide: str, ts: str = "ts", late: str = "1 hour") -> DataFrame:
     return events.withWatermark(ts, late).groupBy(F.window(ts, size, slide)).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "n")
