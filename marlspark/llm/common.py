@@ -92,11 +92,11 @@ def packed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *columns)
 
 
-def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of consecutive runs of ``texts`` of about ``most`` characters each."""
+def chunks(texts: list[str], most: int = CHUNK_CHARS, count: int = 1 << 14) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive runs of ``texts`` of about ``most`` characters and at most ``count`` texts each."""
     start = size = 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+        if i > start and (size + len(t) > most or i - start >= count):
             yield start, i
             start, size = i, 0
         size += len(t)
@@ -104,10 +104,10 @@ def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
-def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema: str, text: str = "text") -> DataFrame:
+def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema: str, text: str = "text", count: int = 1 << 14) -> DataFrame:
     """Add what ``fn`` makes of each row's text; the text itself is dropped, other columns stay but for those of the new names.
 
-    ``fn`` gets whole texts (null as "") in chunks and returns Arrow arrays or
+    ``fn`` gets whole texts (null as ""), at most ``count`` in a chunk, and returns Arrow arrays or
     lists by column. No shuffle; memory is bounded by a batch.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -122,7 +122,7 @@ def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema:
         for b in batches:
             texts = [t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()]
             rest = b.select(kept) if kept else None
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, count=count):
                 out = fn(texts[i:j])
                 columns = [rest.column(k).slice(i, j - i) for k in range(len(kept))]
                 for n in made:

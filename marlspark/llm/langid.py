@@ -35,6 +35,8 @@ UNDETERMINED = "und"
 LOW = 0.01
 #: A text with fewer letters has a lower bound.
 LETTERS = 64
+#: Texts whose dense vectors are held at a time, and languages that are learned at most, the most frequent.
+TEXTS, LANGUAGES = 256, 1000
 _LETTERS = np.where(IS_LETTER, np.arange(256), 32).astype(np.uint8)
 
 
@@ -42,13 +44,16 @@ def counts(texts: list[str]) -> np.ndarray:
     """Counts of hashed 2- and 3-grams by text."""
     data, starts = encode(texts)
     x = _LETTERS[data].astype(np.uint32)
-    # Every text ends in a space, so grams may run on into the next text's first letters without harm: they count for where they start.
     row = np.repeat(np.arange(len(texts), dtype=np.int64) * D, np.diff(starts))
+    # Every text ends in a space; no gram begins there or goes beyond, so that a text's neighbours don't matter.
+    inside = np.ones(max(len(x) - 1, 0), dtype=bool)
+    ends = starts[1:] - 1
+    inside[ends[ends < len(inside)]] = False
     two = x[:-1] * np.uint32(0x9E3779B1) ^ x[1:] * np.uint32(0x85EBCA77)
-    out = np.bincount(row[:-1] + ((two * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - BITS)), minlength=len(texts) * D)
+    out = np.bincount((row[:-1] + ((two * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - BITS)))[inside], minlength=len(texts) * D)
     if len(x) > 2:
         three = (two[:-1] * np.uint32(0x27D4EB2F)) ^ (x[2:] * np.uint32(0x165667B1))
-        out += np.bincount(row[:-2] + ((three * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - BITS)), minlength=len(texts) * D)
+        out += np.bincount((row[:-2] + ((three * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - BITS)))[inside[:-1] & inside[1:]], minlength=len(texts) * D)
     return out.reshape(len(texts), D)
 
 
@@ -82,11 +87,12 @@ class Model:
 def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = 600, clusters: int = 3, fraction: float = 0.6) -> Model:
     """Learn from rows where ``known`` holds and the language is not null.
 
-    About ``sample`` rows of each language, those of least hash, make its centroids;
-    idf counts all learned rows.
+    About ``sample`` rows of each of the ``LANGUAGES`` most frequent languages, those of
+    least hash, make its centroids, rows with equal id and text as one; idf counts all learned rows.
     """
     rows = docs.where(known & F.col(lang).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
+    code = F.xxhash64(F.lit(5), doc_id, text)
+    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang).alias("l")).agg(F.approx_count_distinct(code).alias("n"), F.count("*").alias("rows")).orderBy(F.desc("rows"), "l").limit(LANGUAGES).collect()}
     if not sizes:
         return Model([], np.zeros((0, D), np.float32), np.zeros(0), np.ones(D, np.float32))
 
@@ -94,7 +100,7 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
         total, n = np.zeros(D + 1, dtype=np.int64), 0
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, count=TEXTS):
                 total[:D] += (counts(texts[i:j]) > 0).sum(axis=0)
                 n += j - i
         total[D] = n
@@ -107,8 +113,9 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
 
     # One number for each language goes into the plan, so that texts aren't dealt out for a join.
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))]), F.col("lang"))
-    drawn = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), (F.pmod(F.xxhash64(F.lit(5), doc_id), F.lit(1 << 20)) / float(1 << 20)).alias("at"))
-    drawn = drawn.where(F.col("at") < share).select("lang", "text")
+    drawn = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), code.alias("h"))
+    # Equal rows are drawn as one, so that however many there are the groups stay near ``sample``.
+    drawn = drawn.where(F.pmod("h", F.lit(1 << 20)) / float(1 << 20) < share).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def cluster(key: tuple[str], rows: pd.DataFrame) -> pd.DataFrame:
         v = np.concatenate([vectors([t or "" for t in rows["text"].iloc[i : i + 50]], idf) for i in range(0, len(rows), 50)])
@@ -140,7 +147,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             "rejected": [not ok or bool(s < (least := 1 - model.farthest[b]) and s < least * min(1.0, sum(map(str.isalpha, t)) / LETTERS) ** 0.5) for t, s, b, ok in zip(texts, score, best, letters, strict=True)],
         }
 
-    return map_texts(docs, nearest, "lang_pred string, score double, rejected boolean", text)
+    return map_texts(docs, nearest, "lang_pred string, score double, rejected boolean", text, TEXTS)
 
 
 def op1_identify_language(spark, sf_dir: str) -> DataFrame:
