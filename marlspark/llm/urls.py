@@ -76,6 +76,7 @@ def split_word(label: str, counts: dict[str, int], total: int) -> list[str]:
 
 def segmented_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     """host and words of the distinct ``hosts``; every label gets the counts of its own substrings alone."""
+    counts = cut(counts)  # one pass over all html
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
     labels = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("pos", "label")).where("label != ''")
     distinct = labels.select("label").distinct()
