@@ -86,15 +86,31 @@ def label_model(votes: np.ndarray, balance: float, start: tuple[np.ndarray, np.n
     return posterior, toxic, clean, own
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 600, rate: float = 0.5) -> tuple[np.ndarray, float]:
-    """Weights of a logistic regression on soft labels: full-batch Adam."""
-    w, m, v = (np.zeros(x.shape[1] + 1) for _ in range(3))
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 30, near: float = 1e-7) -> tuple[np.ndarray, float]:
+    """Weights of a logistic regression on soft labels: Newton steps, halved until the loss falls, to convergence."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    for t in range(1, rounds + 1):
+    ridge = np.full(x.shape[1], penalty)
+    ridge[-1] = 1e-9
+    w = np.zeros(x.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.mean(np.logaddexp(0, z) - y * z) + 0.5 * (ridge * w * w).sum())
+
+    before = loss(w)
+    for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) / len(x) + penalty * np.append(w[:-1], 0)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate / (1 + t / 50) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        g = x.T @ (p - y) / len(x) + ridge * w
+        h = (x.T @ (x * np.maximum(p * (1 - p), 1e-9)[:, None].astype(x.dtype))).astype(np.float64) / len(x)
+        step = np.linalg.solve(h + np.diag(ridge + 1e-9), g)
+        size = 1.0
+        while size > 1e-4 and loss(w - size * step) > before:
+            size /= 2
+        w = w - size * step
+        after = loss(w)
+        if before - after < near:
+            break
+        before = after
     return w[:-1], float(w[-1])
 
 
@@ -102,15 +118,18 @@ def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", d
     """Learn from labelled rows of ``docs`` where ``known`` (over doc_id) holds.
 
     At most about ``sample`` labelled documents are used, those of least hash;
-    ``voters`` and ``kept`` bound the voters and the classifier's features, and
+    of rows that share an id the least text counts. Gold labels pick the voters, of the
+    lexicon's candidates, and start their rates; the label model then fits rates and
+    correlations to the votes alone. ``voters`` and ``kept`` bound the voters and the classifier's features, and
     ``least`` and ``precise`` are the G statistic and the share of toxic documents that a voter needs.
     """
     marks = labels.where(known & F.col("toxic").isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("__id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     total = marks.count()
     share = min(1.0, sample / max(1, total))
     marks = marks.where(F.pmod(F.xxhash64(F.lit(11), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # The sample is bounded, so its marks (12 bytes each) may be broadcast.
+    # The sample is bounded, so its marks (12 bytes each) may be broadcast. Of rows that share an id one is learned.
     rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("text")).join(F.broadcast(marks), "__id")
+    rows = rows.groupBy("__id", "toxic").agg(F.min("text").alias("text"))
 
     def explode(texts: list[str]) -> dict[str, list]:
         code, doc = distinct(*features(texts))
