@@ -28,6 +28,8 @@ from .common import map_texts, table
 MARK = "▁"
 #: Of pre-tokens whose counts a task keeps.
 KEPT = 400_000
+#: Characters of the words whose counts are kept, and of a word that is counted by itself.
+KEPT_CHARS, LONG = 1 << 24, 1 << 12
 
 
 @dataclass
@@ -104,18 +106,44 @@ def count_sorted(words: list[str], vocabulary: Vocabulary) -> dict[str, int]:
     return out
 
 
+def count_long(word: str, vocabulary: Vocabulary) -> int:
+    """Tokens of one word of any length: only the last prefixes that a piece can reach back to are held."""
+    scores, unknown, sizes = vocabulary.scores, vocabulary.unknown, vocabulary.sizes
+    reach = max(map(len, scores), default=1) + 1
+    s = MARK + word
+    best, count = [0.0] * reach, [0] * reach  # of prefix i at i modulo reach
+    for i in range(1, len(s) + 1):
+        top, n = -math.inf, 0
+        suffix = s[i - 2 : i] if i > 1 else s[:1]
+        for size in sizes.get(suffix) or vocabulary.sizes_before(suffix):
+            if size > i:
+                break
+            piece = scores.get(s[i - size : i])
+            if piece is not None and (x := best[(i - size) % reach] + piece) > top:
+                top, n = x, count[(i - size) % reach] + 1
+        if s[i - 1] not in scores and (x := best[(i - 1) % reach] + unknown) > top:
+            top, n = x, count[(i - 1) % reach] + len(s[i - 1].encode("utf-8", "replace"))
+        best[i % reach], count[i % reach] = top, n
+    return count[len(s) % reach]
+
+
 def count_tokens(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """Replace ``text`` by its numbers of words and tokens."""
     vocabulary = load_vocabulary(path or default_path())
     known: dict[str, int] = {}
+    held = 0  # characters of what is known
 
     def count(texts: list[str]) -> dict[str, list]:
+        nonlocal held
         split = [t.split() for t in texts]
         new = {w for ws in split for w in ws if w not in known}
-        if len(known) + len(new) > KEPT:
+        if len(known) + len(new) > KEPT or held > KEPT_CHARS:
             known.clear()
+            held = 0
             new = {w for ws in split for w in ws}
-        known.update(count_sorted(sorted(new), vocabulary))
+        held += sum(map(len, new))
+        known.update(count_sorted(sorted(w for w in new if len(w) <= LONG), vocabulary))
+        known.update((w, count_long(w, vocabulary)) for w in new if len(w) > LONG)
         return {"n_words": [len(ws) for ws in split], "n_tokens": [sum(map(known.__getitem__, ws)) for ws in split]}
 
     return map_texts(docs, count, "n_words long, n_tokens long", text)
