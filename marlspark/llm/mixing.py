@@ -31,8 +31,10 @@ from .common import cut, row_key
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a block: a source's words over 1024, within these bounds.
 BLOCK_WORDS = (64, 4096)
-#: Numbers that the plan of a mix may hold: one for each source and shard.
+#: Numbers that the plan of a mix may hold, one for each source and shard: very many sources make fewer shards.
 PLAN_MOST = 1 << 23
+#: Words of a shard, from which the number of shards follows, and fewest shards; rows of a bucket of a source's stream, and fewest buckets.
+SHARD_WORDS, SHARDS, BUCKET_ROWS, BUCKETS = 1 << 23, 64, 2048, 256
 
 
 def word_count(text: Column) -> Column:
@@ -97,8 +99,7 @@ def split_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.
 
 def make_plan(totals: list[tuple[str | None, int]], weights: tuple[float, ...], ratio: float, most: float, shards: int, seed: int) -> list[Source]:
     plan = [Source(n, int(s or 0)) for n, s in sorted(totals, key=lambda x: (x[0] is None, x[0] or ""))]
-    if len(plan) * shards > PLAN_MOST:
-        raise ValueError(f"{len(plan)} sources by {shards} shards: more than {PLAN_MOST} counts; use fewer shards")
+    shards = max(1, min(shards, PLAN_MOST // max(1, len(plan))))
     for i, s in enumerate(plan):
         s.weight = weights[i % len(weights)]
     for s, t in zip(plan, targets([s.size for s in plan], [s.weight for s in plan], ratio * sum(s.size for s in plan), most), strict=True):
@@ -169,21 +170,23 @@ class Mix:
     """A mix of ``docs``: its plan by source and where every document stands in its source's stream.
 
     ``weights`` go to sources in code-point order, repeating; ``ratio`` is the mix's
-    size over the input's; no target is above ``most`` times its source. Sources are
-    collected (one row each), as are the counts by source and shard, whose number is
-    checked; documents are not.
+    size over the input's; no target is above ``most`` times its source. ``shards``
+    follows from the words unless it is given. Sources are collected (one row each), as
+    are the counts by source and shard, whose number is bounded; documents are not.
     """
 
-    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), ratio: float = 1.5, most: float = 2.0, shards: int = 64, seed: int = 7, source: str = "source", text: str = "text", doc_id: str = "doc_id"):
+    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), ratio: float = 1.5, most: float = 2.0, shards: int | None = None, seed: int = 7, source: str = "source", text: str = "text", doc_id: str = "doc_id"):
         spark = docs.sparkSession
         self.docs = docs
         sized = cut(docs.select(row_key(text, doc_id).alias("rk"), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")))
         found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+        if shards is None:
+            shards = max(SHARDS, math.ceil(ratio * sum(r["size"] or 0 for r in found) / SHARD_WORDS))
         self.plan = make_plan([(r["source"], r["size"]) for r in found], weights, ratio, most, shards, seed)
-        self.seed, self.shards, self.text, self.doc_id = seed, shards, text, doc_id
+        self.seed, self.text, self.doc_id = seed, text, doc_id
         rows = [(s.name, i, s.size, s.target) for i, s in enumerate(self.plan)]
         known = spark.createDataFrame(rows, "name string, sid int, source_size long, target double")
-        bits = max(1, math.ceil(math.log2(max(2, sum(r["n"] for r in found) / 2048))))
+        bits = math.ceil(math.log2(max(BUCKETS, sum(r["n"] for r in found) / BUCKET_ROWS)))
         drawn = sized.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn("h", F.xxhash64(F.lit(seed), "rk")).withColumn("bucket", F.shiftrightunsigned("h", 64 - bits).cast("long"))
         sums = drawn.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
         before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
