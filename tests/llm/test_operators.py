@@ -79,6 +79,38 @@ def test_language_cases(spark):
     assert langid.stage(spark, m, SF).columns == m.columns
 
 
+def test_nearest_centroid_equals_brute_force(spark, docs):
+    model = langid.fit(docs, F.lit(True))
+    rows = [r for r in docs.select("doc_id", "text").limit(25).collect()]
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    mask = 2**32 - 1
+    for i, text in rows:
+        data = [b if b >= 128 or chr(b).isalpha() else 32 for b in (text or "").lower().encode()] + [32]
+        tf = collections.Counter()
+        for j in range(len(data) - 1):
+            two = (data[j] * 0x9E3779B1 & mask) ^ (data[j + 1] * 0x85EBCA77 & mask)
+            tf[(two * 0xC2B2AE3D & mask) >> 32 - langid.BITS] += 1
+            if j + 2 < len(data):
+                tf[(((two * 0x27D4EB2F & mask) ^ (data[j + 2] * 0x165667B1 & mask)) * 0xC2B2AE3D & mask) >> 32 - langid.BITS] += 1
+        v = {t: math.log1p(n) * float(model.idf[t]) for t, n in tf.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cosine = [sum(x * float(c[t]) for t, x in v.items()) / norm for c in model.centroids]
+        if got[i].lang_pred != "und":
+            assert abs(got[i].score - max(cosine)) < 1e-3
+            assert max(c for c, name in zip(cosine, model.languages, strict=True) if name == got[i].lang_pred) > max(cosine) - 1e-3
+
+
+def test_many_short_texts_are_few_at_a_time():
+    seen = [j - i for i, j in langid.chunks(["word"] * 10_000, count=langid.TEXTS)]
+    assert sum(seen) == 10_000 and max(seen) == langid.TEXTS
+
+
+def test_rows_that_repeat_are_drawn_once(spark):
+    rows = [(None, "the same words again and again and again", "en")] * 3000 + [(i, f"andere wörter nummer {i} und mehr davon", "de") for i in range(50)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample=40)
+    assert set(model.languages) == {"en", "de"} and model.languages.count("en") == 1
+
+
 # 2
 
 
@@ -370,6 +402,12 @@ def test_secrets_keep_base_spans_and_add_formats(spark):
 
 def test_secret_cases(spark):
     m = messy(spark).drop("spans")
+    extra = spark.createDataFrame([(20, "password: abcdefghijkl1 " * 2), (21, "x" * 100_000 + " deadbeef00112233 api_key='A1b2C3d4E5f6G7'")], "doc_id long, text string")
+    got = secrets.find_secrets(m.select("doc_id", "text").unionByName(extra)).collect()
+    texts = {20: "password: abcdefghijkl1 " * 2, 21: "x" * 100_000 + " deadbeef00112233 api_key='A1b2C3d4E5f6G7'"}
+    assert len(got) == 13 and all(not r.spans for r in got if r.doc_id not in texts)
+    for i, t in texts.items():
+        assert [(x.start, x.end) for x in next(r for r in got if r.doc_id == i).spans] == [(a, z) for a, _, z in brute_spans(t)]
     assert secrets.find_secrets(m).count() == 11
     assert secrets.find_secrets(m.limit(0)).count() == 0
 
@@ -399,9 +437,72 @@ def test_segmentation_and_bayes(spark):
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string, html string, score int, words int")).count() == 0
 
 
+def test_judging_equals_brute_force(spark):
+    rows = [(i, f"http://{h}.{t}/{p}/{i}?q", html) for i, (h, t, p, html) in enumerate(
+        (h, t, p, html) for h, html in (("freebets", "free bets win"), ("cooknews", "<b>cook</b> news"), ("newsbets", "Bets NEWS")) for t in ("example.net", "example.org", "net", "org") for p in ("en", "fr", "x-y"))]
+    rows += [(100, None, "win"), (101, rows[0][1], None), (101, rows[0][1], None), (102, "http://cook" + "news" * 12 + ".org/" + "a/" * 20_000, "cook")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in ("host", "path", "rule", "verdict", "score", "host_words", "words", "word", "label", "n", "b")})
+    got = sorted(urls.judge_urls(df).collect(), key=lambda r: r.page_id)
+    assert len(got) == len(rows) and got[0].word == "clash" and got[0].host != "clash"
+    count = collections.Counter(w for _, _, html in rows for w in re.split("[^a-z]+", re.sub("<[^>]*>", " ", (html or "").lower())) if 0 < len(w) <= 20)
+    total = sum(count.values())
+
+    def splits(label):
+        if not label:
+            yield []
+        for k in range(1, min(len(label), 20) + 1):
+            yield from ([label[:k], *rest] for rest in splits(label[k:]))
+
+    cost = lambda ws: sum(math.log(count[w] / total) if count[w] else math.log(10 / total) - len(w) * math.log(10) for w in ws)
+    best = {label: max(splits(label), key=cost) for label in ("freebets", "cooknews", "newsbets", "example", "net", "org")}
+    tokens_of = lambda r: [f"h:{w}" for label in re.split("[^a-z]+", r.host) if label for w in best[label]] + [f"p:{w}" for w in re.split(r"[/._=&-]+", re.sub("[0-9]+", "#", r.path.lower())) if w]
+    known = [r for r in got if r.rule]
+    n = {v: collections.Counter(t for r in known if r.verdict == v for t in tokens_of(r)) for v in ("block", "allow")}
+    used = len({t for c in n.values() for t in c})
+    for r in got:
+        if r.page_id < 101:
+            odds = math.log((sum(x.verdict == "block" for x in known) + 1) / (sum(x.verdict == "allow" for x in known) + 1))
+            for t in tokens_of(r):
+                odds += math.log((n["block"][t] + 1) / (n["block"].total() + used)) - math.log((n["allow"][t] + 1) / (n["allow"].total() + used))
+            assert abs(r.score - 1 / (1 + math.exp(-odds))) < 1e-9
+            assert r.verdict == ("block" if r.score > 0.5 else "allow") or r.rule
+    twins = [tuple(r) for r in got if r.page_id == 101]
+    assert twins[0] == twins[1]
+    assert next(r for r in got if r.page_id == 102).host_words[:3] == ["cook", "news", "news"]
+
+
 # 7
 
 
+def test_scores_equal_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(d, spark.read.parquet(f"{sf}/labels.parquet"), F.lit(True))
+    weight = dict(zip(model.codes.tolist(), model.weights.tolist(), strict=True))
+    rows = d.limit(60).collect()
+    got = {r.doc_id: r.score for r in toxicity.score(d.limit(60), model).collect()}
+    assert weight
+    for i, t in rows:
+        code, _ = toxicity.features([t or ""])
+        total = model.bias + sum(weight.get(c, 0.0) for c in set(code.tolist()))
+        assert abs(got[i] - 1 / (1 + math.exp(-total))) < 1e-9
+
+
+def test_regression_is_at_its_optimum():
+    rng = np.random.default_rng(0)
+    x, y = (rng.random((400, 6)) < 0.3).astype(np.float32), rng.random(400)
+    w, b = toxicity.logistic(x, y)
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.abs(x.T @ (p - y) / 400 + 1e-4 * w).max() < 1e-4 and abs((p - y).mean()) < 1e-4
+
+
+def test_documents_that_share_an_id_are_learned_once(spark):
+    rows = [(1, f"vile words {i}") for i in range(500)] + [(i, "kind words here") for i in range(2, 60)]
+    labels = spark.createDataFrame([(i, 1, int(i == 1)) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, F.lit(True))
+    assert model.bias < 0
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     found = toxicity.op7_score_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
@@ -470,8 +571,21 @@ def test_counts_equal_a_reference_tokenizer(spark, docs):
     assert {r.doc_id: r.n_tokens for r in tokens.count_tokens(df).collect()} == {i: count(t) for i, t in texts.items()}
 
 
+def test_long_words_are_counted_alike():
+    v = tokens.load_vocabulary(tokens.default_path())
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 17, 300, 5000):
+        w = "".join(rng.choice(list("abcdefghi日ü-"), n))
+        assert tokens.count_long(w, v) == tokens.count_sorted([w], v)[w]
+
+
 def test_token_cases(spark):
     m = messy(spark)
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "same same"), (3, "same same"), (4, "z" * 50_000)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in tokens.count_tokens(rows).collect())
+    v = tokens.load_vocabulary(tokens.default_path())
+    one = tokens.count_sorted(["same"], v)["same"]
+    assert got == [(1, 0, 0), (2, 0, 0), (3, 2, 2 * one), (3, 2, 2 * one), (4, 1, tokens.count_long("z" * 50_000, v))]
     assert tokens.count_tokens(m).count() == 11 and tokens.count_tokens(m.limit(0)).count() == 0
 
 
@@ -513,3 +627,33 @@ def test_mix_cases(spark):
     assert len(got) == 11 and (got.taken <= 2 * got["size"]).all()
     assert mix.rows().selectExpr("sum(end - start)").first()[0] == got.taken.sum()
     assert mixing.Mix(m.limit(0)).taken().count() == 0 and mixing.Mix(m.limit(0)).rows().count() == 0
+
+
+def test_mix_equals_taking_word_by_word(spark, docs):
+    mix = mixing.Mix(docs, shards=5)
+    taken = {}
+    streams = {}
+    for r in mix.placed.collect():
+        streams.setdefault(r.sid, []).append((r.offset, r.size, r.doc_id))
+    for sid, rows in streams.items():
+        x, at = mix.plan[sid], 0
+        for offset, size, i in sorted(rows, key=lambda r: (r[0], r[1] > 0)):
+            assert offset == at  # documents stand one after another
+            at += size
+            n = 0
+            for w in range(offset, offset + size):
+                block = w // x.block
+                for turn, shift in enumerate(x.shift):
+                    place = (x.step * block + shift) % x.blocks + turn * x.blocks
+                    last = place == x.drawn - 1 and w >= min((block + 1) * x.block, x.size) - x.cut_words
+                    n += place < x.drawn and not last
+            taken[i] = n
+        assert at == x.size
+    assert {r.doc_id: r.taken for r in mix.taken().collect()} == taken
+
+
+def test_very_many_sources_make_fewer_shards(spark):
+    sources = [(f"s{i}", 3) for i in range(140_000)]
+    plan = mixing.make_plan(sources, (3, 1, 2), 1.5, 2.0, 64, 7)
+    assert len(plan) == 140_000 and len(plan) * len(plan[0].offsets) <= mixing.PLAN_MOST
+    assert all(abs(s.drawn * s.size - s.cut_words - s.target) <= 1 for s in plan)  # one block is a whole source here
