@@ -3,13 +3,16 @@
 Each of several random rotations projects all vectors to a few dimensions; the
 projections, shifted at random and quantised, are ordered along a Hilbert curve.
 Every order is cut into blocks of equally many rows (approximate quantiles of its
-keys, from all rows) and its rows are dealt by curve and block, larger blocks in
-parts of bounded size. A query goes to its own block and to those beside it; each
-part returns the query's nearest rows there, in exact double precision, and the
-parts' answers are merged and ranked again.
+keys, from all rows), larger blocks into parts of bounded size. What is dealt to a part are
+ids and 8-bit codes of its rows, with the exact length of each code's error. A query
+goes, exact, to its own block and to those beside it; a part bounds its rows' distances
+from below and above and returns those that may be among the query's nearest there. The parts'
+answers are merged, rows that k others are surely nearer than go, and the rest are ranked
+again by double-precision distances of the original vectors. Codes so lose nothing of a window.
 
-Windows are shares of an order, so their work grows with queries times rows;
-``share`` sets it against recall. Few rows make one block, which is exact.
+A window is five blocks of ``blocks`` and so a share of an order: recall holds at every size, and a query
+is compared with at most 5 * curves / blocks of all rows. Queries stream by a part's
+rows, however many they are. Few rows make one block, which is exact.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite values take
 no part; nor do rows without an id; rows that share an id are one candidate, the
@@ -23,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +33,18 @@ from pyspark.sql import functions as F
 from .common import cut, table
 
 #: Orders, dimensions and bits of each, blocks of an order, blocks beside a query's own, rows of a part.
-CURVES, DIMENSIONS, BITS, BLOCKS, BESIDE, PART = 28, 8, 4, 80, 2, 4096
+CURVES, DIMENSIONS, BITS, BLOCKS, BESIDE, PART = 36, 8, 4, 270, 2, 4096
+#: Share of the squared lengths that single-precision products may be off by.
+ROUNDING = 1e-5
+
+
+def coded(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """8-bit codes of vectors, their scales, and a bound of the length of each one's error."""
+    scale = (np.abs(v).max(axis=1) / 127).astype(np.float64)
+    scale[scale == 0] = 1.0
+    code = np.rint(v / scale[:, None]).clip(-127, 127).astype(np.int8)
+    off = v - code * scale[:, None]
+    return code, scale, np.sqrt((off * off).sum(axis=1)) * (1 + 1e-9)
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -75,7 +88,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id
     block: sizes that the parameters fix.
     """
     spark = rows.sparkSession
-    base = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("q")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
+    kind = "float" if rows.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    exact = np.dtype(np.float32 if kind == "float" else np.float64)
+    base = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(f"array<{kind}>").alias("v"), is_query.alias("q")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     head = base.agg(F.count("*").alias("n"), F.min_by(F.size("v"), "vec_id").alias("d")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not head["n"]:
@@ -90,7 +105,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id
     # Mean and spread of every projected dimension, from all rows.
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            y = b.column(0).flatten().to_numpy().reshape(-1, d) @ basis
+            y = b.column(0).flatten().to_numpy().reshape(-1, d).astype(np.float64) @ basis
             c = y.shape[1]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(c)), pa.array(np.full(c, float(len(y)))), pa.array(y.sum(axis=0)), pa.array((y * y).sum(axis=0))], names=["c", "n", "s", "s2"])
 
@@ -102,7 +117,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = b.column(1).flatten().to_numpy().reshape(-1, d)
-            y = ((v @ basis - mean) / spread / 6 + 0.5).clip(0, 1).reshape(len(v), curves, p)
+            y = ((v.astype(np.float64) @ basis - mean) / spread / 6 + 0.5).clip(0, 1).reshape(len(v), curves, p)
             cells = np.minimum(((y + shifts) / 2 * (1 << bits)).astype(np.int64), (1 << bits) - 1)
             key = np.stack([hilbert(cells[:, c], bits) for c in range(curves)], axis=1)
             offsets = pa.array(np.arange(0, key.size + 1, curves, dtype=np.int32))
@@ -130,60 +145,101 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id
     for (c, b), m in sizes.items():
         parts[c, b] = -(-m // PART)
 
+    first = np.zeros(parts.size + 1, dtype=np.int64)  # number of each block's first part
+    np.cumsum(parts.ravel(), out=first[1:])
+
+    def packed_rows(number: np.ndarray, row: np.ndarray, ids: np.ndarray, data: np.ndarray, asks: bool) -> Iterator[pa.RecordBatch]:
+        """Rows by part, those of one part as one row of bytes."""
+        order = np.argsort(number, kind="stable")
+        number, row = number[order], row[order]
+        edge = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1], [True]))) if len(number) else np.zeros(1, np.int64)
+        for i in range(0, len(edge) - 1, 4096):
+            part = list(zip(edge[i : min(i + 4096, len(edge) - 1)], edge[i + 1 : i + 4097], strict=True))
+            at = pa.array([number[x] for x, _ in part], pa.int64())
+            yield pa.RecordBatch.from_arrays([at, pa.array([asks] * len(part)), pa.array([ids[row[x:z]].tobytes() for x, z in part], pa.binary()), pa.array([data[row[x:z]].tobytes() for x, z in part], pa.binary())], names=["part", "asks", "ids", "data"])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every row to one part of its block on each curve; a query also to all parts of its own and the neighbouring blocks."""
+        """Every row's code to one part of its block on each curve; a query, exact, to all parts of its own and the neighbouring blocks."""
         for b in batches:
             ids = b.column(0).to_numpy()
             query = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for i in range(0, len(ids), 1024):
-                at = place(b.column(3).slice(i, 1024).flatten().to_numpy().reshape(-1, curves))
-                row, curve = np.divmod(np.arange(at.size), curves)
-                block = at.ravel()
-                part = (ids[i + row] * 2654435761 >> 7) % parts[curve, block]
-                rows_, curves_, blocks_, parts_, asks = [row], [curve], [block], [part], [np.zeros(len(row), bool)]
-                for r in np.flatnonzero(query[i : i + 1024]):
-                    for c in range(curves):
-                        last = len(edges[c])
-                        for x in range(max(0, at[r, c] - beside), min(last, at[r, c] + beside) + 1):
-                            m = parts[c, x]
-                            rows_.append(np.full(m, r)), curves_.append(np.full(m, c)), blocks_.append(np.full(m, x)), parts_.append(np.arange(m)), asks.append(np.ones(m, bool))
-                row = np.concatenate(rows_)
-                take = pa.array(row + i)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(curves_)), pa.array(np.concatenate(blocks_)), pa.array(np.concatenate(parts_)), b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(asks))], names=["curve", "block", "part", "vec_id", "v", "asks"])
-
-    def answer(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy()
-        query, known = group[asks], group[~asks]
-        out = []
-        if len(query) and len(known):
-            ids = known["vec_id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            x = np.frombuffer(b"".join(known["v"]), np.float64).reshape(-1, d)[order]
-            norm = (x * x).sum(axis=1)
-            for i in range(0, len(query), 256):
-                q = query.iloc[i : i + 256]
-                y = np.frombuffer(b"".join(q["v"]), np.float64).reshape(-1, d)
-                near = norm - 2 * (y @ x.T)
-                for j, me in enumerate(q["vec_id"].to_numpy()):
-                    row = near[j]
-                    if len(row) > k + 1:
-                        # All that may be among the k nearest but for rounding; exact distances decide.
-                        bound = np.partition(row, k)[k]
-                        pick = np.flatnonzero(row <= bound + 1e-9 * (1 + abs(bound) + (y[j] @ y[j])))
-                    else:
-                        pick = np.arange(len(row))
-                    pick = pick[ids[pick] != me]
-                    gap = np.sqrt(((x[pick] - y[j]) ** 2).sum(axis=1))
-                    best = np.lexsort((ids[pick], gap))[:k]
-                    out.append(pd.DataFrame({"query_id": me, "vec_id": ids[pick][best], "score": gap[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-
-    dealt = keyed.mapInArrow(deal, "curve long, block long, part long, vec_id long, v binary, asks boolean")
-    found = dealt.groupBy("curve", "block", "part").applyInPandas(answer, "query_id long, vec_id long, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            v = np.frombuffer(b"".join(b.column(1).to_pylist()), exact).reshape(-1, d)
+            at = place(b.column(3).flatten().to_numpy().reshape(-1, curves))
+            code, scale, off = coded(v.astype(np.float64))
+            data = np.concatenate([code.view(np.uint8), scale[:, None].view(np.uint8), off[:, None].view(np.uint8)], axis=1)
+            row, curve = np.divmod(np.arange(at.size), curves)
+            block = curve * (cuts + 1) + at.ravel()
+            part = (ids[row] * 2654435761 >> 7) % parts.ravel()[block]
+            yield from packed_rows(first[block] + part, row, ids, data, False)
+            for i in range(0, int(query.sum()), 64):
+                r = np.flatnonzero(query)[i : i + 64]
+                number, who = [], []
+                for c in range(curves):
+                    last = len(edges[c])
+                    for x in range(-beside, beside + 1):
+                        beyond = at[r, c] + x
+                        ok = (beyond >= 0) & (beyond <= last)
+                        blocks_ = c * (cuts + 1) + beyond[ok]
+                        m = parts.ravel()[blocks_]
+                        number.append(np.repeat(first[blocks_], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m))
+                        who.append(np.repeat(r[ok], m))
+                yield from packed_rows(np.concatenate(number), np.concatenate(who), ids, v, True)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bounds of the distances of a query's possible nearest rows; a part's rows come before the queries that pass by them."""
+        now, ids, held, rows_ = None, [], [], None
+        for b in batches:
+            out: list[tuple[np.ndarray, ...]] = []
+            for number, asks, i, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                if number != now:
+                    now, ids, held, rows_ = number, [], [], None
+                i = np.frombuffer(i.as_buffer(), np.int64)
+                if not asks:
+                    ids.append(i)
+                    held.append(np.frombuffer(data.as_buffer(), np.uint8).reshape(len(i), d + 16))
+                    continue
+                if not ids:
+                    continue
+                if rows_ is None:
+                    raw = np.concatenate(held)
+                    scale, off = (np.ascontiguousarray(raw[:, d + 8 * j : d + 8 * j + 8]).view(np.float64)[:, 0] for j in (0, 1))
+                    x = (np.ascontiguousarray(raw[:, :d]).view(np.int8) * scale[:, None]).astype(np.float32)
+                    rows_ = np.concatenate(ids), x, (x.astype(np.float64) ** 2).sum(axis=1), off
+                known, x, norm, off = rows_
+                y = np.frombuffer(data.as_buffer(), exact).reshape(len(i), d).astype(np.float64)
+                own = (y * y).sum(axis=1)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    square = norm[None, :] + own[:, None] - 2 * (y.astype(np.float32) @ x.T).astype(np.float64)
+                    slack = ROUNDING * (norm[None, :] + own[:, None])
+                    low = np.sqrt(np.maximum(square - slack, 0)) - off[None, :]
+                    high = np.sqrt(np.maximum(square + slack, 0)) + off[None, :]
+                # What overflows is not bounded and stays a candidate.
+                wild = ~np.isfinite(low) | ~np.isfinite(high)
+                low[wild], high[wild] = 0.0, np.inf
+                low[i[:, None] == known[None, :]], high[i[:, None] == known[None, :]] = np.inf, np.inf
+                bound = np.partition(high, k - 1, axis=1)[:, k - 1] if len(known) > k else np.full(len(i), np.inf)
+                r, c = np.nonzero((low <= bound[:, None]) & (low < np.inf))
+                out.append((i[r], known[c], low[r, c], high[r, c]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in zip(*out, strict=True)], names=["query_id", "vec_id", "low", "high"])
+
+    dealt = keyed.mapInArrow(deal, "part long, asks boolean, ids binary, data binary").repartition("part").sortWithinPartitions("part", "asks")
+    found = dealt.mapInArrow(answer, "query_id long, vec_id long, low double, high double").groupBy("query_id", "vec_id").agg(F.min("low").alias("low"), F.min("high").alias("high"))
+    by_query = Window.partitionBy("query_id")
+    place_ = F.row_number().over(by_query.orderBy("high", "vec_id"))
+    bound = F.max(F.when(F.col("n") <= k, F.col("high"))).over(by_query)
+    left = found.withColumn("n", place_).withColumn("bound", bound).where("low <= bound").select("query_id", "vec_id")
+    mine = keyed.where("q").select(F.col("vec_id").alias("query_id"), F.col("v").alias("y"))
+    pairs = left.join(keyed.select("vec_id", F.col("v").alias("x")), "vec_id").join(mine, "query_id").select("query_id", "vec_id", "x", "y")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), exact).reshape(-1, d).astype(np.float64) for c in (2, 3))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.sqrt(((x - y) ** 2).sum(axis=1)))], names=["query_id", "vec_id", "score"])
+
+    ranked = pairs.mapInArrow(measure, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    rank = F.row_number().over(by_query.orderBy("score", "vec_id"))
+    return ranked.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op8_nearest_vectors(spark, sf_dir: str) -> DataFrame:
