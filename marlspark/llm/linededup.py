@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, doc_key, packed, row_key, table
+from .common import Store, doc_key, packed, row_key, table
 
 #: Leading tokens that are levels of the tree; fewest tokens of a line; fewest for a generalised third.
 DEPTH, LEAST, LONG = 3, 3, 12
@@ -52,9 +52,11 @@ def keyed_lines(docs: DataFrame, text: str, doc_id: str, depth: int, least: int,
 
 def drop_recurring_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", depth: int = DEPTH, least: int = LEAST, long: int = LONG) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``; n_lines and n_dropped are added, over columns of these names."""
-    keyed = keyed_lines(docs, text, doc_id, depth, least, long)
+    store = Store(docs.sparkSession, "lines")
+    # Keys cost most, so they are made once; numbers alone, they are written small.
+    keyed = store.keep(keyed_lines(docs, text, doc_id, depth, least, long))
     # Least and greatest document combine before the shuffle, so a line of a third of all documents is as cheap as any.
-    recurring = cut(keyed.groupBy("key").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).where("first < last").select("key", "first"))
+    recurring = store.keep(keyed.groupBy("key").agg(F.min("dk").alias("first"), F.max("dk").alias("last")).where("first < last").select("key", "first"))
     drops = keyed.join(recurring, "key").where("dk > first").groupBy(F.col("rk").alias("__drop_rk")).agg(F.collect_set("pos").alias("__drop"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     body = docs.select(*columns, row_key(text, doc_id).alias("__drop_key")).join(drops, F.col("__drop_key") == F.col("__drop_rk"), "left")
