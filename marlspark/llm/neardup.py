@@ -155,7 +155,7 @@ def compared(pairs: DataFrame, texts: DataFrame, store: Store, similarity: float
     part = F.coalesce(F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / GROUP).cast("long")), F.lit(0).cast("long"))
     placed = store.keep(pairs.join(hot, "leader", "left").select("node", "leader", part.alias("part")))
     led = placed.select("leader", "part").distinct().join(texts.select(F.col("node").alias("leader"), "text"), "leader")
-    both = led.select("leader", "part", F.lit(None).cast("binary").alias("node"), "text").unionByName(placed.join(texts, "node").select("leader", "part", "node", "text"))
+    both = led.select("leader", "part", F.lit(None).cast("long").alias("node"), "text").unionByName(placed.join(texts, "node").select("leader", "part", "node", "text"))
     both = both.repartition("leader", "part").sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,9 +176,9 @@ def compared(pairs: DataFrame, texts: DataFrame, store: Store, similarity: float
                 if leader is not None and leader[0].base is not None:
                     leader = leader[0].copy(), leader[1].copy()
             if kept:
-                yield pa.RecordBatch.from_arrays([pa.array([node[k] for k in kept], pa.binary()), pa.array([who[k] for k in kept], pa.binary()), pa.array(found, pa.float64())], names=["node", "leader", "similarity"])
+                yield pa.RecordBatch.from_arrays([pa.array([node[k] for k in kept], pa.int64()), pa.array([who[k] for k in kept], pa.int64()), pa.array(found, pa.float64())], names=["node", "leader", "similarity"])
 
-    links = store.keep(both.mapInArrow(compare, "node binary, leader binary, similarity double"))
+    links = store.keep(both.mapInArrow(compare, "node long, leader long, similarity double"))
     store.drop(placed)
     return links
 
@@ -303,8 +303,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """doc_id, row key, node, class_key, class_id (the least doc_id of the class) and n_links (verified links of the node) of every row of ``docs``."""
     store = Store(docs.sparkSession, "neardup")
     rows = store.keep(signed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text, doc_id).alias("rk"), F.col(text).alias("text")), "text"))
-    nodes = store.keep(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rk").alias("rk"), F.first("bands").alias("bands")))
-    listed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    # From here on a node goes by a number, which is half as wide as its key in all that is shuffled.
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rk").alias("rk"), F.first("bands").alias("bands"))
+    nodes = store.keep(nodes.withColumnRenamed("node", "key").withColumn("node", F.monotonically_increasing_id()))
+    listed = nodes.select("node", F.posexplode("bands").alias("band", "at")).select("node", F.xxhash64("band", "at").alias("bucket"))
     members = store.keep(listed.join(listed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"))
     # How often a node meets others: the most central of a group of copies leads it.
     weight = store.keep(members.groupBy("node").agg(F.sum("n").alias("weight")))
@@ -339,14 +341,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         links.append(compared(pairs, texts, store, similarity))
         found.append(components(joined(links[2], renamed(open_, "c", found[1])), store))
         store.drop(own, prefix, sits, left)
-    named = nodes.select("node", "doc_id", F.col("node").alias("class_key"))
+    named = nodes.select("node", "key", "doc_id", F.col("node").alias("class_key"))
     for f in found:
         named = renamed(named, "class_key", f)
     ends = [x.select(F.col(e).alias("node")) for x in links for e in ("node", "leader")]
     counts = reduce(DataFrame.unionByName, ends).groupBy("node").agg(F.count("*").alias("n_links"))
     named = store.keep(named.join(counts, "node", "left"))
-    classes = named.groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
-    named = store.keep(named.join(classes, "class_key").select("node", "class_key", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    classes = named.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.min("key").alias("class"))
+    named = store.keep(named.join(classes, "class_key").select(F.col("key").alias("node"), F.col("class").alias("class_key"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     store.drop(texts, nodes, *found, *links)
     return rows.select("doc_id", "rk", "node").join(named, "node")
 
