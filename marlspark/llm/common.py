@@ -58,7 +58,8 @@ class Store:
 
     def keep(self, df: DataFrame, steady: bool = False) -> DataFrame:
         path, self.made = f"{self.base}/{self.made}", self.made + 1
-        df.write.parquet(path)
+        # Without dictionaries, for Spark broadcasts by size of files: runs of numbers would take far less there than in memory.
+        df.write.option("parquet.enable.dictionary", "false").parquet(path)
         read = (self.steady if steady else self.spark).read.schema(df.schema).parquet(path)
         self.kept[id(read)] = read, path
         return read
