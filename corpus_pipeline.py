@@ -8,12 +8,12 @@ target weights, as pieces of documents by shard and position.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marlspark.llm import langid, leaks, linededup, mixing, neardup
+from marlspark.llm.common import shared_folder
 
 STAGES = [
     ("language_id", langid.stage),
@@ -23,14 +23,13 @@ STAGES = [
     ("mixing", mixing.stage),
 ]
 
-#: SQL can't express the learned stages, signatures and draws; tests/llm compares each with a brute-force version.
+#: SQL can't express the learned stages, signatures and draws; tests/llm compares classes, items, draws and centroids with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written to the shared checkpoint folder and read again."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp("-pipeline")
-    base = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
