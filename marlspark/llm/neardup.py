@@ -49,7 +49,7 @@ SIMILARITY = 0.8
 COMPONENTS = 96
 ROWS = 4  # of a band
 FEW = 64  # nodes that share a shingle of their prefixes and are compared without a leader
-GROUP = 1024  # nodes of one leader, or of one shingle, that a task takes together
+GROUP = 256  # nodes of one leader, or of one shingle, that a task takes together
 CELLS = 1 << 18  # counters that tell rare shingles from common ones
 STEPS = 100_000  # edges of a partition in the loop that joins components
 _GAMMA = U(0x9E3779B97F4A7C15)
