@@ -250,10 +250,11 @@ def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["kind", "value"])
 
     found = docs.select(F.col(text)).mapInArrow(gather, "kind string, value string").distinct().withColumn("hash", F.md5("value"))
-    # First of each kind's parts by hash, then of the kind: what all tasks found does not go through one.
-    for by in ([F.col("kind"), F.substring("hash", -2, 2)], [F.col("kind")]):
+    # The least of each of a kind's 256 parts by hash (eight times their share at most), then of the kind: what all tasks found does not go through one.
+    whole = max(most, ordinary_most)
+    for by, limit in (([F.col("kind"), F.substring("hash", -2, 2)], max(8, whole // 32)), ([F.col("kind")], whole)):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "value"))
-        found = found.withColumn("n", rank).where(F.col("n") <= max(most, ordinary_most))
+        found = found.withColumn("n", rank).where(F.col("n") <= limit)
     found = found.where(F.col("n") <= F.when(F.col("kind") == "format", ordinary_most).otherwise(most))
     labelled: dict[str, list[str]] = defaultdict(list)
     for r in found.orderBy("kind", "n").collect():
