@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import preflight as P
 from ..operators import runs as R
+from ..operators.corpus import containing
 from .base import Catalog, table
 from .text import NORMAL
 
@@ -77,7 +78,7 @@ def event_rollup(spark, sf_dir):
 def evidence_exact(spark, sf_dir):
     quotes = table(spark, sf_dir, "benchmark").select("item_id", F.lower(X.normalized_text(F.col("text"))).alias("q"))
     bodies = table(spark, sf_dir, "documents").select("doc_id", F.lower(X.normalized_text(F.col("text"))).alias("t"))
-    return bodies.join(quotes, F.contains("t", "q")).groupBy("item_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+    return containing(quotes, bodies, "q", "t").groupBy("item_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
 @CATALOG.query()

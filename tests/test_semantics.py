@@ -9,6 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from marlspark.functions import html
 from marlspark.functions import text as X
 from marlspark.operators import corpus, dedup, enrich, preflight, runs, scoring
 from marlspark.plans.preflight import evidence_fuzzy
@@ -238,3 +239,61 @@ def test_atom(spark):
     xml = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://arxiv.org/abs/2401.00001v2</id><title>A\n  B</title><summary>s</summary><published>2024-01-02T00:00:00Z</published><author><name>X Y</name></author><category term="cs.AR"/></entry></feed>'
     r = tables.parse_atom(spark.createDataFrame([(xml,)], "xml string")).first()
     assert (r.title, r.published, r.authors, r.categories) == ("A B", "2024-01-02", ["X Y"], ["cs.AR"])
+
+
+def test_first_marks_and_repeated_keys(spark):
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "z", 3)], "paper_id string, keep string, _row int").withColumn("notes", F.lit(""))
+    marks = spark.createDataFrame([("a", "keep", "n", 1)], "paper_id string, keep string, notes string, seq int")
+    got = {r._row: (r.keep, r.notes) for r in dedup.upsert_marks(rows, marks, ["seq"]).collect()}
+    assert got == {1: ("keep", "n"), 2: ("y", ""), 3: ("z", "")}
+    earlier = spark.createDataFrame([("a", "one", "", 1), ("a", "two", "t", 2), ("", "never", "", 3)], "paper_id string, keep string, notes string, _row int")
+    assert sorted(tuple(r) for r in enrich.reattach(rows.select("paper_id"), earlier).collect()) == [("a", "two", "t"), ("a", "two", "t"), ("b", "", "")]
+
+
+def test_contained_texts_equal_comparing_all(spark):
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abkeo1") for _ in range(rng.randint(1, 9)))
+    big = [(i, " ".join(word() for _ in range(rng.randint(0, 40)))) for i in range(80)]
+    small = [(i, t[(a := rng.randint(0, max(0, len(t) - 3))) : a + rng.randint(0, 30)] if rng.random() < 0.7 else word()) for i, (_, t) in enumerate(big)] + [(900, "e"), (901, ""), (902, None)]
+    squeeze = lambda t: "".join(c for c in (t or "").lower() if c.isalnum())
+    want = {}
+    for i, t in small:
+        x = squeeze(t)
+        hits = [j for j, u in big if x and squeeze(u) and (x in squeeze(u) or squeeze(u) in x)]
+        want[i] = min(hits, default=None)
+    df = lambda rows, k: spark.createDataFrame(rows, f"{k} int, {k}_text string")
+    found = corpus.contained_first(df(small, "s"), df(big, "b"), "s", "s_text", "b", "b_text", ["b"])
+    assert {r.s: r.matched_b for r in found.collect()} == want
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+
+
+def test_fuzzy_quotes_equal_difflib_over_whole_texts(spark):
+    from difflib import SequenceMatcher
+
+    rows = [(1, "the quick brown fox jumpd", " ".join(f"Filler sentence {i}." for i in range(400)) + " The quick brown fox jumps. End."), (2, "nothing like it", "A. B. C."), (3, "", "text")]
+    got = {r.k: r for r in preflight.check_quotes(spark.createDataFrame(rows, "k int, quote string, body string")).collect()}
+    parts = [s.strip() for s in (rows[0][2].replace(". ", ".\n")).split("\n")]
+    best = max(SequenceMatcher(None, rows[0][1], s.lower()).ratio() for s in parts)
+    assert got[1].ratio == round(best, 3) and got[1].sentence == "The quick brown fox jumps."
+    assert got[3].status == "fail" and got[3].severity == "critical"
+
+
+def test_escapes_and_terms(spark):
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(html.unquoted(F.lit("a%zz+%C3%A9%2"))) == "a%zz é%2"
+    assert one(html.unquoted(F.lit("%FFx%"))) == "�x%"
+    for t, term, hit in (("a LICENSE b", "license", True), ("licenses", "license", False), ("of\nthe", "of the", False), ("é license", "license", True), ("élicense", "license", False), ("c++ x", "c++", False), ("x c+", "c+", False)):
+        assert one(X.has_term(F.lit(t), term)) == one(F.lit(t).rlike(X.term_pattern(term))) == hit, (t, term)
+    numbers = " ".join(f"{i % 50}.5 ms" for i in range(3000))
+    assert len(one(X.numeric_tokens(F.lit(numbers)))) == 50
+
+
+def test_plans_score_once_and_loop_nowhere(spark):
+    from marlspark import catalog
+
+    plan = catalog.QUERIES["top_n_scored"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("\\Qlicense\\E(?<=") <= 1 and "TakeOrdered" in plan
+    for name in ("containment_join", "evidence_exact", "lookup_cascade"):
+        assert "NestedLoop" not in catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString(), name

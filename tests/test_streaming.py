@@ -35,3 +35,40 @@ def test_retries_wait_linearly():
     codes, waits = iter([(1, "429"), (1, "timed out"), (0, "")]), []
     assert stages.run_with_retries(lambda j: next(codes), {"job": 1}, sleep=waits.append)["attempt"] == 3 and waits == [2.0, 4.0]
     assert stages.run_with_retries(lambda j: (1, "unauthorized 429"), {}, sleep=waits.append)["failure_kind"] == "unauthorized"
+
+
+def test_commands_time_out_and_producers_stop():
+    from marlspark.streaming import stages
+
+    assert stages.run_command(["sh", "-c", "echo a; exit 3"], 20) == (3, "a\n", "")
+    code, out, err = stages.run_command(["sh", "-c", "echo b; sleep 60"], 0.5, grace=1)
+    assert code == 124 and out == "b\n" and "timed out" in err
+    calls = []
+
+    def call(job):
+        calls.append(job["n"])
+        return (1, "permission denied")
+
+    got = stages.run_jobs([{"n": i} for i in range(6)], call, most_failures=3)
+    assert [r["status"] for r in got] == ["failed"] * 3 + ["pending"] * 3 and calls == [0, 1, 2]
+    dry = stages.run_jobs([{"n": 0, "command": ["a", "b"]}], call, dry_run=True)
+    assert dry[0]["preview"] == "a b" and len(calls) == 3
+
+
+def test_rate_limits_and_waits():
+    from marlspark.sources import services as S
+
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(s)
+        now[0] += s
+
+    limit = S.RateLimit(0.5, clock=lambda: now[0], sleep=sleep)
+    answers = iter([(429, "", 7.0), (503, "", None), (200, '{"a": 1}', None)])
+    assert S.fetch_json(lambda: next(answers), limit, sleep=sleep) == {"a": 1}
+    assert slept == [7.0, 4.0]
+    limit.wait()
+    assert slept[-1] == 2.0
+    assert S.fetch_json(lambda: (404, "", None), limit, sleep=sleep) is None
+    assert S.lookup_wait(418, 0) is None and S.lookup_wait(429, 9) == 60 and S.page_wait(500, 0) is None and S.page_wait(429, 2) == 6
