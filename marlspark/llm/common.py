@@ -88,9 +88,18 @@ def fold(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def packed(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` as one struct ``__row``, beside copies of the named columns: no other column can clash."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *columns)
+def packed(df: DataFrame, *columns: str | Column, out: str | None = None) -> DataFrame:
+    """``df`` as one struct ``__row``, beside copies of the named columns: no other column can clash.
+
+    The column ``out`` is left out of the struct, for texts that need not travel twice; see ``unpacked``.
+    """
+    inside = [F.col(f"`{c}`") for c in df.columns if c != out] or [F.lit(None).alias("none")]
+    return df.select(F.struct(*inside).alias("__row"), *columns)
+
+
+def unpacked(df: DataFrame, columns: list[str], out: str = "text") -> DataFrame:
+    """The ``columns`` again, ``out`` from ``__text``."""
+    return df.select(*[F.col("__text").alias(c) if c == out else F.col(f"__row.`{c}`").alias(c) for c in columns])
 
 
 def chunks(texts: list[str], most: int = CHUNK_CHARS, count: int = 1 << 14) -> Iterator[tuple[int, int]]:
@@ -105,8 +114,8 @@ def chunks(texts: list[str], most: int = CHUNK_CHARS, count: int = 1 << 14) -> I
         yield start, len(texts)
 
 
-def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema: str, text: str = "text", count: int = 1 << 14) -> DataFrame:
-    """Add what ``fn`` makes of each row's text; the text itself is dropped, other columns stay but for those of the new names.
+def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema: str, text: str = "text", count: int = 1 << 14, keep: bool = False) -> DataFrame:
+    """Add what ``fn`` makes of each row's text; the text itself is dropped unless ``keep``, other columns stay but for those of the new names.
 
     ``fn`` gets whole texts (null as ""), at most ``count`` in a chunk, and returns Arrow arrays or
     lists by column. No shuffle; memory is bounded by a batch.
@@ -115,7 +124,7 @@ def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], schema:
     from pyspark.sql.types import StructType
 
     made = StructType.fromDDL(schema).fieldNames()
-    kept = [c for c in df.columns if c != text and c not in made]
+    kept = [c for c in df.columns if (keep or c != text) and c not in made]
     full = StructType([df.schema[c] for c in kept] + StructType.fromDDL(schema).fields)
     arrow = to_arrow_schema(full)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .codes import IS_LETTER, encode
-from .common import chunks, fold, map_texts, packed, table
+from .common import chunks, fold, map_texts, packed, table, unpacked
 
 BITS = 12
 D = 1 << BITS
@@ -131,8 +131,8 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
     return Model([r["lang"] for r in found], np.array([r["centroid"] for r in found], np.float32).reshape(-1, D), 1 - fraction * (1 - np.array([r["farthest"] for r in found])), idf)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Replace ``text`` by lang_pred, score (cosine to the nearest centroid) and whether it is rejected."""
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: bool = False) -> DataFrame:
+    """Replace ``text`` by lang_pred, score (cosine to the nearest centroid) and whether it is rejected; with ``keep`` the text stays beside them."""
 
     def nearest(texts: list[str]) -> dict[str, list]:
         if not model.languages:
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             "rejected": [not ok or bool(s < (least := 1 - model.farthest[b]) and s < least * min(1.0, sum(map(str.isalpha, t)) / LETTERS) ** 0.5) for t, s, b, ok in zip(texts, score, best, letters, strict=True)],
         }
 
-    return map_texts(docs, nearest, "lang_pred string, score double, rejected boolean", text, TEXTS)
+    return map_texts(docs, nearest, "lang_pred string, score double, rejected boolean", text, TEXTS, keep)
 
 
 def op1_identify_language(spark, sf_dir: str) -> DataFrame:
@@ -162,4 +162,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row carries its own decision, so nothing is joined.
     """
     model = fit(docs, fold("doc_id", 3) != 1)
-    return predict(packed(docs, "text"), model).where("not rejected").select("__row.*")
+    return unpacked(predict(packed(docs, F.col("text").alias("__text"), out="text"), model, "__text", True).where("not rejected"), docs.columns)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codes import U, word_codes, words
-from .common import chunks, map_texts, packed, table
+from .common import chunks, map_texts, packed, table, unpacked
 
 HALF = 32
 #: Pieces of a block's items and dimensions of its latent space.
@@ -322,8 +322,8 @@ def benchmark_blocks(benchmark: DataFrame, text: str, item_id: str, block: int)
         yield part
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", block: int = BLOCK, rank: int = RANK) -> DataFrame:
-    """Replace ``text`` by leaks: array of item_id, share (of the item in the common subsequence), answer and cosine.
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", block: int = BLOCK, rank: int = RANK, keep: bool = False) -> DataFrame:
+    """Replace ``text`` by leaks: array of item_id, share (of the item in the common subsequence), answer and cosine; with ``keep`` the text stays.
 
     Each block of items is one more pass over the documents, and its column is
     appended to the leaks of the blocks before it.
@@ -341,9 +341,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
             rows = matches(texts, items, latent, near)
             return {"__more": [[{"item_id": items[i].item_id, "share": s, "answer": b, "cosine": c} for i, (s, b, c) in sorted(r.items())] for r in rows]}
 
-        found = map_texts(found.withColumn("__look", F.col(text)), look, f"__more {kind}", "__look")
+        found = map_texts(found, look, f"__more {kind}", text, keep=True)
         found = found.withColumn("leaks", F.concat("leaks", "__more")).drop("__more")
-    return found.drop(text)
+    return found if keep else found.drop(text)
 
 
 def op4_find_leaks(spark, sf_dir: str) -> DataFrame:
@@ -353,5 +353,5 @@ def op4_find_leaks(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
-    found = find_leaks(packed(docs, "text"), table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("leaks") == 0).select("__row.*")
+    found = find_leaks(packed(docs, F.col("text").alias("__text"), out="text"), table(spark, sf_dir, "benchmark"), "__text", keep=True)
+    return unpacked(found.where(F.size("leaks") == 0), docs.columns)
