@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,16 +44,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Where a ``Store`` writes, if not in the shared folder itself.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Each ``Store`` made within writes below ``folder``, which goes at the end: what was made from its tables must be written by then."""
+    before = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        delete(spark, folder)
+
+
 class Store:
     """Tables of one run, written as Parquet below the shared folder and read again; those no longer needed are deleted.
 
+    What is still read when the run's result is made stays, but for a caller's ``scratch``.
+
     ``steady`` is a session beside the caller's, without adaptive re-planning: for
     loops of small steps, whose many plans would fill the driver. The caller's
     settings are not touched.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.base, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.spark, self.base, self.made = spark, f"{_SCRATCH.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
         self.kept: dict[int, tuple[DataFrame, str]] = {}
         self.steady = spark.newSession()
         self.steady.conf.set("spark.sql.adaptive.enabled", "false")
@@ -69,8 +93,7 @@ class Store:
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.kept.pop(id(t))[1])
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(self.spark, self.kept.pop(id(t))[1])
 
 
 def doc_key(text: str = "text", doc_id: str = "doc_id") -> Column:
