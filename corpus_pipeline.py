@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from marlspark.llm import langid, leaks, linededup, mixing, neardup
-from marlspark.llm.common import shared_folder
+from marlspark.llm.common import delete, scratch, shared_folder
 
 STAGES = [
     ("language_id", langid.stage),
@@ -28,10 +28,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each result is written to the shared checkpoint folder and read again."""
+    """Apply all stages to ``documents``; each result is written to the shared checkpoint folder and read again.
+
+    Once a stage is written, its working tables and the result before it are deleted, so at most two results are kept at a time.
+    """
     base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
-        docs = spark.read.parquet(f"{base}/{k}-{name}")
+        path = f"{base}/{k}-{name}"
+        with scratch(spark, f"{base}/{k}-scratch"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
