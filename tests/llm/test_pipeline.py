@@ -1,5 +1,8 @@
 """The pipeline's stages, each on its own input."""
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import corpus_pipeline
 from marlspark.llm import leaks
 from marlspark.llm.codes import words
@@ -40,4 +43,7 @@ def test_stages_take_effect(spark, tmp_path):
 
 
 def test_run_returns_the_last_stage(spark):
-    assert corpus_pipeline.run(spark, SF).count() > 0
+    got = corpus_pipeline.run(spark, SF)
+    assert got.count() > 0
+    # Working tables and earlier results are gone.
+    assert [x.name for x in Path(urlparse(got.inputFiles()[0]).path).parents[1].iterdir()] == ["4-mixing"]
