@@ -71,7 +71,8 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float) -
         for i in full:
             out[i] = most * sizes[i]
             left -= out[i]
-        open_ = [i for i in open_ if i not in set(full)]
+        closed = set(full)
+        open_ = [i for i in open_ if i not in closed]
     return out
 
 
