@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import linededup
+from . import audit, dominance, exact, linededup
+from .audit import op12_audit_filters
+from .dominance import op13_count_dominance
+from .exact import op11_search_exact
 from .langid import op1_identify_language
 from .leaks import op4_find_leaks
 from .linededup import op3_drop_recurring_lines
@@ -25,8 +28,14 @@ QUERIES = {
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_count_tokens": op9_count_tokens,
     "op10_mix_sources": op10_mix_sources,
+    "op11_search_exact": op11_search_exact,
+    "op12_audit_filters": op12_audit_filters,
+    "op13_count_dominance": op13_count_dominance,
 }
 
 ORACLES: dict[str, str] = {
     "op3_drop_recurring_lines": linededup.ORACLE,
+    "op11_search_exact": exact.ORACLE,
+    "op12_audit_filters": audit.ORACLE,
+    "op13_count_dominance": dominance.ORACLE,
 }
