@@ -19,41 +19,55 @@ table gives no rows. Columns beyond those read have no influence.
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+import string
 from itertools import permutations
 from math import factorial
-from operator import add, mul
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Store, table
+from .common import Store, map_texts, table
 
 FILTERS = "ABCDE"
 #: Thresholds: words, per cent of distinct words, per cent of capitals.
 WORDS, DISTINCT, CAPITALS = 200, 50, 3
-
-
-def text_flags(text: Column) -> dict[str, Column]:
-    """The filters that a text fails by itself, 1 or 0."""
-    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
-    capitals = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]+", ""))
-    fails = {
-        "A": F.size(words) < WORDS,
-        "B": 100 * F.size(F.array_distinct(words)) < DISTINCT * F.size(words),
-        "C": 100 * capitals > CAPITALS * F.length(text),
-        "D": text.rlike(r"[#$%&*|]"),
-    }
-    return {k: f.cast("int") for k, f in fails.items()}
+CAPITAL, MARKS = string.ascii_uppercase.encode(), b"#$%&*|"
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes of a text that are split at a time.
+PIECE = 1 << 20
+
+
+def measures(text: str) -> tuple[int, int, int, int]:
+    """Words, distinct words, letters A to Z, and characters of the marks; a long text is split piece by piece."""
+    data = text.encode()
+    words, seen, at = 0, set(), 0
+    while at < len(data):
+        end = GAP.search(data, at + PIECE)
+        piece = data[at : end.start() if end else len(data)].split()  # splits at these very white spaces
+        words, at = words + len(piece), end.start() if end else len(data)
+        seen.update(piece)
+    return words, len(seen), len(data) - len(data.translate(None, CAPITAL)), len(data) - len(data.translate(None, MARKS))
+
+
+def text_flags(texts: list[str]) -> dict[str, list[int]]:
+    """The filters that each text fails by itself, 1 or 0."""
+    out: dict[str, list[int]] = {k: [] for k in "ABCD"}
+    for text in texts:
+        words, distinct, capitals, marks = measures(text)
+        fails = words < WORDS, 100 * distinct < DISTINCT * words, 100 * capitals > CAPITALS * len(text), marks > 0
+        for k, f in zip("ABCD", fails, strict=True):
+            out[k].append(int(f))
+    return out
 
 
 def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """part, the flags A to E, good and toxic (0 or 1) of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     store = Store(docs.sparkSession, "audit")
-    own = text_flags(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"), text.alias("text"))
-    rows = store.keep(rows.select("doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), *[f.alias(k) for k, f in own.items()]))
+    rows = rows.select("doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    rows = store.keep(map_texts(rows, text_flags, "A int, B int, C int, D int"))
     firsts = rows.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     said = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     one = lambda c: F.max(F.coalesce((F.col(c) == 1).cast("int"), F.lit(0)))
@@ -69,27 +83,24 @@ def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def joint_counts(flags: DataFrame, filters: str = FILTERS) -> DataFrame:
     """For each part the arrays ``all``, ``good`` and ``toxic``: at place S (bits by filter) the documents failing every filter of S."""
     subsets = range(1 << len(filters))
-    product = lambda s, start: reduce(mul, [F.col(f) for i, f in enumerate(filters) if s >> i & 1], start)
-    sums = [F.sum(product(s, start).cast("long")).alias(f"{name}_{s}") for name, start in (("all", F.lit(1)), ("good", F.col("good")), ("toxic", F.col("toxic"))) for s in subsets]
-    return flags.groupBy("part").agg(*sums).select("part", *[F.array(*[F.col(f"{name}_{s}") for s in subsets]).alias(name) for name in ("all", "good", "toxic")])
+    factors = lambda s, start: " * ".join([start, *[f for i, f in enumerate(filters) if s >> i & 1]])
+    sums = [F.expr(f"sum(CAST({factors(s, start)} AS LONG)) AS {name}_{s}") for name, start in (("all", "1"), ("good", "good"), ("toxic", "toxic")) for s in subsets]
+    return flags.groupBy("part").agg(*sums).select("part", *[F.expr(f"array({', '.join(f'{name}_{s}' for s in subsets)}) AS {name}") for name in ("all", "good", "toxic")])
 
 
-def survivors(joint: str, p: int) -> Column:
-    """Documents that fail no filter of ``p``."""
-    subsets = [s for s in range(p + 1) if s & p == s]
-    return reduce(add, [F.lit(-1 if s.bit_count() & 1 else 1) * F.col(joint)[s] for s in subsets])
+def survivors(joint: str, p: int) -> str:
+    """SQL of the documents that fail no filter of ``p``."""
+    return " ".join(f"{'-' if s.bit_count() & 1 else '+'} {joint}[{s}]" for s in range(p + 1) if s & p == s)
 
 
-def failing_only(joint: str, i: int, n: int) -> Column:
-    """Documents that fail filter ``i`` and no other."""
-    above = [s for s in range(1 << n) if s >> i & 1]
-    return reduce(add, [F.lit(1 if s.bit_count() & 1 else -1) * F.col(joint)[s] for s in above])
+def failing_only(joint: str, i: int, n: int) -> str:
+    """SQL of the documents that fail filter ``i`` and no other."""
+    return " ".join(f"{'+' if s.bit_count() & 1 else '-'} {joint}[{s}]" for s in range(1 << n) if s >> i & 1)
 
 
-def shapley(joint: str, i: int, n: int) -> Column:
-    """Filter ``i``'s removals summed over all orders: its sets' dividends in equal shares, times n!."""
-    above = [s for s in range(1 << n) if s >> i & 1]
-    return reduce(add, [F.lit((1 if s.bit_count() & 1 else -1) * factorial(n) // s.bit_count()) * F.col(joint)[s] for s in above])
+def shapley(joint: str, i: int, n: int) -> str:
+    """SQL of filter ``i``'s removals summed over all orders: its sets' dividends in equal shares, times n!."""
+    return " ".join(f"{'+' if s.bit_count() & 1 else '-'} {factorial(n) // s.bit_count()} * {joint}[{s}]" for s in range(1 << n) if s >> i & 1)
 
 
 def audit(flags: DataFrame, filters: str = FILTERS) -> DataFrame:
@@ -99,20 +110,17 @@ def audit(flags: DataFrame, filters: str = FILTERS) -> DataFrame:
     for order in permutations(range(n)):
         before = 0
         for k, i in enumerate(order):
-            steps.append(F.struct(F.lit("".join(filters[j] for j in order)).alias("filter_order"), F.lit(k + 1).alias("step"), F.lit(i).alias("i"), F.lit(before).alias("p"), F.lit(before | 1 << i).alias("q")))
+            steps.append(f"('{''.join(filters[j] for j in order)}', {k + 1}, {i}, {before}, {before | 1 << i})")
             before |= 1 << i
-    joint = joint_counts(flags, filters)
-    left = [F.array(*[survivors(c, p) for p in range(1 << n)]).alias(f"{c}_left") for c in ("all", "good", "toxic")]
-    alone = F.array(*[failing_only("all", i, n) for i in range(n)]).alias("alone")
-    value = F.array(*[shapley("all", i, n) for i in range(n)]).alias("value")
-    fails = F.array(*[F.col("all")[1 << i] for i in range(n)]).alias("fails")
-    by_part = joint.select("part", *left, alone, value, fails)
-    by_step = by_part.select("*", F.explode(F.array(*steps)).alias("s"))
-    at = lambda c, k: F.col(c)[F.col(f"s.{k}")]
-    lost = lambda c: at(c, "p") - at(c, "q")
-    return by_step.select(
-        "part", "s.filter_order", "s.step", at("all_left", "q").alias("kept"), lost("all_left").alias("removed"), (at("fails", "i") - lost("all_left")).alias("redundant"),
-        at("alone", "i").alias("unique_fails"), lost("good_left").alias("good_lost"), lost("toxic_left").alias("toxic_lost"), at("value", "i").alias("shapley"),
+    array = lambda parts, name: F.expr(f"array({', '.join(parts)}) AS {name}")
+    left = [array([survivors(c, p) for p in range(1 << n)], f"{c}_left") for c in ("all", "good", "toxic")]
+    alone, value, fails = ([f(i) for i in range(n)] for f in (lambda i: failing_only("all", i, n), lambda i: shapley("all", i, n), lambda i: f"all[{1 << i}]"))
+    by_part = joint_counts(flags, filters).select("part", *left, array(alone, "alone"), array(value, "value"), array(fails, "fails"))
+    by_step = by_part.select("*", F.expr(f"inline(array({', '.join(steps)})) AS (filter_order, step, i, p, q)"))
+    lost = lambda c: f"{c}_left[p] - {c}_left[q]"
+    return by_step.selectExpr(
+        "part", "filter_order", "step", "all_left[q] AS kept", f"{lost('all')} AS removed", f"fails[i] - ({lost('all')}) AS redundant",
+        "alone[i] AS unique_fails", f"{lost('good')} AS good_lost", f"{lost('toxic')} AS toxic_lost", "value[i] AS shapley",
     )
 
 

@@ -104,7 +104,7 @@ def dominance(rows: DataFrame, x: Column, y: Column, weight: Column, count: str
     spark = rows.sparkSession
     store = Store(spark, "dominance")
     columns = [c for c in rows.columns if c not in (count, total)]
-    base = packed(rows.select(*[F.col(f"`{c}`") for c in rows.columns], x.cast("long").alias("__x"), y.cast("long").alias("__y"), F.coalesce(weight.cast("long"), F.lit(0)).alias("__w")), F.col("__x").alias("x"), F.col("__y").alias("y"), F.col("__w").alias("w"))
+    base = packed(rows, x.cast("long").alias("x"), y.cast("long").alias("y"), F.coalesce(weight.cast("long"), F.lit(0)).alias("w"))
     placed = F.col("x").isNotNull() & F.col("y").isNotNull()
     whole = lambda df, n, w: df.select(*[F.col(f"__row.`{c}`").alias(c) for c in columns], n.cast("long").alias(count), w.cast("long").alias(total))
     without = whole(base.where(~placed), F.lit(None), F.lit(None))

@@ -15,7 +15,7 @@ rows without an id; zero and empty vectors do, with score 0; components that a s
 vector lacks count as 0; rows that share an id are one candidate and one query, their
 highest score counting; ties go to the smaller vec_id; all candidates are returned
 where there are fewer than k; an empty table gives an empty result; scores are exact at any
-size of components, and one beyond 64 bits is given as the nearest that 64 bits hold.
+size of components, and one beyond 64 bits counts as the nearest that 64 bits hold.
 """
 
 from __future__ import annotations
@@ -88,6 +88,7 @@ class Postings:
             if t in self.lists:
                 rows, weights = self.lists[t]
                 out[rows] += weights * dtype(w) if dtype is not object else weights * w
+        out = np.clip(out, LONG.min, LONG.max).astype(np.int64) if dtype is object else out
         return out if self.heads is None else np.maximum.reduceat(out, self.heads)
 
     def best(self, query: int, score: np.ndarray, k: int) -> np.ndarray:
@@ -170,7 +171,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id
                     own = slice(edge[j], edge[j + 1])
                     score = postings.scores(term[own], weight[own], dtype)
                     top = postings.best(query, score, k)
-                    found.append((np.full(len(top), query), postings.ids[top], np.clip(score[top], LONG.min, LONG.max).astype(np.int64)))
+                    found.append((np.full(len(top), query), postings.ids[top], score[top].astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
 
     schema = "pair long, asks boolean, ids binary, lengths binary, data binary"
