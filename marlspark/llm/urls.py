@@ -11,7 +11,9 @@ folded into a fixed number of buckets, so what is broadcast does not grow.
 
 Cases: a null URL, and one without ``://``, has empty host and path, fits no rule and
 is judged by the class balance; null html counts no word; where no rule decides any
-URL the verdict is allow with score 0.5; rows are judged alone, so repeated rows repeat.
+URL the verdict is allow with score 0.5; rows are judged alone, so repeated rows repeat;
+words of more than ``longest`` letters are not in the dictionary: in a host they split
+into shorter ones, known or unknown; hosts and paths may have any length.
 """
 
 from __future__ import annotations
@@ -47,19 +49,19 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return name, verdict
 
 
-def word_counts(html: Column, pages: DataFrame) -> DataFrame:
-    """word and n: runs of ASCII letters in the pages' text, tags left out."""
+def word_counts(html: Column, pages: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """word and n: runs of at most ``longest`` ASCII letters in the pages' text, tags left out."""
     bare = F.regexp_replace(F.lower(html), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(bare, "[^a-z]+")).alias("word"))
-    return words.where(F.length("word").between(1, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
+    return words.where(F.length("word").between(1, longest)).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def split_word(label: str, counts: dict[str, int], total: int) -> list[str]:
+def split_word(label: str, counts: dict[str, int], total: int, longest: int = LONGEST) -> list[str]:
     """The most probable split; an unknown word of k letters has probability 10 / (total * 10^k)."""
     best, back = [0.0], [0]
     for i in range(1, len(label) + 1):
         top, at = -math.inf, i - 1
-        for j in range(max(0, i - LONGEST), i):
+        for j in range(max(0, i - longest), i):
             w = label[j:i]
             n = counts.get(w)
             p = best[j] + (math.log(n / total) if n else math.log(10 / total) - len(w) * math.log(10))
@@ -74,28 +76,37 @@ def split_word(label: str, counts: dict[str, int], total: int) -> list[str]:
     return out[::-1]
 
 
-def segmented_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """host and words of the distinct ``hosts``; every label gets the counts of its own substrings alone."""
+def substrings(labels: DataFrame, longest: int) -> DataFrame:
+    """key and word: every distinct run of at most ``longest`` letters of each label. A label goes by its hash, so rows grow with its length alone."""
+    starts = F.regexp_extract_all("label", F.lit(f"(?=([a-z]{{1,{longest}}}))"), F.lit(1))
+    runs = labels.select("key", F.explode(F.array_distinct(starts)).alias("run"))
+    return runs.select("key", F.explode(F.expr("transform(sequence(1, length(run)), k -> substring(run, 1, k))")).alias("word")).distinct()
+
+
+def segmented_hosts(hosts: DataFrame, counts: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """host and words of the distinct ``hosts``; every label gets the counts of its own substrings alone.
+
+    The join meets at the words. Those of many labels ("a", "e") have one row each among the counts, so Spark may
+    split the labels' side, which is the only hot one.
+    """
     counts = cut(counts)  # one pass over all html
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
-    labels = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("pos", "label")).where("label != ''")
-    distinct = labels.select("label").distinct()
-    starts = F.explode(F.sequence(F.lit(1), F.length("label"))).alias("i")
-    parts = distinct.select("label", starts).select("label", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("label") - F.col("i") + 1))).alias("k"))
-    parts = parts.select("label", F.expr("substring(label, i, k)").alias("word")).distinct()
-    known = parts.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    # A label is told by its hash; two that shared one would only see each other's words.
+    labels = hosts.select("host", F.posexplode(F.split("host", "[^a-z]+")).alias("pos", "label")).where("label != ''").withColumn("key", F.xxhash64("label"))
+    distinct = labels.select("key", "label").distinct()
+    known = substrings(distinct, longest).join(counts, "word").groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [split_word(label, {x["word"]: x["n"] for x in known or ()}, total) for label, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            out = [split_word(label, {x["word"]: x["n"] for x in known or ()}, total, longest) for label, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.string()))], names=["label", "words"])
 
-    found = distinct.join(known, "label", "left").select("label", "known").mapInArrow(split, "label string, words array<string>")
-    rows = labels.join(found, "label").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("pos", "words"))).alias("w"))
+    found = distinct.join(known, "key", "left").select("label", "known").mapInArrow(split, "label string, words array<string>")
+    rows = labels.drop("key").join(found, "label").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("pos", "words"))).alias("w"))
     return rows.select("host", F.flatten(F.transform("w", lambda x: x["words"])).alias("words"))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url", html: str = "html") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url", html: str = "html", longest: int = LONGEST) -> DataFrame:
     """``pages`` without html, with host, path, rule, verdict, score (probability of block) and host_words, over columns of these names."""
     host, path = host_and_path(F.col(url))
     rule, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
@@ -103,7 +114,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
     columns = [c for c in pages.columns if c not in added]
     row = F.struct(*[F.col(f"`{c}`") for c in columns] or [F.lit(None).alias("none")]).alias("__row")  # nothing in it can clash
     parsed = pages.select(row, host.alias("__host"), path.alias("__path")).withColumns({"__rule": rule, "__verdict": verdict})
-    hosts = cut(segmented_hosts(parsed.select(F.col("__host").alias("host")).distinct(), word_counts(F.col(html), pages)))
+    hosts = cut(segmented_hosts(parsed.select(F.col("__host").alias("host")).distinct(), word_counts(F.col(html), pages, longest), longest))
     joined = parsed.join(hosts, F.col("__host") == F.col("host"), "left").drop("host")
     parts = F.array_remove(F.split(F.regexp_replace(F.lower("__path"), "[0-9]+", "#"), r"[/._=&-]+"), "")
     terms = F.concat(F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("h:"), w)), F.transform(parts, lambda w: F.concat(F.lit("p:"), w)))
