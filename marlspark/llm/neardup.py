@@ -300,7 +300,10 @@ def renamed(df: DataFrame, column: str, found: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, row key, node, class_key, class_id (the least doc_id of the class) and n_links (verified links of the node) of every row of ``docs``."""
+    """doc_id, row key, node, class_key, class_id (the least doc_id of the class) and n_links of every row of ``docs``.
+
+    n_links counts the node's links among the pairs that were looked at and verified; those that would only join what is joined already are not looked at.
+    """
     store = Store(docs.sparkSession, "neardup")
     rows = store.keep(signed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text, doc_id).alias("rk"), F.col(text).alias("text")), "text"))
     # From here on a node goes by a number, which is half as wide as its key in all that is shuffled.
@@ -358,8 +361,10 @@ def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays: that of the least id (a null one last), ties by text."""
+    """One document of each class stays: that of the least id (a null one last), ties by text, then by the other columns as JSON."""
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "rk")
     kept = near_duplicates(docs).groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.rk").alias("__rk"))
     rows = packed(docs, row_key().alias("__rk"))
-    return rows.join(kept, "__rk", "left_semi").dropDuplicates(["__rk"]).select("__row.*")
+    others = F.to_json(F.struct(*[F.col(f"__row.`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]))
+    first = rows.join(kept, "__rk", "left_semi").groupBy("__rk").agg(F.min_by("__row", others).alias("__row"))
+    return first.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
