@@ -10,9 +10,11 @@ second pass over a source begins only when its first is used up. The last block
 drawn from a source is cut so that its words meet the target exactly.
 
 Cases: a null text has size 0 and is never taken; null is a source of its own,
-last in order; rows with equal id and text are two documents; a source without
-words has target 0; an empty table gives an empty mix. The order depends on ids
-and texts alone, so reruns agree.
+last in order; rows with equal id and text are two documents, of one source or of
+several; a source without words has target 0; an empty table gives an empty mix. The order depends on ids
+and texts alone, so reruns agree. Rows with equal id, text and source stand one after
+another in the stream, those of one partition of ``docs`` as a unit: of such rows, which differ in other columns at
+most, the partitions that Spark reads decide the order. Read again, ``docs`` must have the same rows in the same partitions, as files do.
 """
 
 from __future__ import annotations
@@ -43,6 +45,12 @@ def word_count(text: Column) -> Column:
     return F.when(F.length(bare) > 0, F.size(F.array_remove(F.split(bare, " "), ""))).otherwise(0).cast("long")
 
 
+def unit_key(source: str, text: str, doc_id: str) -> tuple[Column, Column, Column]:
+    """rk, key and part: what tells a row by id and text, and by source as well, and the partition that it is read in."""
+    own, name = row_key(text, doc_id), F.col(source).cast("string")
+    return own.alias("rk"), F.xxhash64(own, name, name.isNull()).alias("key"), F.spark_partition_id().alias("part")
+
+
 @dataclass
 class Source:
     name: str | None
@@ -137,8 +145,11 @@ def make_plan(totals: list[tuple[str | None, int]], weights: tuple[float, ...],
 def pieces(plan: list[Source], sid: np.ndarray, offset: np.ndarray, size: np.ndarray) -> dict[str, np.ndarray]:
     """The runs of words that the mix takes: row, first and last word within it, pass, shard, and place in its source's run of the shard."""
     rows, block, lo, hi, owner = [], [], [], [], []
-    for s in np.unique(sid):
-        x, at = plan[s], np.flatnonzero((sid == s) & (size > 0))
+    used = np.flatnonzero(size > 0)
+    used = used[np.argsort(sid[used], kind="stable")]
+    for at in np.split(used, np.flatnonzero(np.diff(sid[used])) + 1) if len(used) else ():
+        s = int(sid[at[0]])
+        x = plan[s]
         first, last = offset[at] // x.block, (offset[at] + size[at] - 1) // x.block
         n = last - first + 1
         row = np.repeat(at, n)
@@ -179,21 +190,28 @@ class Mix:
     def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), ratio: float = 1.5, most: float = 2.0, shards: int | None = None, seed: int = 7, source: str = "source", text: str = "text", doc_id: str = "doc_id"):
         spark = docs.sparkSession
         self.docs = docs
-        sized = cut(docs.select(row_key(text, doc_id).alias("rk"), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")))
-        found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+        # A unit: rows of one partition with equal id, text and source. However often a row repeats, no group holds more than a partition.
+        units = docs.select(*unit_key(source, text, doc_id), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
+        sized = cut(units.groupBy("key", "part").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("rk", "doc_id", "source", "size")]))
+        found = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n")).collect()
         if shards is None:
             shards = max(SHARDS, math.ceil(ratio * sum(r["size"] or 0 for r in found) / SHARD_WORDS))
         self.plan = make_plan([(r["source"], r["size"]) for r in found], weights, ratio, most, shards, seed)
-        self.seed, self.text, self.doc_id = seed, text, doc_id
+        self.seed, self.source, self.text, self.doc_id = seed, source, text, doc_id
         rows = [(s.name, i, s.size, s.target) for i, s in enumerate(self.plan)]
         known = spark.createDataFrame(rows, "name string, sid int, source_size long, target double")
         bits = math.ceil(math.log2(max(BUCKETS, sum(r["n"] for r in found) / BUCKET_ROWS)))
         drawn = sized.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name").withColumn("h", F.xxhash64(F.lit(seed), "rk")).withColumn("bucket", F.shiftrightunsigned("h", 64 - bits).cast("long"))
-        sums = drawn.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
-        before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        sums = sums.select("sid", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-        inner = Window.partitionBy("sid", "bucket").orderBy("h", "rk").rowsBetween(Window.unboundedPreceding, -1)
-        self.placed = drawn.withColumn("within", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(sums, ["sid", "bucket"]).withColumn("offset", F.col("base") + F.col("within")).drop("base", "within", "bucket", "h")
+        # Sums run on in two levels, so that no task has all buckets of a source.
+        top = F.shiftright("bucket", bits // 2)
+        running = lambda c, over: F.coalesce(F.sum(c).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        sums = drawn.groupBy("sid", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("words")).withColumn("top", top)
+        tops = sums.groupBy("sid", "top").agg(F.sum("words").alias("words"))
+        tops = tops.select("sid", "top", running("words", Window.partitionBy("sid").orderBy("top")).alias("top_base"))
+        sums = sums.select("sid", "top", "bucket", running("words", Window.partitionBy("sid", "top").orderBy("bucket")).alias("base")).join(tops, ["sid", "top"])
+        sums = sums.select("sid", "bucket", (F.col("base") + F.col("top_base")).alias("base"))
+        within = running(F.col("size") * F.col("n"), Window.partitionBy("sid", "bucket").orderBy("h", "rk", "part"))
+        self.placed = drawn.withColumn("within", within).join(sums, ["sid", "bucket"]).withColumn("offset", F.col("base") + F.col("within")).drop("base", "within", "bucket", "h")
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target and the words taken of every document."""
@@ -206,7 +224,8 @@ class Mix:
                 taken = np.bincount(p["row"], weights=p["end"] - p["start"], minlength=len(sid)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(4), b.column(5), pa.array(taken)], names=["doc_id", "size", "source_size", "target", "taken"])
 
-        return self.placed.select(F.col("doc_id").cast("long"), "sid", "offset", "size", "source_size", "target").mapInArrow(count, "doc_id long, size long, source_size long, target double, taken long")
+        each = self.placed.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1))).withColumn("offset", F.col("offset") + F.col("i") * F.col("size"))
+        return each.select(F.col("doc_id").cast("long"), "sid", "offset", "size", "source_size", "target").mapInArrow(count, "doc_id long, size long, source_size long, target double, taken long")
 
     def rows(self) -> DataFrame:
         """The mix itself: every piece of text with its shard and its place there, each shard in one partition, shuffled within.
@@ -221,10 +240,13 @@ class Mix:
         kept = [c for c in self.docs.columns if c not in (*added, text)]
         # Other columns travel as one struct, so that none can clash.
         rest = F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(None).alias("none")]).alias("__kept")
-        body = self.docs.select(rest, F.col(text).alias("__text"), row_key(text, self.doc_id).alias("__rk"))
-        where = self.placed.groupBy(F.col("rk").alias("__rk"), "sid", "size").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
-        body = body.join(where, "__rk").withColumn("__n", F.row_number().over(Window.partitionBy("__rk").orderBy(F.lit(0))))
-        body = body.select("__kept", "__text", "sid", "size", F.element_at("offsets", F.col("__n")).alias("offset"))
+        number, part = unit_key(self.source, text, self.doc_id)[1:]
+        body = self.docs.select(rest, F.col(text).alias("__text"), number.alias("__key"), part.alias("__part"), F.monotonically_increasing_id().alias("__at"))
+        where = self.placed.where("size > 0").select(F.col("key").alias("__key"), F.col("part").alias("__part"), "sid", "size", "offset")
+        # The window has the join's keys, so texts are dealt once.
+        nth = F.row_number().over(Window.partitionBy("__key", "__part").orderBy("__at")) - 1
+        body = body.join(where, ["__key", "__part"]).withColumn("__n", nth)
+        body = body.select("__kept", "__text", "sid", "size", (F.col("offset") + F.col("__n") * F.col("size")).alias("offset"))
         fields = f"__kept {body.schema['__kept'].dataType.simpleString()}, __text string, " + ", ".join(f"`{c}` long" for c in added)
 
         def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
