@@ -657,3 +657,53 @@ def test_very_many_sources_make_fewer_shards(spark):
     plan = mixing.make_plan(sources, (3, 1, 2), 1.5, 2.0, 64, 7)
     assert len(plan) == 140_000 and len(plan) * len(plan[0].offsets) <= mixing.PLAN_MOST
     assert all(abs(s.drawn * s.size - s.cut_words - s.target) <= 1 for s in plan)  # one block is a whole source here
+
+
+def test_mix_of_rows_that_repeat(spark):
+    """One (id, text) in three sources, and 100,000 equal rows: both results agree with one another and no row is above twice its size."""
+    rows = [(1, "a b c", s, 3) for s in ("x", "y", None)] + [(1, "a b c", "x", 4), (2, "d e f g", "y", 4), (None, None, "x", 0), (None, "h i", "z", 2)]
+    some = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    many = spark.range(100_000, numPartitions=5).select(F.lit(9).cast("long").alias("doc_id"), F.lit("p q r").alias("text"), F.lit("w").alias("source"), F.col("id").alias("n_chars"))
+    df = some.unionByName(many).unionByName(spark.range(20_000, numPartitions=3).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("w").alias("source"), F.col("id").alias("n_chars")))
+    mix = mixing.Mix(df, shards=5)
+    taken = mix.taken().cache()
+    assert taken.count() == df.count() and taken.where("taken > 2 * size").count() == 0
+    by = {r[0]: (r[1], r[2]) for r in taken.groupBy("doc_id").agg(F.sum("taken"), F.count("*")).collect()}
+    got = mix.rows().cache()
+    assert {r[0]: r[1] for r in got.groupBy("doc_id").agg(F.sum(F.col("end") - F.col("start"))).collect()} == {k: n for k, (n, _) in by.items() if n}
+    assert got.where(F.size(F.split("text", " ")) != F.col("end") - F.col("start")).count() == 0
+    # Each physical row is taken twice at most: every word of every pass once.
+    words = got.where("doc_id = 9").groupBy("n_chars", "turn").agg(F.sum(F.col("end") - F.col("start")).alias("n"))
+    assert words.where("n > 3").count() == 0 and words.select("n_chars").distinct().count() > 90_000
+    for name in ("x", "y", "z", "w"):
+        want = next(s.target for s in mix.plan if s.name == name)
+        assert abs(got.where(F.col("source") == name).selectExpr("coalesce(sum(end - start), 0)").first()[0] - want) <= 1
+
+
+def test_pieces_equal_one_source_after_another():
+    rng = np.random.default_rng(1)
+    plan = mixing.make_plan([(f"s{i}", int(n)) for i, n in enumerate(rng.integers(100, 5000, 7))], (3, 1, 2), 1.5, 2.0, 6, 7)
+    sid, size = rng.integers(0, 7, 60), rng.integers(0, 40, 60)
+    offset = np.array([int(rng.integers(0, max(1, plan[s].size - 40))) for s in sid])
+    whole = mixing.pieces(plan, sid, offset, size)
+    parts = [mixing.pieces(plan, sid[i : i + 1], offset[i : i + 1], size[i : i + 1]) for i in range(60)]
+    key = lambda p, i=None: sorted(zip(p["row"].tolist() if i is None else [i] * len(p["row"]), *(p[k].tolist() for k in ("start", "end", "turn", "shard", "slot")), strict=True))
+    assert key(whole) == sorted(x for i, p in enumerate(parts) for x in key(p, i))
+
+
+def test_near_dup_stage_defines_which_of_equal_rows_stays(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, "en", s, 1) for s in ("y", "x", "z")]
+    for order in (rows, rows[::-1]):
+        got = neardup.stage(spark, spark.createDataFrame(order, DOC).repartition(3), SF).collect()
+        assert [r.source for r in got] == ["x"]
+
+
+def test_very_long_labels_and_paths(spark):
+    label = "freebets" * 2500
+    pages = [(1, f"http://{label}.example.org/{'a/' * 20_000}", "free bets free bets"), (2, f"http://{label}.example.net/x", None), (3, "http://a.org/fr/" + "p" * 100_000, "bets")]
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[1].host_words[:4] == ["free", "bets", "free", "bets"] and len(got[1].host_words) >= 5000
+    assert got[2].verdict == "block" and got[3].verdict == "allow" and len(got[3].path) == 100_004
+    parts = urls.substrings(spark.createDataFrame([(7, "abcab")], "key long, label string"), 3)
+    assert sorted(r.word for r in parts.collect()) == sorted({"abcab"[i:j] for i in range(5) for j in range(i + 1, min(i + 3, 5) + 1)})
