@@ -9,49 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..schemas import blank
+from .containment import contained_first, containing
 from .dedup import first_by
-
-
-#: Characters of the grams that texts are met by, and those that such a gram begins with: rarer ones, so that few positions give one.
-GRAM, INITIALS = 12, "[bkpvwxyz0-9]"
-
-
-def grams(t: Column) -> Column:
-    """Hashes of the text's sampled grams: a text that holds another has all of its."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(t, F.lit(f"(?s)(?=({INITIALS}.{{{GRAM - 1}}}))"), F.lit(1)), lambda x: F.xxhash64(x)))
-
-
-def containing(small: DataFrame, big: DataFrame, small_text: str, big_text: str) -> DataFrame:
-    """Rows of ``small`` beside those of ``big`` whose text contains theirs.
-
-    They meet by an equality: the least sampled gram of the small text, among all of the
-    big one's. Texts too short to have a sampled gram meet by their first four characters, or
-    by their only ones if they are fewer.
-    """
-    own = small.withColumn("__g", F.array_min(grams(F.col(small_text))))
-    held = big.withColumn("__g", F.explode(grams(F.col(big_text))))
-    first = own.where("__g is not null").join(held, "__g").where(F.contains(big_text, small_text)).drop("__g")
-    short = own.where(F.col("__g").isNull()).withColumns({"__n": F.least(F.length(small_text), F.lit(4)), "__s": F.substring(small_text, 1, 4)}).drop("__g")
-    sizes = F.explode(F.sequence(F.lit(1), F.lit(4)))
-    starts = lambda n: F.array_distinct(F.regexp_extract_all(big_text, F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1)))
-    wanted = short.select("__n").distinct()  # at most four: texts are only cut to the lengths that are asked for
-    pieces = big.select("*", sizes.alias("__n")).join(F.broadcast(wanted), "__n", "left_semi").withColumn("__s", F.explode(starts(F.col("__n"))))
-    rest = short.join(pieces, ["__n", "__s"]).where(F.contains(big_text, small_text)).drop("__n", "__s")
-    return first.unionByName(rest)
-
-
-def contained_first(left: DataFrame, right: DataFrame, left_key: str, left_text: str, right_order: str, right_text: str, take: Sequence[str], least: int = 1) -> DataFrame:
-    """The first row of ``right`` whose squeezed text contains, or is contained in, that of each row of ``left``.
-
-    Both directions are equality joins on grams. Texts squeezed to fewer than ``least``
-    characters match nothing.
-    """
-    a = left.select(F.col(left_key).alias("__k"), X.squeezed(F.col(left_text)).alias("__a")).where(F.length("__a") >= least)
-    b = right.select(F.col(right_order).alias("__o"), X.squeezed(F.col(right_text)).alias("__b"), F.struct(*take).alias("__v")).where(F.length("__b") >= least)
-    columns = ["__k", "__o", "__v"]
-    pairs = containing(a, b, "__a", "__b").select(*columns).unionByName(containing(b, a, "__b", "__a").select(*columns))
-    first = pairs.groupBy("__k").agg(F.min_by("__v", "__o").alias("__v"))
-    return left.join(first, left[left_key] == F.col("__k"), "left").select(*left.columns, *[F.col(f"__v.{c}").alias(f"matched_{c}") for c in take])
+from .sequences import numbered
 
 
 def catalog(**parts: DataFrame) -> DataFrame:
@@ -71,11 +31,9 @@ def listed(parts: DataFrame, *models: str) -> DataFrame:
     return parts.where(F.coalesce(*[F.col(m) for m in models]).isNotNull()).orderBy("basename")
 
 
-def neighbours(df: DataFrame, group: str, key: str, *order: str, page: int = 4) -> DataFrame:
-    """place (from 1), page (from 0), previous and next of every record of a group in review order; the ends have none."""
-    w = Window.partitionBy(group).orderBy(*order)
-    place = F.row_number().over(w)
-    return df.select("*", place.cast("long").alias("place"), F.floor((place - 1) / page).cast("long").alias("page"), F.lag(key).over(w).alias("previous"), F.lead(key).over(w).alias("next"))
+def neighbours(df: DataFrame, group: Sequence[str], key: str, *order: str, page: int = 4) -> DataFrame:
+    """place (from 1), page (from 0), previous and next of every record in review order, of a group or of all; the ends have none."""
+    return numbered(df, order, group, key).withColumn("page", F.floor((F.col("place") - 1) / page).cast("long"))
 
 
 def prioritized(items: DataFrame, wanted: DataFrame, key: str, rules: Sequence[Column], order: str, take: Sequence[str]) -> DataFrame:

@@ -12,9 +12,11 @@ CATALOG = Catalog()
 _SQUEEZED = "regexp_replace(lower({}), '[^a-z0-9]', '', 'g')"
 
 
-@CATALOG.query(f"SELECT b.item_id, min(d.doc_id) AS matched_doc_id FROM benchmark b LEFT JOIN documents d ON length({_SQUEEZED.format('d.text')}) > 0 AND length({_SQUEEZED.format('b.text')}) > 0 AND (contains({_SQUEEZED.format('d.text')}, {_SQUEEZED.format('b.text')}) OR contains({_SQUEEZED.format('b.text')}, {_SQUEEZED.format('d.text')})) GROUP BY b.item_id")
+@CATALOG.query(f"""
+WITH d AS (SELECT {_SQUEEZED.format('text')} AS t, min(doc_id) AS place, max(doc_id) AS doc_id FROM documents GROUP BY 1), b AS (SELECT item_id, {_SQUEEZED.format('text')} AS t FROM benchmark)
+SELECT b.item_id, arg_min(d.doc_id, d.place) AS matched_doc_id FROM b LEFT JOIN d ON length(d.t) > 0 AND length(b.t) > 0 AND (contains(d.t, b.t) OR contains(b.t, d.t)) GROUP BY b.item_id""")
 def containment_join(spark, sf_dir):
-    """The first document that contains, or is contained in, each item."""
+    """The first document that contains, or is contained in, each item; of documents alike the last one's values, in the first one's place."""
     return C.contained_first(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "text", "doc_id", "text", ["doc_id"]).select("item_id", "matched_doc_id")
 
 
@@ -139,7 +141,14 @@ def sync_counters(spark, sf_dir):
 def review_navigation(spark, sf_dir):
     """Place, page, and the records before and after each in review order."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", (-F.col("n_chars")).alias("less"))
-    return C.neighbours(rows, "source", "doc_id", "less", "doc_id").select("doc_id", "place", "page", "previous", "next")
+    return C.neighbours(rows, ["source"], "doc_id", "less", "doc_id").select("doc_id", "place", "page", "previous", "next")
+
+
+@CATALOG.query("SELECT doc_id, row_number() OVER w AS place, (row_number() OVER w - 1) // 4 AS page, lag(doc_id) OVER w AS previous, lead(doc_id) OVER w AS next FROM documents WINDOW w AS (ORDER BY n_chars DESC, doc_id)")
+def review_order(spark, sf_dir):
+    """The same over the whole table, which no task holds."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", (-F.col("n_chars")).alias("less"))
+    return C.neighbours(rows, [], "doc_id", "less", "doc_id").select("doc_id", "place", "page", "previous", "next")
 
 
 @CATALOG.query("SELECT doc_id AS basename, quality AS revised FROM documents JOIN labels USING (doc_id)")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.sequences import paged
 from .base import Catalog, table
 
 CATALOG = Catalog()
@@ -46,8 +47,7 @@ def extra_frames(spark, sf_dir):
 
 @CATALOG.query("SELECT doc_id, CAST(floor((row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) / 4) AS BIGINT) AS page FROM documents")
 def pagination(spark, sf_dir):
-    n = F.row_number().over(Window.partitionBy("lang").orderBy("doc_id"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.floor((n - 1) / 4).cast("long").alias("page"))
+    return paged(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["doc_id"], ["lang"]).select("doc_id", "page")
 
 
 @CATALOG.query("SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders")

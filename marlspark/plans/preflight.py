@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import containment as H
 from ..operators import preflight as P
 from ..operators import runs as R
-from ..operators.corpus import containing
 from .base import Catalog, table
 from .text import NORMAL
 
@@ -76,9 +76,9 @@ def event_rollup(spark, sf_dir):
 
 @CATALOG.query(f"SELECT b.item_id, count(*) AS n, min(d.doc_id) AS first_doc FROM (SELECT item_id, lower({NORMAL}) AS q FROM benchmark) b JOIN (SELECT doc_id, lower({NORMAL}) AS t FROM documents) d ON contains(d.t, b.q) GROUP BY b.item_id")
 def evidence_exact(spark, sf_dir):
-    quotes = table(spark, sf_dir, "benchmark").select("item_id", F.lower(X.normalized_text(F.col("text"))).alias("q"))
-    bodies = table(spark, sf_dir, "documents").select("doc_id", F.lower(X.normalized_text(F.col("text"))).alias("t"))
-    return containing(quotes, bodies, "q", "t").groupBy("item_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+    quotes = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("q"))
+    bodies = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("t"))
+    return H.containing(quotes, bodies, "q", "t", H.NORMAL).groupBy("item_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
 @CATALOG.query()

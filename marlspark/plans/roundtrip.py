@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -13,19 +10,15 @@ from ..operators import dedup as D
 from ..operators import scoring as S
 from ..schemas import DB, ENRICHED, strings
 from ..sources import sinks, tables
+from ..sources.shared import new_folder
 from .base import Catalog, table
 
 CATALOG = Catalog()
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder below the one that ``spark.checkpoint.dir`` names; a temporary one only in local sessions without it."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = tempfile.mkdtemp("-marlspark")
-    return f"{base.rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    """A new folder below the shared one."""
+    return new_folder(spark, "roundtrip")
 
 
 def _papers(spark, sf_dir):
@@ -51,6 +44,34 @@ def csv_files_first_wins(spark, sf_dir):
     return D.merge_tables(both, order=("file", "_row")).select("paper_id", "file")
 
 
+@CATALOG.query("""
+SELECT CAST(doc_id AS VARCHAR) AS paper_id, CASE WHEN doc_id % 3 = 2 THEN '' ELSE md5(coalesce(text, '')) END AS title_md5, CASE WHEN doc_id % 3 = 1 THEN '' ELSE coalesce(lang, '') END AS year,
+  CASE WHEN doc_id % 3 = 2 THEN 'v2' ELSE coalesce(source, '') END AS venue, CASE doc_id % 3 WHEN 0 THEN '' ELSE '10.1/' || doc_id END AS doi FROM documents""")
+def csv_by_header(spark, sf_dir):
+    """Files of a folder with other orders of columns, missing and foreign ones, read as one table by their headers."""
+    path = folder(spark)
+    doi, rows = F.concat(F.lit("10.1/"), "paper_id"), _papers(spark, sf_dir)
+    forms = [rows, rows.select("venue", doi.alias("doi"), "title", F.lit("foreign").alias("other"), "paper_id"), rows.select(F.lit("v1").alias("first"), doi.alias("doi"), F.lit("v2").alias("venue"), "paper_id", "year")]
+    for i, form in enumerate(forms):
+        own = form.where(F.col("paper_id").cast("long") % 3 == i)
+        sinks.write_csv(own, f"{path}/{i}", [*form.columns, "url"], files=None)
+    # A table without rows adds none.
+    sinks.write_csv(forms[2].where("false"), f"{path}/empty", ["paper_id"])
+    found = tables.read_csv(spark, [f"{path}/{x}" for x in ("0", "1", "2", "empty")], DB)
+    return found.select("paper_id", F.when(F.col("title") == "", "").otherwise(F.md5("title")).alias("title_md5"), "year", "venue", "doi")
+
+
+@CATALOG.query("SELECT source AS folder, CAST(doc_id AS VARCHAR) AS paper_id, md5(coalesce(text, '')) AS title_md5 FROM documents WHERE source IS NOT NULL")
+def csv_folders(spark, sf_dir):
+    """Tables found in a folder, by a pattern of names; other files there are passed over."""
+    path = folder(spark)
+    rows = _papers(spark, sf_dir).where("venue is not null")
+    rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "paper_id", "venue")]).write.options(**sinks.CSV).csv(path)
+    rows.select("paper_id").write.mode("append").option("header", "true").option("extension", "tsv").csv(path)
+    found = tables.read_csv_folder(spark, path, DB)
+    return found.select(F.col("venue").alias("folder"), "paper_id", F.md5("title").alias("title_md5"))
+
+
 @CATALOG.query("SELECT CAST(doc_id AS VARCHAR) AS paper_id, CASE WHEN quality = 1 THEN 'keep' ELSE '' END AS keep, 't' || toxic AS notes FROM labels")
 def human_side_table(spark, sf_dir):
     """What people filled in, from the table where it is; a table that is not there has none."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import dedup as D
 from ..operators import runs as R
+from ..operators import sequences as Q
 from .base import Catalog, table
 
 CATALOG = Catalog()
@@ -35,6 +36,15 @@ def consecutive_failures(spark, sf_dir):
     return R.consecutive(_events(spark, sf_dir), "user_id", ["ts", "event_id"], "failed").select("user_id", "event_id", "streak")
 
 
+_ALL = "SELECT event_id, ts, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM events)"
+
+
+@CATALOG.query(f"SELECT event_id, CAST(streak AS BIGINT) AS streak FROM ({_ALL})")
+def streak_of_all(spark, sf_dir):
+    """Failures in a row over one sequence of all events, as one producer sees them."""
+    return Q.streaks(_events(spark, sf_dir), ["ts", "event_id"], "failed").select("event_id", "streak")
+
+
 @CATALOG.query(f"SELECT user_id, arg_min(event_id, row(ts, event_id)) AS event_id FROM ({_STREAKS}) WHERE streak >= 2 GROUP BY user_id")
 def circuit_breaker(spark, sf_dir):
     """Where each user's breaker opens, at two errors in a row."""

@@ -2,30 +2,80 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import re
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from fnmatch import fnmatchcase
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Blank stays blank: null is a string that no file has.
 CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000", "encoding": "UTF-8"}
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
-    """Rows of one file or more with ``_file`` and ``_row``, by which they stand in file order."""
-    rows = spark.read.schema(schema).options(**CSV).csv(paths)
-    return rows.select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+def csv_files(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> list[str]:
+    """The files that paths name: files, globs, or those of folders whose names fit ``pattern``; hidden ones are left out."""
+    found = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for named in fs.globStatus(path) or []:
+            inside = fs.listStatus(named.getPath()) if named.isDirectory() else [named]
+            for f in inside:
+                name = f.getPath().getName()
+                if f.isFile() and name[:1] not in "_." and (not named.isDirectory() or fnmatchcase(name, pattern)):
+                    found.append(f.getPath().toString())
+    return found
+
+
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Names in a file's first record, which may have line ends in quotes; none for an empty file. No more of the file is read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    io = spark._jvm.java.io
+    lines = io.BufferedReader(io.InputStreamReader(p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p), "UTF-8"))
+    try:
+        text = line = lines.readLine()
+        while line == "" or line is not None and text.count('"') % 2:  # blank lines before it are passed over
+            line = lines.readLine()
+            text = line if text == "" else f"{text}\n{line or ''}"
+    finally:
+        lines.close()
+    return tuple(next(csv.reader([text.removeprefix("\ufeff")], strict=False), ())) if text else ()
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType, pattern: str = "*") -> DataFrame:
+    """Rows of one file or more with ``_file`` and ``_row``, by which they stand in file order.
+
+    Columns go by the names in each file's header, whatever their order: of names that repeat
+    the last counts, names that ``schema`` lacks are left out, columns that a file lacks are
+    blank (null if no string), and so are null the fields that a short row lacks. Files with the same header are one read.
+    The driver reads one record of each file.
+    """
+    files = csv_files(spark, paths, pattern)
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda f: csv_header(spark, f), files))
+    reads = []
+    for header in dict.fromkeys(h for h in headers if h):
+        place = {name: i for i, name in enumerate(header)}
+        kinds = {i: schema[name].dataType for name, i in place.items() if name in schema.fieldNames()}
+        own = StructType([StructField(f"c{i}", kinds.get(i, StringType())) for i in range(len(header))])
+        rows = spark.read.schema(own).options(**CSV).csv([f for f, h in zip(files, headers, strict=True) if h == header])
+        lacks = lambda f: F.lit("" if isinstance(f.dataType, StringType) else None).cast(f.dataType)
+        named = [(F.col(f"c{place[f.name]}") if f.name in place else lacks(f)).alias(f.name) for f in schema.fields]
+        reads.append(rows.select(*named, F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_row")))
+    if not reads:
+        return spark.createDataFrame([], schema).select("*", F.lit("").alias("_file"), F.lit(0).cast("long").alias("_row"))
+    return reduce(DataFrame.unionByName, reads)
 
 
 def read_csv_if_there(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
     """As read_csv, of those paths that exist; no rows where none does."""
-    there = [p for p in paths if exists(spark, p)]
-    if there:
-        return read_csv(spark, there, schema)
-    return spark.createDataFrame([], schema).select("*", F.lit("").alias("_file"), F.lit(0).cast("long").alias("_row"))
+    return read_csv(spark, [p for p in paths if exists(spark, p)], schema)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -34,8 +84,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv_folder(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.csv") -> DataFrame:
-    rows = spark.read.schema(schema).options(**CSV, pathGlobFilter=pattern).csv(folder)
-    return rows.select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    return read_csv(spark, folder, schema, pattern)
 
 
 def human_columns(rows: DataFrame) -> DataFrame:
