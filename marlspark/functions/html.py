@@ -29,6 +29,7 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('href="([^"]+)"'), F.lit(1))
 
 
+# The patterns of a listing's DOI links and of its entries' metadata, as they stand here and in ``entries``.
 def doi_link(html: Column) -> Column:
     return F.regexp_extract(html, r'href="https://doi\.org/([^"]+)"', 1)
 
@@ -38,7 +39,7 @@ def entries(pages: DataFrame, html: str = "html") -> DataFrame:
     block = F.split(F.col(html), r"(?=<li\s[^>]*class=\"entry (?:inproceedings|article)\")")
     rows = pages.drop("pos", "block").select("*", F.posexplode(block).alias("pos", "block")).where(F.col("block").rlike(ENTRY))
     coins = F.regexp_extract("block", r'title="(ctx_ver[^"]*rft\.atitle[^"]*)"', 1)
-    rows = rows.withColumn("coins", F.replace(coins, F.lit("&amp;"), F.lit("&")))
+    rows = rows.withColumn("coins", coins)
     title = unquoted(F.regexp_extract("coins", r"(?d)rft\.atitle=(.+?)(?:&rft\.)", 1))
     authors = F.transform(F.regexp_extract_all("coins", F.lit(r"(?d)rft\.au=(.+?)(?:&rft\.|$)"), F.lit(1)), unquoted)
     return rows.select(

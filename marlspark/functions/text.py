@@ -129,17 +129,24 @@ def numeric_space(t: Column) -> Column:
     return F.replace(F.replace(F.lower(normalized_text(t)), F.lit("×"), F.lit("x")), F.lit(" "), F.lit(""))
 
 
-def is_noise(line: Column) -> Column:
-    bare = F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
-    return (bare == "") | bare.rlike("(?i)^(?:" + "|".join(NOISE) + ")")
+def stripped(line: Column) -> Column:
+    return F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
+
+
+def is_noise(bare: Column) -> Column:
+    """Of a stripped line; white space and digits are Unicode's."""
+    return (bare == "") | bare.rlike("(?iU)^(?:" + "|".join(NOISE) + ")")
 
 
 def clean_lines(t: Column) -> Column:
-    """Lines before the first reference heading, without noise, stripped."""
-    lines = F.split(t, "\n")
-    head = F.array_position(F.transform(lines, lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "").rlike(REFERENCES)), True)
-    body = F.when(head > 0, F.slice(lines, F.lit(1), (head - 1).cast("int"))).otherwise(lines)
-    return F.transform(F.filter(body, lambda x: ~is_noise(x)), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
+    """Lines before the first reference heading, without noise, stripped; each line is stripped once."""
+
+    def body(lines: Column) -> Column:
+        head = F.array_position(F.transform(lines, lambda x: x.rlike("(?U)" + REFERENCES)), True)
+        before = F.when(head > 0, F.slice(lines, F.lit(1), (head - 1).cast("int"))).otherwise(lines)
+        return F.filter(before, lambda x: ~is_noise(x))
+
+    return let(F.transform(F.split(t, "\n"), stripped), body)
 
 
 def relevance(score: Column) -> Column:
@@ -218,6 +225,8 @@ def url_contains(url: Column, part: str) -> Column:
 
 # What makes a failed stage not worth or worth another try, in order.
 FATAL = ("invalid_api_key", "incorrect api key", "unauthorized", "missing bearer", "permission denied", "no such file or directory")
+# What of a failure's kind counts towards a breaker.
+BREAKING = ("quota", "rate limit", "429", "capacity", "high demand", "service unavailable", "stream disconnected", "timeout", "exit_code_124")
 RETRYABLE = (r"\b429\b", "rate limit", "too many requests", "insufficient_quota", "quota", "capacity", "temporarily unavailable", "503 service unavailable", "service unavailable", "currently experiencing high demand", "stream disconnected", "timeout", "timed out", "connection reset", "econnreset")
 
 

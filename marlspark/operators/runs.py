@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,13 @@ def retries(runs: DataFrame, *status: str) -> DataFrame:
     return runs.where(cond)
 
 
+def lifecycle(ran: Column, reuse: Column, ok: Column, review_ok: Column) -> tuple[Column, Column]:
+    """A job's two states: pending where it has not run; reused, completed or failed; and skipped where the first has failed."""
+    analysis = F.when(~ran, "pending").when(reuse, "reused").when(ok, "completed").otherwise("failed")
+    review = F.when(~ran, "pending").when(analysis == "failed", "skipped").when(review_ok, "completed").otherwise("failed")
+    return analysis, review
+
+
 def latest_status(events: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last record of each job and stage; earlier fields that it lacks are kept."""
     place = F.struct(*order)

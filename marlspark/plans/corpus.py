@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import corpus as C
+from ..operators import runs as R
 from ..operators.dedup import last_by
 from .base import Catalog, table
 
@@ -36,67 +37,98 @@ def lookup_cascade(spark, sf_dir):
     return found.select("n_nationkey", F.col("rule").cast("long").alias("rule"), "s_suppkey")
 
 
-_DOSSIERS = "(SELECT page_id AS id, CASE WHEN page_id % 3 = 0 THEN 'D' || (page_id // 2) ELSE '' END AS doi, 'Title ' || (page_id % 90) AS title, 'f' || page_id || '.json' AS file FROM pages)"
-_SOURCES = "(SELECT 'd' || page_id AS doi, 'title: ' || page_id AS title, 'f' || (page_id + 1) || '.json' AS file, 'p/' || page_id AS path FROM pages)"
+_DOSSIERS = "(SELECT page_id AS id, CASE WHEN page_id % 3 = 0 THEN ' 10.1/D-  ' || (page_id // 2) ELSE '' END AS doi, CASE WHEN page_id % 90 = 7 THEN 'Popular' ELSE 'Deep-Learning on ' || (page_id % 90) END AS title, 'a/f-' || page_id || '.json' AS file, CASE WHEN page_id % 11 = 0 THEN 'given/' || page_id END AS named FROM pages)"
+_SOURCES = "(SELECT CASE WHEN page_id % 2 = 0 THEN '10.1/D' ELSE '10.1/d' END || page_id AS doi, CASE WHEN page_id % 4 = 1 THEN 'popular!' ELSE 'DeepLearning: on' || page_id END AS title, 'b/F' || (page_id + 1) || '.json' AS file, 'p/' || page_id AS path FROM pages)"
+_DOI = r"trim(regexp_replace(regexp_replace({}, '([\p{{L}}\p{{N}}_])-\s+([\p{{L}}\p{{N}}_])', '\1\2', 'g'), '\s+', ' ', 'g'))"
+_STEM = r"regexp_replace(regexp_replace(regexp_extract({}, '[^/]*$'), '\.[^.]*$', ''), '[^A-Za-z0-9]', '', 'g')"
 
 
 @CATALOG.query(f"""
 WITH a AS {_DOSSIERS}, b AS {_SOURCES}, h AS (
-  SELECT a.id, b.path, CASE WHEN a.doi <> '' AND lower(a.doi) = lower(b.doi) THEN 0 WHEN {_SQUEEZED.format('a.title')} = {_SQUEEZED.format('b.title')} THEN 1 WHEN a.file = b.file THEN 2 END AS rule FROM a, b),
-g AS (SELECT id, count(*) AS n, min(path) AS path, min(rule) AS rule FROM h WHERE rule IS NOT NULL GROUP BY id)
-SELECT a.id, CASE WHEN g.n IS NULL THEN 'not_found' WHEN g.n > 1 THEN 'ambiguous' ELSE 'resolved' END AS status, coalesce(g.n, 0) AS n_paths, CASE WHEN g.n = 1 THEN g.path END AS path, CASE WHEN g.n = 1 THEN ['doi', 'title', 'file'][g.rule + 1] END AS resolved_by FROM a LEFT JOIN g USING (id)""")
+  SELECT id, path, min(rule) AS rule FROM (
+    SELECT a.id, b.path, 0 AS rule FROM a JOIN b ON {_DOI.format('a.doi')} = {_DOI.format('b.doi')} WHERE trim(a.doi) <> ''
+    UNION ALL SELECT a.id, b.path, 1 FROM a JOIN b ON {_SQUEEZED.format('a.title')} = {_SQUEEZED.format('b.title')}
+    UNION ALL SELECT a.id, b.path, 2 FROM a JOIN b ON lower({_STEM.format('a.file')}) = lower({_STEM.format('b.file')})) GROUP BY id, path),
+g AS (SELECT id, count(*) AS n, min(path) AS path, min(rule) AS rule, array_to_string(list_sort(list(path))[1:5], ' ') AS options FROM h GROUP BY id)
+SELECT a.id, CASE WHEN named IS NOT NULL OR g.n = 1 THEN 'resolved' WHEN g.n IS NULL THEN 'not_found' ELSE 'ambiguous' END AS status, coalesce(named, CASE WHEN g.n = 1 THEN g.path END) AS path,
+  CASE WHEN named IS NOT NULL THEN 'explicit_path' WHEN g.n = 1 THEN ['doi', 'title_exact', 'filename_exact'][g.rule + 1] END AS resolved_by, CASE WHEN named IS NULL AND g.n > 1 THEN g.options END AS options FROM a LEFT JOIN g USING (id)""")
 def source_resolution(spark, sf_dir):
+    """Titles with joined words, a title that a quarter of all share, DOIs whose case counts, files told by their stems, paths that are given."""
     i = F.col("page_id")
-    text = lambda c: c.cast("string")
+    text = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in c])
     pages = table(spark, sf_dir, "pages")
-    dossiers = pages.select(i.alias("id"), F.when(i % 3 == 0, F.concat(F.lit("D"), text(F.floor(i / 2)))).otherwise("").alias("doi"), F.concat(F.lit("Title "), text(i % 90)).alias("title"), F.concat(F.lit("f"), text(i), F.lit(".json")).alias("file"))
-    papers = pages.select(F.concat(F.lit("d"), text(i)).alias("doi"), F.concat(F.lit("title: "), text(i)).alias("title"), F.concat(F.lit("f"), text(i + 1), F.lit(".json")).alias("file"), F.concat(F.lit("p/"), text(i)).alias("path"))
-    return C.resolve(dossiers, papers, "id")
+    dossiers = pages.select(i.alias("id"), F.when(i % 3 == 0, text(" 10.1/D-  ", F.floor(i / 2))).otherwise("").alias("doi"), F.when(i % 90 == 7, "Popular").otherwise(text("Deep-Learning on ", i % 90)).alias("title"), text("a/f-", i, ".json").alias("file"), F.when(i % 11 == 0, text("given/", i)).alias("named"))
+    papers = pages.select(text(F.when(i % 2 == 0, "10.1/D").otherwise("10.1/d"), i).alias("doi"), F.when(i % 4 == 1, "popular!").otherwise(text("DeepLearning: on", i)).alias("title"), text("b/F", i + 1, ".json").alias("file"), text("p/", i).alias("path"))
+    return C.resolve(dossiers, papers, "id", "named").withColumn("options", F.array_join("options", " "))
 
 
-_MODELS = "CASE WHEN doc_id % 2 = 0 THEN 'A' || doc_id ELSE '' END AS t1, CASE WHEN doc_id % 3 = 0 THEN 'B' || doc_id END AS t2, 'C' || doc_id AS t3"
+_MODELS = """(SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'A' || doc_id END ELSE CASE WHEN doc_id % 3 = 0 THEN 'R' || doc_id END END AS t1, CASE WHEN doc_id % 2 = 0 THEN 'a' WHEN doc_id % 3 = 0 THEN 'r' END AS v1,
+  CASE WHEN doc_id % 5 = 0 THEN 'B' || doc_id WHEN doc_id % 7 = 0 THEN '' END AS t2, CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 THEN 'b' END AS v2, CASE WHEN doc_id % 3 = 0 THEN 'R' || doc_id END AS revised FROM documents)"""
 
 
-@CATALOG.query(f"SELECT doc_id, coalesce(nullif(t1, ''), t2, t3) AS title, CASE WHEN t2 IS NOT NULL THEN CASE WHEN doc_id % 5 = 0 THEN 'human' ELSE t2 END END AS shown FROM (SELECT doc_id, {_MODELS} FROM documents)")
+@CATALOG.query(f"SELECT doc_id, coalesce(nullif(t1, ''), nullif(t2, ''), CASE WHEN v2 IS NOT NULL THEN t2 ELSE t1 END) AS title, CASE WHEN coalesce(t1, '') <> '' THEN v1 WHEN coalesce(t2, '') <> '' THEN v2 ELSE coalesce(v2, v1) END AS venue, CASE WHEN revised IS NOT NULL THEN CASE WHEN doc_id % 5 = 0 THEN 'human' ELSE revised END END AS shown FROM {_MODELS}")
 def metadata_coalesce(spark, sf_dir):
-    """The first model with a title; a human document replaces a revised one whole."""
+    """The first model with a title, else the last one's record; a model's revised file counts only where it has no raw one, not where that has no title.
+
+    A human document replaces a revised one whole.
+    """
     i = F.col("doc_id")
+    record = lambda title, venue: F.struct(title.alias("title"), F.lit(venue).alias("venue"))
     named = lambda prefix: F.concat(F.lit(prefix), i.cast("string"))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.struct(F.when(i % 2 == 0, named("A")).otherwise("").alias("title")).alias("m1"), F.when(i % 3 == 0, F.struct(named("B").alias("title"))).alias("m2"), F.struct(named("C").alias("title")).alias("m3"),
-        F.when(i % 5 == 0, F.struct(F.lit("human").alias("title"))).alias("human"),
-    )
-    best = C.first_titled(F.col("m1"), F.col("m2"), F.col("m3"))
-    return docs.select("doc_id", best["title"].alias("title"), C.overlay(F.col("human"), F.col("m2"))["title"].alias("shown"))
+    raw, revised = record(F.when(i % 4 == 0, "").otherwise(named("A")), "a"), F.when(i % 3 == 0, record(named("R"), "r"))
+    second = F.when(i % 5 == 0, record(named("B"), "b")).when(i % 7 == 0, record(F.lit(""), "b"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", C.model_record(i % 2 == 0, raw, revised).alias("m1"), second.alias("m2"), revised.alias("revised"), F.when(i % 5 == 0, record(F.lit("human"), "h")).alias("human"))
+    best = C.first_titled(F.col("m1"), F.col("m2"))
+    return docs.select("doc_id", best["title"].alias("title"), best["venue"].alias("venue"), C.overlay(F.col("human"), F.col("revised"))["title"].alias("shown"))
 
 
-_PAIRS = "(SELECT page_id, 'Paper, ' || page_id AS a_title, 'paper ' || (page_id - page_id % 2) AS p_title, 'Ann Bo' AS a_authors, CASE page_id % 3 WHEN 0 THEN 'Ann Bo; Cy' WHEN 1 THEN 'ann bo' ELSE 'Dee' END AS p_authors, CAST(2000 + page_id % 3 AS VARCHAR) AS a_year, '2001' AS p_year FROM pages)"
-_N = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+_PAIRS = "(SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Paper, ' WHEN 1 THEN 'paper ' WHEN 2 THEN 'Pa-  per,  ' ELSE ' Paper, ' END || page_id AS a_title, 'Paper, ' || (page_id - page_id % 2 * (page_id % 3)) AS p_title, 'Ann Bo' AS a_authors, CASE page_id % 3 WHEN 0 THEN 'Ann Bo; Cy' WHEN 1 THEN 'ann bo' ELSE NULL END AS p_authors, 2000 + page_id % 3 AS a_year, 2001 AS p_year, CASE WHEN page_id % 2 = 0 THEN 'V' END AS a_venue, CASE WHEN page_id % 4 = 0 THEN 'V' ELSE '' END AS p_venue, 'D' AS a_doi, CASE WHEN page_id % 5 = 0 THEN 'd' ELSE 'D' END AS p_doi FROM pages)"
+_CHECKS = f"""(SELECT page_id, field, CASE WHEN same THEN 'pass' WHEN field = 'authors' AND a <> '' AND p <> '' AND (contains(a, p) OR contains(p, a)) THEN 'partial' ELSE 'fail' END AS status FROM (
+  SELECT page_id, field, {_DOI.format("coalesce(a, '')")} AS a, {_DOI.format("coalesce(p, '')")} AS p, CASE WHEN field = 'year' THEN a = p ELSE {_DOI.format("coalesce(a, '')")} = {_DOI.format("coalesce(p, '')")} END AS same
+  FROM (SELECT page_id, unnest(['title', 'authors', 'year', 'venue', 'doi']) AS field, unnest([a_title, a_authors, CAST(a_year AS VARCHAR), a_venue, a_doi]) AS a, unnest([p_title, p_authors, CAST(p_year AS VARCHAR), p_venue, p_doi]) AS p FROM {_PAIRS})))"""
 
 
-@CATALOG.query(f"""SELECT page_id, field, CASE WHEN {_N.format('a')} = {_N.format('p')} THEN 'pass' WHEN field = 'authors' AND (contains({_N.format('a')}, {_N.format('p')}) OR contains({_N.format('p')}, {_N.format('a')})) THEN 'partial' ELSE 'fail' END AS status
-FROM (SELECT page_id, 'title' AS field, a_title AS a, p_title AS p FROM {_PAIRS} UNION ALL SELECT page_id, 'authors', a_authors, p_authors FROM {_PAIRS} UNION ALL SELECT page_id, 'year', a_year, p_year FROM {_PAIRS})""")
-def metadata_compare(spark, sf_dir):
+def _checks(spark, sf_dir):
     i = F.col("page_id")
-    authors = F.when(i % 3 == 0, "Ann Bo; Cy").when(i % 3 == 1, "ann bo").otherwise("Dee")
-    pairs = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("Paper, "), i.cast("string")).alias("a_title"), F.concat(F.lit("paper "), (i - i % 2).cast("string")).alias("p_title"), F.lit("Ann Bo").alias("a_authors"), authors.alias("p_authors"), (2000 + i % 3).cast("string").alias("a_year"), F.lit("2001").alias("p_year"))
-    return C.compare_metadata(pairs, "page_id", ["title", "authors", "year"]).select("page_id", "field", "status")
+    text = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in c])
+    start = F.element_at(F.array(*map(F.lit, ("Paper, ", "paper ", "Pa-  per,  ", " Paper, "))), (i % 4 + 1).cast("int"))
+    pairs = table(spark, sf_dir, "pages").select(
+        "page_id", text(start, i).alias("a_title"), text("Paper, ", i - i % 2 * (i % 3)).alias("p_title"), F.lit("Ann Bo").alias("a_authors"), F.when(i % 3 == 0, "Ann Bo; Cy").when(i % 3 == 1, "ann bo").alias("p_authors"),
+        (2000 + i % 3).alias("a_year"), F.lit(2001).alias("p_year"), F.when(i % 2 == 0, "V").alias("a_venue"), F.when(i % 4 == 0, "V").otherwise("").alias("p_venue"), F.lit("D").alias("a_doi"), F.when(i % 5 == 0, "d").otherwise("D").alias("p_doi"),
+    )
+    return C.compare_metadata(pairs, "page_id")
+
 
+@CATALOG.query(f"SELECT page_id, field, status, CASE WHEN status = 'fail' THEN CASE WHEN field IN ('title', 'year') THEN 'critical' ELSE 'major' END END AS severity FROM {_CHECKS}")
+def metadata_compare(spark, sf_dir):
+    """Case and punctuation count, hyphens at line ends and runs of spaces do not; null is blank."""
+    return _checks(spark, sf_dir).select("page_id", "field", "status", "severity")
+
+
+@CATALOG.query(f"SELECT page_id, CASE WHEN count(*) FILTER (field IN ('title', 'year')) > 0 THEN 'fail' ELSE 'mixed' END AS status, count(*) AS issue_count, count(*) FILTER (field IN ('title', 'year')) AS critical_count, count(*) FILTER (field NOT IN ('title', 'year')) AS major_count, CAST(0 AS BIGINT) AS minor_count FROM {_CHECKS} WHERE status = 'fail' GROUP BY page_id")
+def metadata_issues(spark, sf_dir):
+    """Differences as issues, rolled up like all others."""
+    return R.rollup_status(C.metadata_issues(_checks(spark, sf_dir), "page_id"), ["page_id"])
 
-_DRAFTS = "(SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), '') AS quality, CASE WHEN d.doc_id % 9 = 0 THEN '' ELSE d.text END AS body_text, l.doc_id IS NOT NULL AS csv_matched FROM documents d LEFT JOIN labels l USING (doc_id))"
+
+_BODY = "CASE WHEN d.doc_id % 9 = 0 THEN '' WHEN d.doc_id % 9 = 1 THEN rpad('x', 199 + CAST(d.doc_id % 2 AS INT), 'y') ELSE d.text END"
+_DRAFTS = f"(SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), '') AS quality, CASE WHEN l.doc_id % 3 = 0 THEN 2024 ELSE 0 END AS year, {_BODY} AS body_text, l.doc_id IS NOT NULL AS csv_matched FROM documents d LEFT JOIN labels l USING (doc_id))"
 
 
 def _drafts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 9 == 0, "").otherwise(F.col("text")).alias("body_text"))
-    return C.drafts(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", ["quality"])
+    i = F.col("doc_id")
+    body = F.when(i % 9 == 0, "").when(i % 9 == 1, F.rpad(F.lit("x"), (199 + i % 2).cast("int"), F.lit("y"))).otherwise(F.col("text"))
+    index = table(spark, sf_dir, "labels").select("doc_id", "quality", F.when(i % 3 == 0, "2024").otherwise("").alias("year"))
+    return C.drafts(table(spark, sf_dir, "documents").select("doc_id", body.alias("body_text")), index, "doc_id", ["quality", "year"])
 
 
-@CATALOG.query(f"SELECT doc_id, quality, length(body_text) AS text_length, csv_matched, CASE WHEN body_text <> '' THEN 'success' ELSE 'failed' END AS extraction_status FROM {_DRAFTS}")
+@CATALOG.query(f"SELECT doc_id, quality, year, length(body_text) AS text_length, csv_matched, CASE WHEN length(body_text) >= 200 THEN 'success' ELSE 'failed' END AS extraction_status FROM {_DRAFTS}")
 def draft_assembly(spark, sf_dir):
-    return _drafts(spark, sf_dir).select("doc_id", "quality", "text_length", "csv_matched", "extraction_status")
+    """Texts of 199 and of 200 characters, the least that is a success."""
+    return _drafts(spark, sf_dir).select("doc_id", "quality", "year", "text_length", "csv_matched", "extraction_status")
 
 
-@CATALOG.query(f"SELECT count(*) AS total, count(*) FILTER (csv_matched AND body_text <> '') AS success, count(*) FILTER (csv_matched AND body_text = '') AS failed, count(*) FILTER (NOT csv_matched) AS no_csv_match FROM {_DRAFTS}")
+@CATALOG.query(f"SELECT count(*) AS total, count(*) FILTER (csv_matched AND length(body_text) >= 200) AS success, count(*) FILTER (csv_matched AND length(body_text) < 200) AS failed, count(*) FILTER (NOT csv_matched) AS no_csv_match FROM {_DRAFTS}")
 def extraction_summary(spark, sf_dir):
     return C.extraction_summary(_drafts(spark, sf_dir))
 

@@ -124,7 +124,7 @@ def text_lines(spark, sf_dir):
 _RECORDS = "(SELECT d.doc_id, coalesce(d.text, '') AS body_text, l.doc_id IS NOT NULL AS csv_matched FROM documents d LEFT JOIN labels l USING (doc_id))"
 
 
-@CATALOG.query(f"SELECT CAST(doc_id AS VARCHAR) AS file, md5(body_text) AS body_md5, length(body_text) AS text_length, csv_matched, (SELECT count(*) FILTER (csv_matched AND body_text <> '') FROM {_RECORDS}) AS all_success FROM {_RECORDS}")
+@CATALOG.query(f"SELECT CAST(doc_id AS VARCHAR) AS file, md5(body_text) AS body_md5, length(body_text) AS text_length, csv_matched, (SELECT count(*) FILTER (csv_matched AND length(body_text) >= 200) FROM {_RECORDS}) AS all_success FROM {_RECORDS}")
 def json_documents(spark, sf_dir):
     """Extracted documents with their index and summary, read back and joined."""
     path = folder(spark)

@@ -66,9 +66,7 @@ def retry_failed(spark, sf_dir):
 @CATALOG.query("SELECT analysis, review, count(*) AS n FROM (SELECT CASE WHEN l.doc_id IS NULL THEN 'pending' WHEN d.doc_id % 13 = 0 THEN 'reused' WHEN quality = 1 THEN 'completed' ELSE 'failed' END AS analysis, CASE WHEN l.doc_id IS NULL THEN 'pending' WHEN quality = 0 AND d.doc_id % 13 <> 0 THEN 'skipped' WHEN toxic = 1 THEN 'failed' ELSE 'completed' END AS review FROM documents d LEFT JOIN labels l USING (doc_id)) GROUP BY ALL")
 def status_lifecycle(spark, sf_dir):
     joined = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    new, reused = F.col("quality").isNull(), F.col("doc_id") % 13 == 0
-    analysis = F.when(new, "pending").when(reused, "reused").when(F.col("quality") == 1, "completed").otherwise("failed")
-    review = F.when(new, "pending").when((F.col("quality") == 0) & ~reused, "skipped").when(F.col("toxic") == 1, "failed").otherwise("completed")
+    analysis, review = R.lifecycle(F.col("quality").isNotNull(), F.col("doc_id") % 13 == 0, F.col("quality") == 1, F.col("toxic") != 1)
     return joined.select(analysis.alias("analysis"), review.alias("review")).groupBy("analysis", "review").agg(F.count("*").alias("n"))
 
 

@@ -34,12 +34,14 @@ def numeric_tokens(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.numeric_tokens(F.col("text")), "|").alias("tokens"))
 
 
-_NOISE = "(?i)^(?:" + "|".join(X.NOISE) + ")"
+_NOISE = ("(?i)^(?:" + "|".join(X.NOISE) + ")").replace(r"\s", r"[\s\p{Z}]").replace(r"\d", r"\p{Nd}")
+#: Boilerplate with spaces and digits that are not ASCII, before each text.
+_BOILER = "2022\u00a0IEEE International Symposium on x\n\u0661\u0662\n"
 
 
-@CATALOG.query(rf"SELECT doc_id, len(k) AS n_lines, md5(array_to_string(k, chr(10))) AS body_md5 FROM (SELECT doc_id, list_transform(list_filter(list_slice(l, 1, CASE WHEN p > 0 THEN p - 1 ELSE len(l) END), lambda x: trim(x) <> '' AND NOT regexp_matches(trim(x), '{_NOISE}')), lambda x: trim(x)) AS k FROM (SELECT doc_id, l, list_position(list_transform(l, lambda x: regexp_matches(trim(x), '{X.REFERENCES}')), true) AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)))")
+@CATALOG.query(rf"SELECT doc_id, len(k) AS n_lines, md5(array_to_string(k, chr(10))) AS body_md5 FROM (SELECT doc_id, list_transform(list_filter(list_slice(l, 1, CASE WHEN p > 0 THEN p - 1 ELSE len(l) END), lambda x: trim(x) <> '' AND NOT regexp_matches(trim(x), '{_NOISE}')), lambda x: trim(x)) AS k FROM (SELECT doc_id, l, list_position(list_transform(l, lambda x: regexp_matches(trim(x), '{X.REFERENCES}')), true) AS p FROM (SELECT doc_id, string_split('{_BOILER}' || text, chr(10)) AS l FROM documents)))")
 def clean_body_lines(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", X.clean_lines(F.col("text")).alias("k"))
+    lines = table(spark, sf_dir, "documents").select("doc_id", X.clean_lines(F.concat(F.lit(_BOILER), "text")).alias("k"))
     return lines.select("doc_id", F.size("k").cast("long").alias("n_lines"), F.md5(F.array_join("k", "\n").cast("binary")).alias("body_md5"))
 
 

@@ -100,20 +100,35 @@ def run_command(command: list[str], seconds: float, grace: float = 10.0) -> tupl
     return 124, out, f"{err}\nprocess timed out after {seconds:g} seconds\n"
 
 
-def run_jobs(jobs: list[dict], call: Callable[[dict], tuple[int, str]], most_failures: int = 3, dry_run: bool = False, **options) -> list[dict]:
-    """Status records of jobs in order; the producer stops once ``most_failures`` in a row have failed, and the rest stay pending.
+def breaking(kind: str | None) -> bool:
+    """Whether a failure of this kind counts towards the breaker: what a backend may get over, not what is wrong with the job."""
+    from ..functions.text import BREAKING, FATAL
 
+    return kind is not None and kind not in FATAL and any(b in kind for b in BREAKING)
+
+
+def run_jobs(jobs: list[dict], call: Callable[[dict], tuple[int, str]], most_failures: int = 3, dry_run: bool = False, made: Callable[[dict], bool] | None = None, needs: Callable[[dict], bool] | None = None, **options) -> list[dict]:
+    """Status records of jobs in order; the producer stops once ``most_failures`` in a row were of a breaking kind, and the rest stay pending.
+
+    Success and failures of other kinds begin the count anew. A job whose output is ``made`` (there and valid) is reused, one
+    whose input ``needs`` finds missing is skipped; one that succeeds and has made nothing valid has failed after all.
     A dry run calls nothing: its records hold the command that would run.
     """
     records, streak = [], 0
     for job in jobs:
         if streak >= most_failures:
             records.append({**job, "status": "pending"})
+        elif needs is not None and not needs(job):
+            records.append({**job, "status": "skipped"})
+        elif made is not None and made(job):
+            records.append({**job, "status": "reused"})
         elif dry_run:
             records.append({**job, "status": "dry_run", "preview": " ".join(job.get("command", ()))})
         else:
             done = run_with_retries(call, job, **options)
-            streak = streak + 1 if done["status"] == "failed" else 0
+            if done["status"] == "completed" and made is not None and not made(job):
+                done = {**done, "status": "failed", "failure_kind": "no_valid_output"}
+            streak = streak + 1 if done["status"] == "failed" and breaking(done["failure_kind"]) else 0
             records.append(done)
     return records
 

@@ -114,6 +114,39 @@ def test_contained_first_and_empty_texts(spark):
     assert {r.k: r.matched_o for r in corpus.contained_first(left, right, "k", "t", "o", "t", ["o"]).collect()} == {"k": 2, "e": None}
 
 
+def test_empty_titles_and_titles_that_repeat(spark):
+    """As an index by title has it: a title's first place, its last values; an empty text is in all."""
+    left = spark.createDataFrame([("k", "Deep Nets"), ("e", "--"), ("z", "nothing alike")], "k string, t string")
+    right = spark.createDataFrame([(1, "other", "v0"), (2, "Deep nets", "v1"), (3, "deep-nets for all", "v2"), (4, "deep  NETS", "v3"), (5, "!", "v4"), (6, "OTHER", "v5")], "o int, t string, v string")
+    found = lambda r, **o: {x.k: x.matched_v for x in corpus.contained_first(left, r, "k", "t", "o", "t", ["v"], **o).collect()}
+    assert found(right) == {"k": "v3", "e": None, "z": None}
+    assert found(right, least=0) == {"k": "v3", "e": "v5", "z": "v4"}
+    assert found(right.where("o <> 5"), least=0) == {"k": "v3", "e": "v5", "z": None}
+
+
+def test_postings_hold_no_text_and_long_texts_are_found(spark):
+    import random
+
+    from marlspark.operators import containment as H
+
+    rng = random.Random(7)
+    long = "".join(rng.choice("abcdefgh ij-klé") for _ in range(2_300_000))
+    big = spark.createDataFrame([(1, long), (2, long[::-1]), (3, "- \"x\" -"), (4, None), (5, "")], "o int, big string")
+    cuts = [(i, long[a : a + n]) for i, (a, n) in enumerate([(0, 30), (1_048_560, 60), (2_200_000, 100_000), (5, 27), (17, 12), (9, 3), (11, 1)])]
+    small = spark.createDataFrame([*cuts, (10, "-"), (11, '"'), (12, ""), (13, None), (14, "zzzzzzzzz"), (15, long + "x")], "s int, small string")
+    for form, make in ((H.PLAIN, lambda t: t), (H.NORMAL, lambda t: spark.range(1).select(H.NORMAL.column(F.lit(t))).first()[0])):
+        want = {(s, o) for s, t in [tuple(r) for r in small.collect()] for o, u in [tuple(r) for r in big.collect()] if t and u and make(t) and make(t) in make(u)} if form is H.PLAIN else None
+        got = H.containing(small, big, "small", "big", form)
+        pairs = {(r.s, r.o) for r in got.select("s", "o").collect()}
+        if want is not None:
+            assert pairs == want
+        else:
+            assert {(i, 1) for i, _ in cuts} <= pairs and {(10, 3), (11, 3)} <= pairs and not any(s in (12, 13, 14, 15) for s, _ in pairs)
+        assert "Generate" not in got._jdf.queryExecution().toString()
+        fields = H.postings(big.selectExpr("1L AS a", "2L AS b", "big AS t"), form.rough).schema
+        assert all(f.dataType.simpleString() == "bigint" for f in fields)
+
+
 def test_streaks(spark):
     df = spark.createDataFrame([("a", i, f) for i, f in enumerate([True, True, False, True, True, True])], "k string, n int, failed boolean")
     assert [r.streak for r in runs.consecutive(df, "k", ["n"], "failed").orderBy("n").collect()] == [1, 2, 0, 1, 2, 3]
@@ -262,7 +295,7 @@ def test_contained_texts_equal_comparing_all(spark):
     for i, t in small:
         x = squeeze(t)
         hits = [j for j, u in big if x and squeeze(u) and (x in squeeze(u) or squeeze(u) in x)]
-        want[i] = min(hits, default=None)
+        want[i] = max((j for j, u in big if squeeze(u) == squeeze(big[min(hits)][1])), default=None) if hits else None
     df = lambda rows, k: spark.createDataFrame(rows, f"{k} int, {k}_text string")
     found = corpus.contained_first(df(small, "s"), df(big, "b"), "s", "s_text", "b", "b_text", ["b"])
     assert {r.s: r.matched_b for r in found.collect()} == want

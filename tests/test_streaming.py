@@ -47,12 +47,21 @@ def test_commands_time_out_and_producers_stop():
 
     def call(job):
         calls.append(job["n"])
-        return (1, "permission denied")
+        return (1, answer)
 
+    answer = "permission denied"
     got = stages.run_jobs([{"n": i} for i in range(6)], call, most_failures=3)
+    assert [r["status"] for r in got] == ["failed"] * 6 and calls == list(range(6))  # the jobs' own faults open no breaker
+    calls.clear()
+    answer = "429 slow down"
+    got = stages.run_jobs([{"n": i} for i in range(6)], call, most_failures=3, most=0)
     assert [r["status"] for r in got] == ["failed"] * 3 + ["pending"] * 3 and calls == [0, 1, 2]
+    calls.clear()
+    made = lambda j: j["n"] == 1
+    got = stages.run_jobs([{"n": i} for i in range(4)], lambda j: (0, ""), made=made, needs=lambda j: j["n"] != 2)
+    assert [(r["status"], r.get("failure_kind")) for r in got] == [("failed", "no_valid_output"), ("reused", None), ("skipped", None), ("failed", "no_valid_output")]
     dry = stages.run_jobs([{"n": 0, "command": ["a", "b"]}], call, dry_run=True)
-    assert dry[0]["preview"] == "a b" and len(calls) == 3
+    assert dry[0]["preview"] == "a b" and not calls
 
 
 def test_rate_limits_and_waits():
