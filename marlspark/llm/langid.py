@@ -89,6 +89,7 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
 
     About ``sample`` rows of each of the ``LANGUAGES`` most frequent languages, those of
     least hash, make its centroids, rows with equal id and text as one; idf counts all learned rows.
+    A document of a language that is not learned, be it beyond ``LANGUAGES``, is judged by distance: rejected, or taken for the nearest.
     """
     rows = docs.where(known & F.col(lang).isNotNull())
     code = F.xxhash64(F.lit(5), doc_id, text)
@@ -115,7 +116,9 @@ def fit(docs: DataFrame, known: Column, text: str = "text", lang: str = "lang",
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))]), F.col("lang"))
     drawn = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), code.alias("h"))
     # Equal rows are drawn as one, so that however many there are the groups stay near ``sample``.
-    drawn = drawn.where(F.pmod("h", F.lit(1 << 20)) / float(1 << 20) < share).dropDuplicates(["lang", "h"]).select("lang", "text")
+    # 53 bits of the hash are a number from 0 to 1, so that the share may be as small as the rows are many.
+    place = F.pmod("h", F.lit(1 << 20)) * float(1 << 33) + F.shiftrightunsigned("h", 31)
+    drawn = drawn.where(place / float(1 << 53) < share).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def cluster(key: tuple[str], rows: pd.DataFrame) -> pd.DataFrame:
         v = np.concatenate([vectors([t or "" for t in rows["text"].iloc[i : i + 50]], idf) for i in range(0, len(rows), 50)])

@@ -232,7 +232,10 @@ class Formats:
 
 
 def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple[dict[str, list[str]], list[str]]:
-    """A bounded sample of distinct credentials of each base kind and of other long tokens: those of least hash, from all texts."""
+    """A bounded sample of distinct credentials of each base kind and of other long tokens: those of least hash, from all texts.
+
+    Models learn from the first 256 characters of such a string; whole tokens are scored.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
