@@ -42,10 +42,10 @@ def first_object(df: DataFrame, text: str, to: str = "json") -> DataFrame:
 
 
 def split_bundle(df: DataFrame, bundle: str) -> DataFrame:
-    """review and revised of a reviewer's answer."""
-    schema = f"review struct<{_struct(REVIEW)}>, revised struct<{_struct(DOSSIER)}>"
+    """review and revised (from ``revised_analysis`` or, in older answers, ``revised``) of a reviewer's answer."""
+    schema = f"review struct<{_struct(REVIEW)}>, revised_analysis struct<{_struct(DOSSIER)}>, revised struct<{_struct(DOSSIER)}>"
     parsed = df.withColumn("__b", F.from_json(bundle, schema))
-    return parsed.select(*[c for c in df.columns if c != bundle], F.col("__b.review").alias("review"), F.col("__b.revised").alias("revised"))
+    return parsed.select(*[c for c in df.columns if c != bundle], F.col("__b.review").alias("review"), F.coalesce("__b.revised_analysis", "__b.revised").alias("revised"))
 
 
 def _struct(ddl: str) -> str:

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool) -> DataFrame:
     # min_by/max_by combine before the shuffle, so a key with very many rows sends one for each task.
-    row = F.struct(*[F.col(c) for c in df.columns])
+    # Keys are not in the row a second time.
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest] or [F.lit(None).alias("none")])
     place = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
     best = F.max_by(row, place) if last else F.min_by(row, place)
-    return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
+    return df.groupBy(*keys).agg(best.alias("__row")).select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
 def file_order(df: DataFrame) -> list[str]:

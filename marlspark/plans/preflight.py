@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import containment as H
+from ..operators import json_rules as J
 from ..operators import preflight as P
 from ..operators import runs as R
 from .base import Catalog, table
@@ -112,6 +113,30 @@ def embedded_json(spark, sf_dir):
     return first_object(texts, "text", "found").select("doc_id", "found")
 
 
+_ANSWER = """('{"verdict": ' || CASE page_id % 5 WHEN 0 THEN '"pass"' WHEN 1 THEN '"maybe"' WHEN 2 THEN 'null' WHEN 3 THEN '7' ELSE '"fail"' END || CASE WHEN page_id % 4 = 1 THEN '' ELSE ', "count": ' || CASE page_id % 4 WHEN 0 THEN '3' WHEN 2 THEN '2.5' ELSE '"3"' END END
+  || ', "notes": [' || CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN '"a", 1' ELSE '"a"' END || ']' || CASE WHEN page_id % 7 = 0 THEN ', "extra": {}' ELSE '' END || ', "theme": ' || CASE page_id % 3 WHEN 0 THEN 'null' WHEN 1 THEN '"x"' ELSE '"z"' END || CASE WHEN page_id % 11 = 0 THEN '' ELSE '}' END)"""
+
+
+@CATALOG.query(f"""
+WITH j AS (SELECT page_id, {_ANSWER} AS t FROM pages), v AS (SELECT page_id, CASE WHEN json_valid(t) THEN t END AS t FROM j)
+SELECT page_id, '$' AS path, 'json' AS rule FROM v WHERE t IS NULL
+UNION ALL SELECT page_id, '$.verdict', CASE WHEN json_type(t, '$.verdict') <> 'VARCHAR' THEN 'type' ELSE 'enum' END FROM v WHERE json_type(t, '$.verdict') <> 'VARCHAR' OR json_extract_string(t, '$.verdict') NOT IN ('pass', 'fail')
+UNION ALL SELECT page_id, '$.count', CASE WHEN json_type(t, '$.count') IS NULL THEN 'required' ELSE 'type' END FROM v WHERE t IS NOT NULL AND coalesce(json_type(t, '$.count'), '') NOT IN ('UBIGINT', 'BIGINT')
+UNION ALL SELECT page_id, '$.notes', 'minItems' FROM v WHERE json_array_length(t, '$.notes') < 1
+UNION ALL SELECT page_id, '$.notes[' || i || ']', 'type' FROM (SELECT page_id, t, unnest(range(CAST(json_array_length(t, '$.notes') AS BIGINT))) AS i FROM v) WHERE json_type(t, '$.notes[' || i || ']') <> 'VARCHAR'
+UNION ALL SELECT page_id, '$.' || k, 'additionalProperties' FROM (SELECT page_id, unnest(json_keys(t)) AS k FROM v) WHERE k NOT IN ('verdict', 'count', 'notes', 'theme')
+UNION ALL SELECT page_id, '$.theme', 'anyOf' FROM v WHERE json_type(t, '$.theme') <> 'NULL' AND json_extract_string(t, '$.theme') NOT IN ('x', 'y')""")
+def schema_rules(spark, sf_dir):
+    """Answers against a JSON Schema: enumerations, whole numbers, lists, names that lack or are foreign, null or one of a list, and text that is no JSON."""
+    rules = J.Rules(J.closed(verdict=J.one_of("pass", "fail"), count={"type": "integer"}, notes=J.list_of({"type": "string"}, 1), theme={"anyOf": [J.one_of("x", "y"), {"type": "null"}]}))
+    i = F.col("page_id")
+    pick = lambda n, *options: F.element_at(F.array(*map(F.lit, options)), (i % n + 1).cast("int"))
+    count = F.when(i % 4 == 1, "").otherwise(F.concat(F.lit(', "count": '), pick(4, "3", "", "2.5", '"3"')))
+    text = F.concat(F.lit('{"verdict": '), pick(5, '"pass"', '"maybe"', "null", "7", '"fail"'), count, F.lit(', "notes": ['), pick(3, "", '"a", 1', '"a"'), F.lit("]"), F.when(i % 7 == 0, ', "extra": {}').otherwise(""), F.lit(', "theme": '), pick(3, "null", '"x"', '"z"'), F.when(i % 11 == 0, "").otherwise("}"))
+    answers = table(spark, sf_dir, "pages").select("page_id", F.try_parse_json(text).alias("v"))
+    return answers.select("page_id", F.explode(rules.issues(F.col("v"))).alias("x")).select("page_id", "x.path", "x.rule")
+
+
 @CATALOG.query("SELECT doc_id, 'ok' || (doc_id % 3) AS verdict, 'T' || doc_id AS title FROM documents")
 def bundle_split(spark, sf_dir):
     """A bundle's review and revised parts, by a fixed schema."""

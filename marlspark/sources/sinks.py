@@ -13,8 +13,8 @@ from .tables import exists
 CSV = {"header": "true", "quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "encoding": "UTF-8"}
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str], files: int | None = 1) -> None:
-    """These columns, all quoted; the commit protocol publishes all files or none. ``files`` None keeps the partitions."""
+def write_csv(df: DataFrame, path: str, columns: list[str], files: int | None = None) -> None:
+    """These columns, all quoted; the commit protocol publishes all files or none. Partitions are kept, unless ``files`` asks for fewer."""
     rows = project(df, columns)
     (rows.coalesce(files) if files else rows).write.mode("overwrite").options(**CSV).csv(path)
 
@@ -37,7 +37,7 @@ def write_tops(scored: DataFrame, folder: str, columns: list[str], *order: str)
     done = []
     for n in TOPS:
         if best:
-            write_csv(scored.sparkSession.createDataFrame(best[:n], scored.schema), f"{folder}/top{n}", columns)
+            write_csv(scored.sparkSession.createDataFrame(best[:n], scored.schema), f"{folder}/top{n}", columns, files=1)
             done.append(n)
     return done
 
@@ -47,7 +47,7 @@ def write_keeping_marks(df: DataFrame, earlier: DataFrame, path: str, columns: l
     write_csv(reattach(df, earlier), path, columns)
 
 
-def write_lines(df: DataFrame, path: str, column: str = "value", files: int | None = 1) -> None:
+def write_lines(df: DataFrame, path: str, column: str = "value", files: int | None = None) -> None:
     rows = df.select(F.col(column).cast("string").alias("value"))
     (rows.coalesce(files) if files else rows).write.mode("overwrite").text(path)
 
