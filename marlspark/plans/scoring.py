@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import scoring as S
+from ..operators.counting import Counts
 from .base import Catalog, table
 
 CATALOG = Catalog()
@@ -92,6 +93,16 @@ def filter_years(spark, sf_dir):
     return rows.transform(S.filter_topic(topic, year="order_year"))
 
 
+@CATALOG.query(f"{_SCORED} SELECT 'read' AS stage, count(*) AS n FROM banded UNION ALL SELECT 'scored', count(*) FILTER (relevance_score > 0) FROM banded UNION ALL SELECT 'medium', count(*) FILTER (relevance IN ('Medium', 'High')) FROM banded")
+def stages_in_passing(spark, sf_dir):
+    """How many documents each stage of the scoring leaves, from one pass over them."""
+    counts = Counts()
+    read = counts.at(table(spark, sf_dir, "documents").withColumn("title", F.lit("")), "read")
+    scored = counts.at(read.transform(S.score(S.SAMPLE_TOPIC, "title", "text")).where("relevance_score > 0"), "scored")
+    counts.run(counts.at(scored.transform(S.min_relevance("Medium")), "medium"))
+    return counts.table(spark)
+
+
 @CATALOG.query("SELECT lang, count(*) AS n, count(*) FILTER (n_chars > 2000) AS kept, sum(n_chars) AS chars FROM documents GROUP BY lang")
 def stage_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") > 2000).alias("kept"), F.sum("n_chars").alias("chars"))

@@ -91,3 +91,14 @@ def test_csv_goes_by_names(spark, tmp_path):
     assert tables.csv_header(spark, str(tmp_path / "e.csv")) == ("paper_id", 'a "quoted"\nname', "title")
     assert tables.read_csv(spark, [str(tmp_path / "c.csv")], DB).count() == 0
     assert tables.read_csv(spark, str(tmp_path / "[ab].csv"), strings("year paper_id")).columns == ["year", "paper_id", "_file", "_row"]
+
+
+def test_counts_in_passing_equal_separate_counts(spark):
+    from marlspark.operators.counting import Counts
+
+    counts = Counts()
+    df = counts.at(spark.range(1000, numPartitions=7), "all", least=F.min("id"))
+    odd = counts.at(df.where("id % 2 = 1").repartition(3), "odd", total=F.sum("id"))
+    none = counts.at(odd.where("id < 0"), "none")
+    assert counts.run(none) == [{"stage": "all", "n": 1000, "least": 0}, {"stage": "odd", "n": 500, "total": sum(range(1, 1000, 2))}, {"stage": "none", "n": 0}]
+    assert [tuple(r) for r in counts.table(spark).collect()] == [("all", 1000), ("odd", 500), ("none", 0)]
