@@ -177,12 +177,15 @@ def json_validity(spark, sf_dir):
     return found
 
 
-@CATALOG.query("SELECT s || '-venue' AS id, CAST(y AS BIGINT) AS year, 2 AS weight FROM (VALUES ('a'), ('b')) v(s), range(2022, 2025) t(y)")
+@CATALOG.query("SELECT 'n' || n_nationkey || '-venue' AS id, CAST(y AS BIGINT) AS year, 2 AS weight FROM nation, range(2022, 2025) t(y)")
 def configuration(spark, sf_dir):
-    """A topic's and a venue list's configuration, read from files through Spark."""
+    """A topic's and a venue list's configuration made of a table, written, and read through Spark."""
     path = folder(spark)
-    text = "topic: t\nkeywords:\n  - term: x\n    weight: 2\ndate_range:\n  start: 2022\n  end: 2024\nvenues:\n  - id: a-venue\n    dblp_key: conf/a\n  - id: b-venue\n    dblp_key: conf/b\n    dblp_abbr: bb\n"
-    sinks.write_lines(spark.createDataFrame([(text.rstrip("\n"),)], "value string"), path)
+    key = F.col("n_nationkey").cast("string")
+    venue = F.concat(F.lit("  - id: n"), key, F.lit("-venue\n    dblp_key: conf/n"), key, F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("\n    dblp_abbr: a"), key)).otherwise(""))
+    venues = table(spark, sf_dir, "nation").agg(F.array_join(F.sort_array(F.collect_list(venue)), "\n").alias("venues"))
+    head = "topic: t\nkeywords:\n  - term: x\n    weight: 2\ndate_range:\n  start: 2022\n  end: 2024\nvenues:\n"
+    sinks.write_lines(venues.select(F.concat(F.lit(head), "venues").alias("value")), path)
     config = tables.read_config(spark, path)
     weight = S.Topic.of(config).keywords[0][1]
     return tables.venue_years(spark, config, 2026).select("id", F.col("year").cast("long").alias("year"), F.lit(weight).cast("int").alias("weight"))
