@@ -16,10 +16,14 @@ from ..schemas import ENRICHED, UNAVAILABLE, blank, missing_abstract
 from .dedup import file_order, first_by, last_by
 
 
+def default_columns(df: DataFrame, crawled_date: str, columns: Sequence[str]) -> list[Column]:
+    default = {"abstract": "", "citation_count": "0", "source": "dblp", "crawled_date": crawled_date}
+    return [F.coalesce(F.col(c).cast("string"), F.lit(default.get(c, ""))).alias(c) if c in df.columns else F.lit(default.get(c, "")).alias(c) for c in columns]
+
+
 def with_defaults(df: DataFrame, crawled_date: str, columns: Sequence[str] = tuple(ENRICHED.fieldNames())) -> DataFrame:
     """All columns of an enriched table as strings; what is absent gets its default."""
-    default = {"abstract": "", "citation_count": "0", "source": "dblp", "crawled_date": crawled_date}
-    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(default.get(c, ""))).alias(c) if c in df.columns else F.lit(default.get(c, "")).alias(c) for c in columns])
+    return df.select(*default_columns(df, crawled_date, columns))
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
