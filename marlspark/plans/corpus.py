@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import corpus as C
+from ..operators import models as M
 from ..operators import runs as R
 from ..operators.dedup import last_by
 from .base import Catalog, table
@@ -195,3 +196,55 @@ def catalog_listed(spark, sf_dir):
 def human_document_latest(spark, sf_dir):
     """A whole-document edit replaces all before it."""
     return table(spark, sf_dir, "conversations").transform(last_by("conv_id", "turn")).select("conv_id", "text")
+
+
+_FILES = """
+(SELECT 'pdf' AS area, NULL AS model, 'd' || doc_id || CASE WHEN doc_id % 9 = 0 THEN '.txt' ELSE '.pdf' END AS file FROM documents
+UNION ALL SELECT 'llm', 'glm5.1', 'd' || doc_id || CASE WHEN quality = 1 THEN '.json' ELSE '.review.json' END FROM labels
+UNION ALL SELECT 'llm', 'gpt5.4', 'd' || page_id || CASE WHEN page_id % 4 = 0 THEN '.json' ELSE '.revised.json' END FROM pages
+UNION ALL SELECT 'llm', 'other', 'e' || item_id || '.json' FROM benchmark
+UNION ALL SELECT 'human', NULL, 'd' || item_id || '.json' FROM benchmark)"""
+_CATALOG = f"""
+WITH f AS (SELECT *, regexp_replace(file, '([.]review[.]json|[.]revised[.]json|[.]json|[.]pdf)$', '') AS basename FROM {_FILES} WHERE file NOT LIKE '%.txt'),
+c AS (
+  SELECT basename, max(file) FILTER (area = 'pdf') AS pdf, max(file) FILTER (area = 'human') AS human, count(DISTINCT model) AS n_models,
+    max(file) FILTER (model = 'glm5.1' AND file NOT LIKE '%.review.json') AS glm_raw, max(file) FILTER (model = 'glm5.1' AND file LIKE '%.review.json') AS glm_review,
+    max(file) FILTER (model = 'gpt5.4' AND file NOT LIKE '%.revised.json') AS gpt_raw, max(file) FILTER (model = 'gpt5.4' AND file LIKE '%.revised.json') AS gpt_revised
+  FROM f GROUP BY basename HAVING count(model) > 0
+)"""
+
+
+def _files(spark, sf_dir):
+    def listing(name, area, model, key, suffix, prefix="d"):
+        return table(spark, sf_dir, name).select(F.lit(area).alias("area"), F.lit(model).cast("string").alias("model"), F.concat(F.lit(prefix), F.col(key).cast("string"), suffix).alias("file"))
+
+    return (
+        listing("documents", "pdf", None, "doc_id", F.when(F.col("doc_id") % 9 == 0, ".txt").otherwise(".pdf"))
+        .unionByName(listing("labels", "llm", "glm5.1", "doc_id", F.when(F.col("quality") == 1, ".json").otherwise(".review.json")))
+        .unionByName(listing("pages", "llm", "gpt5.4", "page_id", F.when(F.col("page_id") % 4 == 0, ".json").otherwise(".revised.json")))
+        .unionByName(listing("benchmark", "llm", "other", "item_id", F.lit(".json"), "e"))
+        .unionByName(listing("benchmark", "human", None, "item_id", F.lit(".json")))
+    )
+
+
+@CATALOG.query(_CATALOG + " SELECT * FROM c")
+def model_catalog(spark, sf_dir):
+    """Papers of any model, with the files of each as a map, told from a listing of files."""
+    m = lambda name, kind: F.col("models")[name][kind]
+    return M.model_catalog(_files(spark, sf_dir)).select("basename", "pdf", "human", F.size("models").cast("long").alias("n_models"), m("glm5.1", "raw").alias("glm_raw"), m("glm5.1", "review").alias("glm_review"), m("gpt5.4", "raw").alias("gpt_raw"), m("gpt5.4", "revised").alias("gpt_revised"))
+
+
+@CATALOG.query(_CATALOG + """,
+d AS (
+  SELECT 'd' || doc_id || '.json' AS file, max(CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'glm ' || doc_id END) AS title, bool_and(doc_id % 6 <> 5) AS sound FROM labels WHERE doc_id % 8 <> 7 GROUP BY doc_id
+), g AS (SELECT 'd' || page_id || CASE WHEN page_id % 4 = 0 THEN '.json' ELSE '.revised.json' END AS file, CASE WHEN page_id % 5 = 0 THEN '' ELSE 'gpt ' || page_id END AS title FROM pages),
+m AS (SELECT c.basename, d.file AS a, coalesce(d.title, '') AS ta, coalesce(d.sound, false) AS sound, g.file AS b, g.title AS tb FROM c LEFT JOIN d ON d.file = c.glm_raw LEFT JOIN g ON g.file = coalesce(c.gpt_raw, c.gpt_revised))
+SELECT basename, CASE WHEN sound AND ta <> '' THEN ta WHEN b IS NOT NULL THEN tb WHEN sound THEN ta END AS title, CASE WHEN sound AND ta <> '' THEN 'a' WHEN b IS NOT NULL THEN 'b' WHEN sound THEN 'a' END AS venue, CASE WHEN sound AND ta <> '' THEN '2024' WHEN b IS NOT NULL THEN '' WHEN sound THEN '2024' END AS year FROM m""")
+def model_metadata(spark, sf_dir):
+    """Titles, venues and years from the first model that has a title; documents may be absent, broken, or without fields."""
+    i, j = F.col("doc_id"), F.col("page_id")
+    first = F.to_json(F.struct(F.when(i % 4 == 0, "").when(i % 4 != 1, F.concat(F.lit("glm "), i.cast("string"))).alias("title"), F.lit("a").alias("venue"), F.lit(2024).alias("year")))
+    one = table(spark, sf_dir, "labels").where(i % 8 != 7).select(F.lit("glm5.1").alias("model"), F.concat(F.lit("d"), i.cast("string"), F.lit(".json")).alias("file"), F.when(i % 6 == 5, F.lit("{broken")).otherwise(first).alias("text"))
+    second = F.to_json(F.struct(F.when(j % 5 == 0, "").otherwise(F.concat(F.lit("gpt "), j.cast("string"))).alias("title"), F.lit("b").alias("venue")))
+    two = table(spark, sf_dir, "pages").select(F.lit("gpt5.4").alias("model"), F.concat(F.lit("d"), j.cast("string"), F.when(j % 4 == 0, ".json").otherwise(".revised.json")).alias("file"), second.alias("text"))
+    return M.model_metadata(M.model_catalog(_files(spark, sf_dir)), one.unionByName(two)).select("basename", "title", "venue", "year")
