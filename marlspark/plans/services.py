@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources import lookups as L
 from ..sources import services as S
 from ..sources import tables as T
 from ..streaming import stages
@@ -64,6 +65,14 @@ def batch_lookup(spark, sf_dir):
     return found.select(F.substring_index("id", ":", 1).cast("long").alias("doc_id"), "quality")
 
 
+@CATALOG.query("SELECT doc_id, doc_id * 31 % 101 AS score, 'DOI:10.1/' || doc_id AS doi FROM documents WHERE doc_id % 7 <> 0 AND doc_id * 31 % 101 > 20")
+def lookup_format(spark, sf_dir):
+    """The documents' ids asked for as a data source, by row groups, 500 a call; some have no answer."""
+    answers = lambda ids: [{"score": i * 31 % 101, "doi": f"DOI:10.1/{i}"} if i % 7 else None for i in ids]
+    spark.dataSource.register(L.lookup_format("lookups_by_id", answers, "doc_id long, score long, doi string", key="doc_id"))
+    return spark.read.format("lookups_by_id").option("path", f"{sf_dir}/documents.parquet").option("column", "doc_id").load().where("score > 20")
+
+
 @CATALOG.query("SELECT page_id, md5(html) AS html_md5, page_id % 5 <> 0 AS ok FROM pages WHERE page_id % 5 <> 0 UNION ALL SELECT page_id, NULL, false FROM pages WHERE page_id % 5 = 0")
 def fetched_pages(spark, sf_dir):
     """Pages by a caller's function: what can't be had is a row, not an error."""
