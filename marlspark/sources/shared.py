@@ -40,3 +40,9 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.option("parquet.enable.dictionary", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of working tables that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
