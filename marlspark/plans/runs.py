@@ -8,6 +8,7 @@ from ..functions import text as X
 from ..operators import dedup as D
 from ..operators import runs as R
 from ..operators import sequences as Q
+from ..streaming import progress as P
 from .base import Catalog, table
 
 CATALOG = Catalog()
@@ -84,6 +85,26 @@ def heartbeats(spark, sf_dir):
     return beats(table(spark, sf_dir, "events"), "15 minutes", ts="ts", key="event_type").select("start", "event_type", "n")
 
 
+_BEATS = "SELECT user_id AS run, CASE event_type WHEN 'view' THEN 'idle' WHEN 'error' THEN 'failed' ELSE 'progress' END AS state, ts, event_id AS batch, value FROM events WHERE user_id IS NOT NULL"
+
+
+def _beats(spark, sf_dir):
+    state = F.when(F.col("event_type") == "view", "idle").when(F.col("event_type") == "error", "failed").otherwise("progress")
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("user_id").alias("job"), state.alias("state"), "ts", F.col("event_id").alias("batch"), F.col("value").cast("long").alias("rows"))
+
+
+@CATALOG.query(f"SELECT run, arg_max(state, row(ts, batch)) AS state, max(ts) AS last, max(ts) FILTER (state = 'progress') AS worked, count(DISTINCT batch) FILTER (state = 'progress') AS batches, CAST(coalesce(sum(trunc(value)), 0) AS BIGINT) AS rows FROM ({_BEATS}) GROUP BY run")
+def stream_states(spark, sf_dir):
+    """What each run's beats come to: last state, progress, batches and rows."""
+    return P.states(_beats(spark, sf_dir)).drop("job")
+
+
+@CATALOG.query(f"SELECT run, CASE WHEN last < TIMESTAMP '2024-01-30 12:00:00' THEN 'stalled' ELSE 'idle' END AS sign FROM (SELECT run, arg_max(state, row(ts, batch)) AS state, max(ts) AS last, max(ts) FILTER (state = 'progress') AS worked FROM ({_BEATS}) GROUP BY run) WHERE state <> 'failed' AND (last < TIMESTAMP '2024-01-30 12:00:00' OR coalesce(worked < TIMESTAMP '2024-01-30 12:00:00', state = 'idle'))")
+def silent_streams(spark, sf_dir):
+    """Runs that have not ended and gave no sign, or idle ones only, in the last twelve hours of January."""
+    return P.silent(_beats(spark, sf_dir), "2024-01-31 00:00:00", 12 * 3600).select("run", "sign")
+
+
 @CATALOG.query("SELECT c.conv_id, c.turn FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.conv_id AND l.quality = 1)")
 def resume_pending(spark, sf_dir):
     """What a resumed run still has to do: all but what its manifest holds as valid."""
