@@ -221,20 +221,30 @@ class Formats:
             plain = self.ordinary.log_likelihood(classes)
             found = [a.log_likelihood(classes) - plain for a in self.automata]
             room = [x - max(self.odds, least * (len(classes) + 1)) for x, least in zip(found, self.least, strict=False)]
-            r = self.known[classes] = max(found, default=-math.inf), max(room, default=-math.inf)
+            r = max(found, default=-math.inf), max(room, default=-math.inf)
+            if len(classes) <= 256:  # so that what is remembered is bounded in characters too
+                self.known[classes] = r
         return r
 
     def ratio(self, classes: str) -> float:
         return self.ratios(classes)[0]
 
-    def fits(self, token: str) -> bool:
-        return self.ratios(token.translate(_CLASS))[1] >= 0
+
+def free(found: list[Span], tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The tokens that no span overlaps, in one pass over both; both are in order of start."""
+    i = reach = 0
+    for a, z in tokens:
+        while i < len(found) and found[i][0] < z:
+            reach = max(reach, found[i][2])
+            i += 1
+        if reach <= a:
+            yield a, z
 
 
-def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple[dict[str, list[str]], list[str]]:
+def examples(docs: DataFrame, text: str, most: int, ordinary_most: int, longest: int) -> tuple[dict[str, list[str]], list[str]]:
     """A bounded sample of distinct credentials of each base kind and of other long tokens: those of least hash, from all texts.
 
-    Models learn from the first 256 characters of such a string; whole tokens are scored.
+    Strings are learned whole; those of over ``longest`` characters are not in the sample.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,9 +254,10 @@ def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple
                 found, tokens = base_spans(t or "")
                 for a, k, z in found:
                     m = ASSIGN.match(t, a) if k == 0 else None
-                    out[KINDS[k]].add((m[2] if m else t[a:z])[:256])
-                edges = [(a, z) for a, _, z in found]
-                out["format"].update(t[a:z][:256] for a, z in tokens if not any(x < z and a < y for x, y in edges))
+                    value = m[2] if m else t[a:z]
+                    if len(value) <= longest:
+                        out[KINDS[k]].add(value)
+                out["format"].update(t[a:z] for a, z in free(found, tokens) if z - a <= longest)
             least = lambda v, n: sorted(v, key=lambda s: hashlib.md5(s.encode()).digest())[:n]
             rows = [(k, s) for k, v in out.items() for s in least(v, most if k != "format" else ordinary_most)]
             if rows:
@@ -265,28 +276,35 @@ def examples(docs: DataFrame, text: str, most: int, ordinary_most: int) -> tuple
     return labelled, labelled.pop("format", [])
 
 
-def find_secrets(docs: DataFrame, text: str = "text", most: int = 400, ordinary_most: int = 2000) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", most: int = 400, ordinary_most: int = 2000, longest: int = 512) -> DataFrame:
     """Replace ``text`` by its secret spans: kind, start and end (code points) of each, by start.
 
+    Every candidate, a long token that no base span overlaps, is scored whole: the log ratio of its likelihood under the
+    best format to that under the ordinary model. A span of kind ``format`` carries its ``score`` (null for base spans);
+    n_scored counts a text's candidates and best_score is the highest of their scores, reported or not (null without any).
     ``most`` bounds the labelled credentials of a kind and ``ordinary_most`` the
-    ordinary tokens that the automata and their threshold are fitted on.
+    ordinary tokens that the automata and their threshold are fitted on, ``longest`` the characters of each of them.
     """
-    formats = Formats(*examples(docs, text, most, ordinary_most))
+    formats = Formats(*examples(docs, text, most, ordinary_most, longest))
 
     def scan(texts: list[str]) -> dict[str, list]:
-        out: dict[str, list] = {"spans": []}
+        out: dict[str, list] = {"spans": [], "n_scored": [], "best_score": []}
         for t in texts:
             found, tokens = base_spans(t)
-            if formats.automata:
-                extra = []
-                for a, z in tokens:
-                    if formats.fits(t[a:z]) and not any(x < z and a < y for x, _, y in found):
-                        extra.append((a, 3, z))
-                found = sorted(found + extra)
-            out["spans"].append([{"kind": KINDS[k], "start": a, "end": z} for a, k, z in found])
+            spans: list[tuple[int, int, int, float | None]] = [(*s, None) for s in found]
+            n, best = 0, None
+            for a, z in free(found, tokens) if formats.automata else ():
+                score, room = formats.ratios(t[a:z].translate(_CLASS))
+                n, best = n + 1, score if best is None else max(best, score)
+                if room >= 0:
+                    spans.append((a, 3, z, score))
+            spans.sort(key=lambda s: s[:3])
+            out["spans"].append([{"kind": KINDS[k], "start": a, "end": z, "score": x} for a, k, z, x in spans])
+            out["n_scored"].append(n)
+            out["best_score"].append(best)
         return out
 
-    return map_texts(docs, scan, "spans array<struct<kind: string, start: long, end: long>>", text)
+    return map_texts(docs, scan, "spans array<struct<kind: string, start: long, end: long, score: double>>, n_scored long, best_score double", text)
 
 
 def op5_find_secrets(spark, sf_dir: str) -> DataFrame:
@@ -294,4 +312,4 @@ def op5_find_secrets(spark, sf_dir: str) -> DataFrame:
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"] != "format")
-    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("format"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("format"), "n_scored", F.round("best_score", 6).alias("best_score"))

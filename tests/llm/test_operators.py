@@ -400,6 +400,26 @@ def test_secrets_keep_base_spans_and_add_formats(spark):
     assert all(v == [] for k, v in got.items() if k >= 2000)
 
 
+def test_every_candidate_is_scored_once_and_whole(spark):
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        cut = lambda n: sorted(tuple(sorted(rng.integers(0, 60, 2).tolist())) for _ in range(n))
+        edges = [(a, 0, z) for a, z in cut(4) if a < z]
+        places = np.unique(rng.integers(0, 60, 8)).tolist()
+        tokens = list(zip(places[::2], places[1::2], strict=False))  # as the pattern finds them: in order, none overlaps another
+        assert list(secrets.free(edges, tokens)) == [(a, z) for a, z in tokens if not any(x < z and a < y for x, _, y in edges)]
+    key = lambda p, n=16: p + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), n))
+    word = lambda: "".join(rng.choice(list("aeiounrtslm"), rng.integers(12, 18)))
+    rows = [(i, f"key {key('AKIA')} {word()}") for i in range(150)] + [(1000 + i, f"{word()} {word()}") for i in range(150)]
+    rows += [(2000, f"{word()} {key('ASIA')}"), (2001, "short words"), (2002, "x" * 5000), (2003, f"{key('AKIA', 5000)}"), (2004, None)]
+    got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].n_scored == 1 and got[i].best_score < 0 and got[i].spans[0].score is None for i in range(150))
+    assert all(got[1000 + i].n_scored == 2 and got[1000 + i].best_score < 0 for i in range(150))
+    assert got[2000].n_scored == 2 and got[2000].spans[0].score == got[2000].best_score > 0
+    assert [(got[i].n_scored, got[i].best_score is None) for i in (2001, 2002, 2003, 2004)] == [(0, True), (1, False), (0, True), (0, True)]
+    assert [(s.start, s.end) for s in got[2003].spans] == [(0, 5004)]
+
+
 def test_secret_cases(spark):
     m = messy(spark).drop("spans")
     extra = spark.createDataFrame([(20, "password: abcdefghijkl1 " * 2), (21, "x" * 100_000 + " deadbeef00112233 api_key='A1b2C3d4E5f6G7'")], "doc_id long, text string")
