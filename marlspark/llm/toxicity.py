@@ -114,6 +114,12 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int =
     return w[:-1], float(w[-1])
 
 
+def drawn(code: Column, share: float) -> Column:
+    """Whether a row of hash ``code`` is among ``share`` of all: 53 bits of it are a number from 0 to 1, so that the share may be as small as labels are many."""
+    place = F.pmod(code, F.lit(1 << 20)) * float(1 << 33) + F.shiftrightunsigned(code, 31)
+    return place / float(1 << 53) < share
+
+
 def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", doc_id: str = "doc_id", sample: int = 12_000, voters: int = 200, kept: int = 800, least: float = 20.0, precise: float = 0.7) -> Model:
     """Learn from labelled rows of ``docs`` where ``known`` (over doc_id) holds.
 
@@ -126,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, known: Column, text: str = "text", d
     marks = labels.where(known & F.col("toxic").isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("__id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     total = marks.count()
     share = min(1.0, sample / max(1, total))
-    marks = marks.where(F.pmod(F.xxhash64(F.lit(11), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    marks = marks.where(drawn(F.xxhash64(F.lit(11), "__id"), share))
     # The sample is bounded, so its marks (12 bytes each) may be broadcast. Of rows that share an id one is learned.
     rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("text")).join(F.broadcast(marks), "__id")
     rows = rows.groupBy("__id", "toxic").agg(F.min("text").alias("text"))

@@ -531,6 +531,14 @@ def test_toxicity_held_out(spark):
     assert found.score.between(0, 1).all()
 
 
+def test_toxicity_sample_follows_any_share(spark):
+    codes = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    assert codes.where(toxicity.drawn(F.col("h"), 1.0)).count() == 200_000
+    assert 9_400 < codes.where(toxicity.drawn(F.col("h"), 0.05)).count() < 10_600
+    few = spark.createDataFrame([(0,), (1 << 33,), (5,), (-1,)], "h long")  # places 0, 4 * 2^-53, 5 * 2^-20 and just under 1
+    assert [r.h for r in few.where(toxicity.drawn(F.col("h"), 2.0**-40)).collect()] == [0, 1 << 33]
+
+
 def test_toxicity_cases(spark):
     m = messy(spark).drop("score")
     labels = spark.createDataFrame([(1, 0, 1), (4, 1, 0), (4, 1, 1), (None, 0, 1), (9, 1, None)], "doc_id long, quality int, toxic int")
