@@ -330,3 +330,15 @@ def test_plans_score_once_and_loop_nowhere(spark):
     assert plan.count("\\Qlicense\\E(?<=") <= 1 and "TakeOrdered" in plan
     for name in ("containment_join", "evidence_exact", "lookup_cascade"):
         assert "NestedLoop" not in catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString(), name
+
+
+def test_no_sketch_is_kept_by_user(spark, tmp_path):
+    """Users of many rows, null users and a null type; a pair of type and user carries no sketch of 3 KB."""
+    from marlspark import catalog
+
+    rows = [(kind, u) for kind in ("a", None) for u in range(3000) for _ in range(3)] + [("a", None), ("b", None), ("c", 7), ("c", 7), ("c", None)]
+    spark.createDataFrame(rows, "event_type string, user_id long").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    df = catalog.QUERIES["extra_approx_distinct"](spark, str(tmp_path))
+    assert {r.event_type: r.close for r in df.collect()} == dict.fromkeys(("a", None, "b", "c"), True)
+    sketches = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "approx_count_distinct(" in line]
+    assert sketches and not any("user_id" in line.split("functions=")[0] for line in sketches)
